@@ -57,6 +57,8 @@ LANDED_AT = "2024-02-01 00:00:00"
 FEED_EPOCH = "2023-06-01 00:00:00"
 STATUS_BY_EVENT = {"view": 200, "click": 200, "purchase": 404, "signup": 418, "error": 503}
 BAD_DATE_TEXT = "刚刚"
+LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity",
+              "l_discount", "l_tax")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -202,7 +204,8 @@ def profile_pages(customer: DataFrame) -> DataFrame:
 
 def comment_rows(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Comment-level rows: ``oid, user, ln_rank, page_no, pos, n_lines``."""
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber")
+    # Line numbers repeat within an order; the other columns make the order total.
+    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
     li = lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_tax",
                          "l_shipdate", (F.row_number().over(w) - 1).alias("r"),
                          F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")).alias("n_lines"))

@@ -48,7 +48,8 @@ GOOD_POST = "NOT bad_date AND NOT no_text"
 COMMENTS = """
 crow AS (
   SELECT l.*, o.o_custkey AS user_id, o.o_orderpriority, o.o_orderstatus,
-         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS r,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey,
+                                     l_extendedprice, l_shipdate, l_quantity, l_discount, l_tax) - 1 AS r,
          count(*) OVER (PARTITION BY l_orderkey) AS n_lines
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
 citems AS (
