@@ -113,13 +113,13 @@ TOPIC_COLS = """
 
 # Fetch log: one fetch per event.
 FETCHES = f"""
-fetch AS (
+fetch0 AS (
   SELECT event_id, ts, user_id, 'fetch:' || event_id AS page_key,
          {PROFILE} || user_id || '&containerid=107603' || user_id || '&since_id=' || json_extract_string(props, '$.k') AS request_url,
          CAST(CASE event_type WHEN 'purchase' THEN 404 WHEN 'signup' THEN 418 WHEN 'error' THEN 503 ELSE 200 END AS INTEGER) AS http_status
   FROM events),
 fetches AS (
-  SELECT *, CAST(row_number() OVER (PARTITION BY request_url ORDER BY ts, event_id) AS INTEGER) AS attempt FROM fetch)"""
+  SELECT *, CAST(row_number() OVER (PARTITION BY request_url ORDER BY ts, event_id) AS INTEGER) AS attempt FROM fetch0)"""
 
 
 def with_(*ctes: str) -> str:
