@@ -100,6 +100,25 @@ def explode_card_groups(pages: DataFrame, kind: str | None = None) -> DataFrame:
 
 # --------------------------------------------------------------------------- statuses
 
+def parsed_cards(pages: DataFrame, kind: str = "status_list", nested: str = "mblog") -> DataFrame:
+    """One row per card with its 0-based ``pos``, raw ``card`` text, the card
+    as a map ``_m`` and its ``nested`` object as a map ``_mb``.
+
+    Both parses happen inside the generator (``transform`` over the page's
+    card list, then ``inline``), so every card is parsed exactly once: a
+    filter on anything derived from ``_m``/``_mb`` can be pushed down to the
+    generator but never below the parse, where Catalyst would substitute (and
+    so repeat) the ``from_json`` calls once per predicate.
+    """
+    p = pages.where(F.col("kind") == kind)
+    raw = F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"]
+    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
+                                               F.from_json(c, MAP).alias("_m")))
+    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
+                                          F.from_json(get(x["_m"], nested), MAP).alias("_mb")))
+    return p.select(*_keep(p), F.inline(a))
+
+
 def status_cards(pages: DataFrame) -> DataFrame:
     """Every card of ``status_list`` pages, classified.
 
@@ -107,12 +126,8 @@ def status_cards(pages: DataFrame) -> DataFrame:
     ``mblog`` key: recommendation and label slots), the status fields, the
     written ``year`` / ``month`` and ``reject_reason`` (NULL for a good post).
     """
-    cards = explode_cards(pages, kind="status_list")
-    card = as_map("card")
-    cards = cards.withColumn("_card", card)
-    mblog = as_map(get(F.col("_card"), "mblog"))
-    cards = cards.withColumn("_mblog", mblog)
-    c, m = F.col("_card"), F.col("_mblog")
+    cards = parsed_cards(pages)
+    c, m = F.col("_m"), F.col("_mb")
     edit_at = get(m, "created_at")
     is_promo = (F.size(F.map_keys(c)) == 4) | ~F.map_contains_key(c, F.lit("mblog"))
     reason = (F.when(c.isNull(), "card_not_object")
@@ -136,7 +151,7 @@ def status_cards(pages: DataFrame) -> DataFrame:
         created_year(edit_at).alias("year"),
         created_month(edit_at).alias("month"),
         reason.alias("reject_reason"),
-        F.col("card"),
+        "card",
     )
 
 
@@ -228,19 +243,33 @@ def comment_pages(pages: DataFrame) -> DataFrame:
 
 
 def comment_items(pages: DataFrame) -> DataFrame:
-    """Every element of ``data.data`` of comment pages, with ``reject_reason``."""
-    p = comment_pages(pages)
-    items = p.select(*[c for c in p.columns if c != "_list"],
-                     F.posexplode(F.from_json("_list", "array<string>")).alias("pos", "item"))
-    items = items.withColumn("pos", F.col("pos").cast("long")).withColumn("_c", as_map("item"))
-    items = items.withColumn("_u", as_map(get(F.col("_c"), "user")))
+    """Every element of ``data.data`` of comment pages, with ``reject_reason``.
+
+    The page's cursor fields travel inside the generator with each comment,
+    and each comment and its ``user`` are parsed once there (see
+    ``parsed_cards``), so cursor and field filters never re-parse a body.
+    """
+    p = pages.where(F.col("kind") == "hot_comments")
+    p = p.select(*_keep(p), F.from_json("body", f"struct<data: {MAP}>")["data"].alias("_d"))
+    d = F.col("_d")
+    has_cursor = F.coalesce(F.map_contains_key(d, F.lit("max_id")) & F.map_contains_key(d, F.lit("max_id_type")),
+                            F.lit(False))
+    lst = F.from_json(get(d, "data"), "array<string>")
+    a = F.transform(lst, lambda c, i: F.struct(
+        i.cast("long").alias("pos"), c.alias("item"), F.from_json(c, MAP).alias("_c"),
+        has_cursor.alias("has_cursor"), get(d, "max_id").alias("max_id"),
+        get(d, "max_id_type").alias("max_id_type")))
+    a = F.transform(a, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "item", "_c", "has_cursor", "max_id",
+                                                                     "max_id_type")],
+                                          F.from_json(get(x["_c"], "user"), MAP).alias("_u")))
+    items = p.select(*_keep(p), (F.coalesce(F.col("page_no"), F.lit(0)) == 0).alias("is_first"), F.inline(a))
     c, u = F.col("_c"), F.col("_u")
     reason = (F.when(c.isNull(), "comment_not_object")
               .when(missing_any(c, COMMENT_FIELDS) | ~F.map_contains_key(c, F.lit("user")), "missing_field")
               .when(u.isNull(), "user_not_object")
               .when(missing_any(u, COMMENT_USER_FIELDS), "missing_user_field"))
     return items.select(
-        *[x for x in items.columns if x not in ("_c", "_u", "item")],
+        *_keep(items), "is_first", "has_cursor", "max_id", "max_id_type", "pos",
         F.col("parent_user_id").alias("father_user_id"),
         F.col("parent_status_id").alias("father_status_id"),
         get(c, "created_at").alias("comment_time"),
@@ -287,6 +316,29 @@ def _page_ok(pages: DataFrame, strict_type: bool) -> DataFrame:
     return drop_not_ok(pages, strict_type=strict_type)
 
 
+def parsed_groups(pages: DataFrame) -> DataFrame:
+    """One row per ``card_group`` element of every card, parsed inside the
+    generator: ``pos`` (outer), ``gpos`` (inner), ``card_type`` (outer, text),
+    ``card``, ``item`` (raw), ``_o`` / ``_i`` (maps) and the inner ``mblog`` and
+    its ``user`` as maps ``_m`` / ``_u``.  An absent or non-list group gives
+    no rows."""
+    raw = F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"]
+    outer = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
+                                                   F.from_json(c, MAP).alias("_o")))
+    inner = F.flatten(F.transform(outer, lambda o: F.transform(
+        F.coalesce(F.from_json(get(o["_o"], "card_group"), "array<string>"), F.array().cast("array<string>")),
+        lambda g, j: F.struct(o["pos"].alias("pos"), j.cast("long").alias("gpos"), o["card"].alias("card"),
+                              o["_o"].alias("_o"), g.alias("item"), F.from_json(g, MAP).alias("_i")))))
+    inner = F.transform(inner, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "gpos", "card", "_o", "item", "_i")],
+                                                  F.from_json(get(x["_i"], "mblog"), MAP).alias("_m")))
+    inner = F.transform(inner, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "gpos", "card", "_o", "item", "_i",
+                                                                           "_m")],
+                                                  F.from_json(get(x["_m"], "user"), MAP).alias("_u")))
+    keep = [c for c in pages.columns if c != "body"]
+    out = pages.select(*keep, F.inline(inner))
+    return out.withColumn("card_type", get(F.col("_o"), "card_type"))
+
+
 def extract_supertopic_posts(pages: DataFrame, missing: str | None = "", strict_type: bool = False,
                              outer: str = "11", inner: str = "9", lineage: bool = False) -> DataFrame:
     """Feed posts of a super-topic (outer card 11, inner card 9), with author
@@ -297,17 +349,11 @@ def extract_supertopic_posts(pages: DataFrame, missing: str | None = "", strict_
     p = _page_ok(pages.where(F.col("kind") == "supertopic"), strict_type)
     data = F.from_json("body", f"struct<data: {MAP}>")["data"]
     p = p.withColumn("nick", get(data, "nick", missing))
-    cards = explode_cards(p)
-    cards = cards.withColumn("_o", as_map("card"))
-    cards = keep_card_type(cards, get(F.col("_o"), "card_type"), "card", [outer], strict_type)
-    cards = cards.select(*cards.columns, F.posexplode(F.from_json(get(F.col("_o"), "card_group"), "array<string>"))
-                         .alias("gpos", "item"))
-    cards = cards.withColumn("_i", as_map("item"))
+    cards = parsed_groups(p)
+    cards = keep_card_type(cards, F.col("card_type"), "card", [outer], strict_type)
     cards = keep_card_type(cards, get(F.col("_i"), "card_type"), "item", [inner], strict_type)
-    cards = cards.withColumn("_m", as_map(get(F.col("_i"), "mblog")))
-    cards = cards.withColumn("_u", as_map(get(F.col("_m"), "user")))
     m, u = F.col("_m"), F.col("_u")
-    out = cards.select(
+    return cards.select(
         F.col("seed_key").alias("chaohua_id"),
         get(m, "id", missing).alias("cid"),
         F.col("nick"),
@@ -322,21 +368,16 @@ def extract_supertopic_posts(pages: DataFrame, missing: str | None = "", strict_
         get(u, "verified_reason", missing).alias("verified_reason"),
         *(["page_key", "page_no", "pos", "gpos"] if lineage else []),
     )
-    return out
 
 
 def extract_topics(pages: DataFrame, missing: str | None = "", strict_type: bool = False,
-                   card_type: str = "8", lineage: bool = False) -> DataFrame:
+                   card_type: str | int = "8", lineage: bool = False) -> DataFrame:
     """Topic search results (inner card 8) of a film: film id and title from
     the request, six fields from the card."""
     from pagelake.operators.filters import keep_card_type
 
     p = _page_ok(pages.where(F.col("kind") == "topic_search"), strict_type)
-    cards = explode_cards(p)
-    cards = cards.withColumn("_o", as_map("card"))
-    cards = cards.select(*cards.columns, F.posexplode(F.from_json(get(F.col("_o"), "card_group"), "array<string>"))
-                         .alias("gpos", "item"))
-    cards = cards.withColumn("_i", as_map("item"))
+    cards = parsed_groups(p)
     cards = keep_card_type(cards, get(F.col("_i"), "card_type"), "item", [card_type], strict_type)
     i = F.col("_i")
     return cards.select(
