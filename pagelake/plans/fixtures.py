@@ -377,3 +377,50 @@ def landed_pages(spark: SparkSession, sf_dir: str, kinds: list[str] | None = Non
         return table(spark, sf_dir, name)
     names = kinds or list(BUILDERS)
     return reduce(DataFrame.unionByName, [BUILDERS[n](t) for n in names])
+
+
+# --------------------------------------------------------------------------- landing once per session
+
+_LANDINGS: dict[tuple, str] = {}
+
+
+def _signature(sf_dir: str) -> tuple:
+    """Sizes and modification times of the source tables (a changed table
+    gives a new landing)."""
+    import os
+
+    sig = []
+    for name in ("orders", "customer", "lineitem", "documents", "part"):
+        base = f"{sf_dir.rstrip('/')}/{name}.parquet"
+        try:
+            paths = [base] if os.path.isfile(base) else sorted(
+                os.path.join(base, f) for f in os.listdir(base))
+            sig.extend((p, os.path.getsize(p), int(os.path.getmtime(p))) for p in paths)
+        except OSError:
+            sig.append((base, None))
+    return tuple(sig)
+
+
+def landing(spark: SparkSession, sf_dir: str) -> str:
+    """Land every page kind once per session as a Parquet table partitioned
+    by ``kind`` in the shared work folder; later calls reuse it.  Readers
+    prune to the kinds they need by partition."""
+    from pagelake.session import fresh_dir
+
+    key = (spark.sparkContext.applicationId, sf_dir, _signature(sf_dir))
+    path = _LANDINGS.get(key)
+    if path is None:
+        path = fresh_dir(spark, "landing")
+        landed_pages(spark, sf_dir).write.partitionBy("kind").parquet(path)
+        _LANDINGS[key] = path
+    return path
+
+
+def landed(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None) -> DataFrame:
+    """The landed pages (of ``kinds``), read with ``read_pages``."""
+    from pagelake.sources.pages import read_pages
+
+    pages = read_pages(spark, landing(spark, sf_dir))
+    if kinds:
+        pages = pages.where(F.col("kind").isin(*kinds))
+    return pages

@@ -34,14 +34,14 @@ SELECT source_table, reason, count(*) AS n FROM r GROUP BY 1, 2""")
 @query("quarantine", REJECTS_SQL)
 def q_quarantine(spark, sf):
     """G1: rejected cards, comments and profiles, counted by reason."""
-    return au.reject_counts(au.quarantine(fx.landed_pages(spark, sf)))
+    return au.reject_counts(au.quarantine(fx.landed(spark, sf)))
 
 
 @query("write_rejects", REJECTS_SQL)
 def q_write_rejects(spark, sf):
     """Rejects appended to their own table, read back and counted."""
     path = fresh_dir(spark, "rejects")
-    sk.write_rejects(au.quarantine(fx.landed_pages(spark, sf)), path)
+    sk.write_rejects(au.quarantine(fx.landed(spark, sf)), path)
     return au.reject_counts(spark.read.parquet(path))
 
 
@@ -77,7 +77,7 @@ SELECT 'topic_name', 'no_ok', count(DISTINCT p_brand) FROM part
 WHERE CAST(regexp_extract(p_brand, '(\\d+)', 1) AS INTEGER) >= 23"""))
 def q_missing_cursor_report(spark, sf):
     """Pages lacking ``cardlistInfo``/``since_id`` or ``ok``, counted."""
-    return au.missing_cursor_report(fx.landed_pages(spark, sf))
+    return au.missing_cursor_report(fx.landed(spark, sf))
 
 
 def tagged_records(spark, sf) -> DataFrame:
@@ -140,7 +140,7 @@ SELECT kind, n AS n_pages FROM k""")
 def q_read_pages(spark, sf):
     """Landed pages written as JSON lines, read back with the fixed schema, counted by kind."""
     path = fresh_dir(spark, "landing")
-    fx.landed_pages(spark, sf).write.json(path)
+    fx.landed(spark, sf).write.json(path)
     pages = read_pages(spark, path, fmt="json")
     return pages.groupBy("kind").agg(F.count(F.lit(1)).alias("n_pages"))
 

@@ -20,7 +20,7 @@ WINDOW_MONTH = 4
 
 
 def status_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.status_pages(fx.table(spark, sf, "orders"))
+    return fx.landed(spark, sf, ["status_list"])
 
 
 def statuses_until(spark: SparkSession, sf: str, min_year: int = CUTOFF_YEAR, strict: bool = False,

@@ -23,7 +23,7 @@ SELECT {S.STATUS_COLS} FROM posts LEFT JOIN stops USING (user_id)
 WHERE (first_stop IS NULL OR rn < first_stop) AND {S.GOOD_POST} AND user_id IN (SELECT user_id FROM chosen)"""))
 def q_flow_actor_posts(spark, sf):
     """Posts, until the cutoff year, of the accounts ranked 1200-1399 by post count."""
-    pages = fx.landed_pages(spark, sf, ["status_list", "profile", "hot_comments"])
+    pages = fx.landed(spark, sf, ["status_list", "profile", "hot_comments"])
     return flows.actor_feeds(pages, id_list(spark, sf), RANK_LO, RANK_HI, CUTOFF_YEAR)["statuses"]
 
 
@@ -38,7 +38,7 @@ SELECT {S.COMMENT_COLS} FROM citems
 WHERE good AND NOT (page_no > 0 AND no_cursor) AND l_orderkey IN (SELECT oid FROM last)"""))
 def q_flow_actor_comments(spark, sf):
     """Hot comments on the last kept post of each page of the chosen accounts."""
-    pages = fx.landed_pages(spark, sf, ["status_list", "profile", "hot_comments"])
+    pages = fx.landed(spark, sf, ["status_list", "profile", "hot_comments"])
     out = flows.actor_feeds(pages, id_list(spark, sf), RANK_LO, RANK_HI, CUTOFF_YEAR)["comments"]
     return out.select(*ex.COMMENT_OUT)
 
@@ -53,7 +53,7 @@ WHERE (first_stop IS NULL OR rn < first_stop) AND {S.GOOD_POST} AND mo = {WINDOW
   AND user_id IN (SELECT user_id FROM who)"""))
 def q_flow_commenter_posts(spark, sf):
     """Status seeds -> comments -> new commenters (minus done) -> their month-window posts."""
-    pages = fx.landed_pages(spark, sf, ["status_list", "hot_comments"])
+    pages = fx.landed(spark, sf, ["status_list", "hot_comments"])
     o = fx.table(spark, sf, "orders")
     seeds = o.select(F.col("o_orderkey").cast("string").alias("statues_id"),
                      F.col("o_custkey").cast("string").alias("user_id"))
@@ -64,7 +64,7 @@ def q_flow_commenter_posts(spark, sf):
 SELECT film_id AS weibo_movie_id, p_brand AS film_title, count(*) AS n_topics FROM parts GROUP BY 1, 2"""))
 def q_flow_film_topics(spark, sf):
     """Film seeds -> titles -> topic results, counted per film."""
-    pages = fx.landed_pages(spark, sf, ["topics"])
+    pages = fx.landed(spark, sf, ["topic_name", "topic_search"])
     films = read_seed_set(spark, fx.table(spark, sf, "part").select(fx.film_of(F.col("p_brand")).alias("id")))
     return flows.film_topics(pages, films)["per_film"]
 

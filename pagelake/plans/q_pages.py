@@ -18,19 +18,19 @@ from pagelake.plans.registry import query
 
 
 def profile_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.profile_pages(fx.table(spark, sf, "customer"))
+    return fx.landed(spark, sf, ["profile"])
 
 
 def comment_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.comment_pages(fx.table(spark, sf, "lineitem"), fx.table(spark, sf, "orders"))
+    return fx.landed(spark, sf, ["hot_comments"])
 
 
 def feed_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.supertopic_pages(fx.table(spark, sf, "documents"))
+    return fx.landed(spark, sf, ["supertopic"])
 
 
 def topic_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return fx.topic_pages(fx.table(spark, sf, "part"))
+    return fx.landed(spark, sf, ["topic_name", "topic_search"])
 
 
 PROFILE_OUT = ["page_key", "user_id", "name", "follow_count", "followers_count", "description",

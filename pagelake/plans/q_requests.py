@@ -17,7 +17,7 @@ from pagelake.plans.registry import query
 
 
 def _landed(spark, sf):
-    return fx.landed_pages(spark, sf)
+    return fx.landed(spark, sf)
 
 
 @query("profile_request", f"SELECT c_custkey, {S.PROFILE} || c_custkey AS request_url FROM customer")
