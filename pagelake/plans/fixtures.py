@@ -411,7 +411,11 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     path = _LANDINGS.get(key)
     if path is None:
         path = fresh_dir(spark, "landing")
-        landed_pages(spark, sf_dir).write.partitionBy("kind").parquet(path)
+        # Spread each kind over many files (a fetcher's output is many files,
+        # and a file with one row group is one input split).
+        files = max(8, 2 * spark.sparkContext.defaultParallelism)
+        landed_pages(spark, sf_dir).repartition(files, "kind", "page_key") \
+            .write.partitionBy("kind").parquet(path)
         _LANDINGS[key] = path
     return path
 
