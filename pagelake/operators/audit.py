@@ -66,17 +66,26 @@ def retry_backlog(fetches: DataFrame, codes: Sequence[int] = RETRY_CODES,
 
 def error_streaks(fetches: DataFrame, n: int = STREAK_LIMIT, by: Sequence[str] = ("seed_key",),
                   order: Sequence[str] = ("fetched_at", "page_key"),
-                  failed=None) -> DataFrame:
+                  failed=None, method: str = "balanced") -> DataFrame:
     """Runs of at least ``n`` failures in a row per ``by`` (gaps and islands):
     a running count of successes numbers the runs of failures between them.
 
+    ``method='balanced'`` (default) computes the running count with
+    ``keyed_running_count``, so a slice with a third of all fetches is still
+    spread over many tasks; ``'window'`` uses one window per slice.
+
     Output: ``by`` columns, ``run`` (successes before the run), ``first_at``,
     ``last_at``, ``length``.
     """
+    from pagelake.operators.ordinal import keyed_running_count
+
     failed = (F.col("http_status") != 200) if failed is None else failed
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    marked = fetches.select(*by, *order, failed.alias("_failed"))
-    marked = marked.withColumn("run", F.sum((~F.col("_failed")).cast("long")).over(w))
+    marked = fetches.select(*by, *order, F.coalesce(failed, F.lit(False)).alias("_failed"))
+    if method == "window":
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        marked = marked.withColumn("run", F.sum((~F.col("_failed")).cast("long")).over(w))
+    else:
+        marked = keyed_running_count(marked, list(by), list(order), ~F.col("_failed"), name="run")
     runs = marked.where("_failed").groupBy(*by, "run").agg(
         F.min(F.struct(*order))[order[0]].alias("first_at"),
         F.max(F.struct(*order))[order[0]].alias("last_at"),

@@ -131,3 +131,33 @@ def order_requests(requests: DataFrame, priority: str = "priority",
     """Higher priority first (missing priority is 0), with a position."""
     pr = F.coalesce(F.col(priority), F.lit(0))
     return add_ordinal(requests, [pr.desc(), *[F.col(t) for t in tie]], "queue_pos")
+
+
+def keyed_running_count(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
+                        flag: Column | None = None, name: str = "running", inclusive: bool = True) -> DataFrame:
+    """Per key, in ``order``: how many rows so far have ``flag`` (all rows when
+    ``flag`` is None; ``inclusive`` counts the current row).
+
+    A window partitioned by the key would put a key holding a third of all
+    rows into one task.  Instead: a range-partitioned sort on (key, order)
+    splits such a key over many partitions; a window over (partition, key)
+    counts inside each piece; a small table of per-(partition, key) totals
+    gives each piece the count carried in from the earlier pieces of its key.
+    The sorted frame is checkpointed, so partition ids cannot change between
+    the two uses.
+    """
+    work_dir(df.sparkSession)
+    okeys = [F.col(k) for k in keys] + _cols(order)
+    x = F.lit(1) if flag is None else F.coalesce(flag, F.lit(False)).cast("long")
+    ranged = df.repartitionByRange(*okeys).sortWithinPartitions(*okeys)
+    marked = ranged.select("*", F.spark_partition_id().alias("_pid"), x.cast("long").alias("_x")) \
+        .checkpoint(eager=True)
+    w = Window.partitionBy("_pid", *keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding,
+                                                                          Window.currentRow)
+    local = marked.withColumn("_local", F.sum("_x").over(w))
+    totals = marked.groupBy("_pid", *keys).agg(F.sum("_x").alias("_t"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = totals.select("_pid", *keys, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_carry"))
+    out = local.join(carry, ["_pid", *keys], "inner")
+    value = F.col("_carry") + F.col("_local") - (F.lit(0) if inclusive else F.col("_x"))
+    return out.withColumn(name, value.cast("long")).drop("_pid", "_x", "_local", "_carry")

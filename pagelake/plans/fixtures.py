@@ -30,18 +30,20 @@ data itself:
   (``user_id``, ``props.k``); status by ``event_type``; attempts counted per
   URL in time order.
 
-The per-group windows here are over small groups (one order, one page of a
-feed); the feed ranking is per account and per source.
+Positions inside an account, order, source, brand or URL come from
+``keyed_running_count``, which stays balanced when one key holds a large
+share of the rows; per-page assembly groups at most one page of items.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.functions.time import site_time_text
+from pagelake.operators.ordinal import keyed_running_count
 from pagelake.functions.urls import (
     comment_request, profile_request, status_list_request, supertopic_request,
     topic_name_request, topic_search_request,
@@ -106,16 +108,21 @@ def container_of(user: Column) -> Column:
     return F.concat(F.lit("107603"), user.cast("string"))
 
 
+def rank_within(df: DataFrame, keys: list[str], order: list, name: str = "rn") -> DataFrame:
+    """0-based position inside each key (skew-safe: see ``keyed_running_count``)."""
+    return keyed_running_count(df, keys, order, None, name=name, inclusive=False)
+
+
+def count_within(df: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Rows per key joined back (a hash aggregate, then an equi-join)."""
+    return df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys)
+
+
 def status_posts(orders: DataFrame) -> DataFrame:
-    """Post-level rows of the feed layout: ``user, oid, rn, page_no, pos``."""
-    w = Window.partitionBy("o_custkey").orderBy(F.desc("o_orderkey"))
-    o = orders.select(
-        F.col("o_custkey").alias("user"), F.col("o_orderkey").alias("oid"),
-        "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus",
-        (F.row_number().over(w) - 1).alias("rn"),
-        F.lag("o_orderkey").over(w).alias("prev_oid"),
-        F.count(F.lit(1)).over(Window.partitionBy("o_custkey")).alias("n_posts"),
-    )
+    """Post-level rows of the feed layout: ``user, oid, rn, page_no, pos, n_posts``."""
+    o = orders.select(F.col("o_custkey").alias("user"), F.col("o_orderkey").alias("oid"),
+                      "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    o = count_within(rank_within(o, ["user"], [F.col("oid").desc()]), ["user"], "n_posts")
     page_no = F.floor(F.col("rn") / POSTS_PER_PAGE).cast("int")
     return o.withColumn("page_no", page_no).withColumn("pos", F.col("rn") - F.col("page_no") * POSTS_PER_PAGE + 1)
 
@@ -143,9 +150,11 @@ def status_pages(orders: DataFrame) -> DataFrame:
     pages = posts.groupBy("user", "page_no").agg(
         F.collect_list(F.struct("pos", "json")).alias("cards"),
         F.min("oid").alias("last_oid"),
-        F.min_by("prev_oid", "rn").alias("cursor_in"),
         F.max("n_posts").alias("n_posts"),
     )
+    # The request of page p carries the cursor of page p - 1 (a page-level join).
+    prev = pages.select("user", (F.col("page_no") + 1).alias("page_no"), F.col("last_oid").alias("cursor_in"))
+    pages = pages.join(prev, ["user", "page_no"], "left")
     promo = ('{"card_type":9,"itemid":"promo","scheme":"https://m.weibo.cn/p/promo",'
              '"mblog":{"id":"0"}}')
     label = '{"card_type":11,"itemid":"label","scheme":"https://m.weibo.cn/p/label","show_type":1,"title":"more"}'
@@ -205,10 +214,8 @@ def profile_pages(customer: DataFrame) -> DataFrame:
 def comment_rows(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Comment-level rows: ``oid, user, ln_rank, page_no, pos, n_lines``."""
     # Line numbers repeat within an order; the other columns make the order total.
-    w = Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)
-    li = lineitem.select("l_orderkey", "l_linenumber", "l_suppkey", "l_quantity", "l_discount", "l_tax",
-                         "l_shipdate", (F.row_number().over(w) - 1).alias("r"),
-                         F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")).alias("n_lines"))
+    li = lineitem.select("l_orderkey", *LINE_ORDER)
+    li = count_within(rank_within(li, ["l_orderkey"], list(LINE_ORDER), name="r"), ["l_orderkey"], "n_lines")
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user"),
                       "o_orderpriority", "o_orderstatus")
     rows = li.join(o, "l_orderkey")
@@ -259,9 +266,7 @@ def feed_of(source: Column) -> Column:
 
 
 def supertopic_pages(documents: DataFrame) -> DataFrame:
-    w = Window.partitionBy("source").orderBy("doc_id")
-    d = documents.select("doc_id", "text", "lang", "source", "n_chars",
-                         (F.row_number().over(w) - 1).alias("r"))
+    d = rank_within(documents.select("doc_id", "text", "lang", "source", "n_chars"), ["source"], ["doc_id"], "r")
     d = d.withColumn("page_no", F.floor(F.col("r") / FEED_POSTS_PER_PAGE).cast("int"))
     d = d.withColumn("pos", F.col("r") - F.col("page_no") * FEED_POSTS_PER_PAGE)
     user = F.struct(
@@ -313,8 +318,7 @@ def topic_pages(part: DataFrame) -> DataFrame:
         film.alias("seed_key"), F.lit(0).alias("page_no"), topic_name_request(film).alias("request_url"),
         name_body.alias("body"))
 
-    w = Window.partitionBy("p_brand").orderBy("p_partkey")
-    p = part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size", (F.row_number().over(w) - 1).alias("r"))
+    p = rank_within(part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), ["p_brand"], ["p_partkey"], "r")
     p = p.withColumn("page_no", (F.floor(F.col("r") / TOPICS_PER_PAGE) + 1).cast("int"))
     p = p.withColumn("pos", F.col("r") - (F.col("page_no") - 1) * TOPICS_PER_PAGE)
     item = F.struct(F.lit(8).alias("card_type"), F.col("p_name").alias("title_sub"), F.col("p_type").alias("desc1"),
@@ -351,8 +355,8 @@ def fetch_log(events: DataFrame) -> DataFrame:
                         F.lit(200))
     e = events.select("event_id", "ts", "user_id", url.alias("request_url"), status.alias("http_status"),
                       k.try_cast("int").alias("page_no"))
-    w = Window.partitionBy("request_url").orderBy("ts", "event_id")
-    e = e.withColumn("attempt", F.row_number().over(w).cast("int"))
+    e = keyed_running_count(e, ["request_url"], ["ts", "event_id"], None, name="attempt") \
+        .withColumn("attempt", F.col("attempt").cast("int"))
     return _pages(e.select(
         F.concat(F.lit("fetch:"), F.col("event_id").cast("string")).alias("page_key"),
         F.lit("status_list").alias("kind"), user.alias("seed_key"), "page_no", "request_url",

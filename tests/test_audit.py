@@ -53,3 +53,16 @@ def test_missing_cursor_report(spark, pages_df):
             page("topic_name", {"data": {}}, seed_key="3")]
     got = {(r.kind, r.reason): r.n_pages for r in au.missing_cursor_report(pages_df(rows)).collect()}
     assert got == {("status_list", "no_cardlist"): 1, ("status_list", "no_since_id"): 1, ("topic_name", "no_ok"): 1}
+
+
+def test_error_streaks_methods_agree(spark, pages_df):
+    import random
+    rnd = random.Random(3)
+    rows = fetch_rows([500 if rnd.random() < 0.8 else 200 for _ in range(400)], key="a") + \
+        fetch_rows([500 if rnd.random() < 0.7 else 200 for _ in range(300)], key="b")
+    for i, r in enumerate(rows):
+        r["page_key"] = f"k{i:04d}"
+    df = pages_df(rows)
+    a = sorted(tuple(r) for r in au.error_streaks(df, n=5).collect())
+    b = sorted(tuple(r) for r in au.error_streaks(df, n=5, method="window").collect())
+    assert a == b and len(a) > 0

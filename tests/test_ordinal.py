@@ -70,3 +70,15 @@ def test_fixed_slice(spark):
     rows = od.fixed_slice(df).orderBy("ordinal").collect()
     assert [(r.slice, r.sub, r.covered) for r in rows] == [
         (0, 0, True), (0, 0, True), (0, 1, True), (0, 49, True), (0, 50, False), (0, 50, False), (1, 0, True)]
+
+
+def test_keyed_running_count_splits_hot_key(spark, no_coalesce):
+    import random
+    rnd = random.Random(7)
+    rows = [("hot" if rnd.random() < 0.6 else f"k{rnd.randint(0, 5)}", i, rnd.random() < 0.4) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, t long, f boolean").repartition(11)
+    got = {(r.k, r.t): r.running for r in od.keyed_running_count(df, ["k"], ["t"], F.col("f")).collect()}
+    seen = {}
+    for k, t, f in sorted(rows, key=lambda r: (r[0], r[1])):
+        seen[k] = seen.get(k, 0) + int(f)
+        assert got[(k, t)] == seen[k]
