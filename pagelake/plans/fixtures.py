@@ -394,7 +394,7 @@ def _signature(sf_dir: str) -> tuple:
     import os
 
     sig = []
-    for name in ("orders", "customer", "lineitem", "documents", "part"):
+    for name in ("orders", "customer", "lineitem", "documents", "part", "events"):
         base = f"{sf_dir.rstrip('/')}/{name}.parquet"
         try:
             paths = [base] if os.path.isfile(base) else sorted(
@@ -432,3 +432,20 @@ def landed(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None) ->
     if kinds:
         pages = pages.where(F.col("kind").isin(*kinds))
     return pages
+
+
+_FETCH_LOGS: dict[tuple, str] = {}
+
+
+def landed_fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fetch log, landed once per session (like the pages)."""
+    from pagelake.session import fresh_dir
+    from pagelake.sources.pages import read_pages
+
+    key = (spark.sparkContext.applicationId, sf_dir, _signature(sf_dir))
+    path = _FETCH_LOGS.get(key)
+    if path is None:
+        path = fresh_dir(spark, "fetch-log")
+        fetch_log(table(spark, sf_dir, "events")).write.parquet(path)
+        _FETCH_LOGS[key] = path
+    return read_pages(spark, path)

@@ -52,7 +52,7 @@ SELECT request_url, attempts, last_status, CAST(13 - attempts AS INTEGER) AS ret
 WHERE last_status IN (500, 502, 503, 504, 522, 524, 408, 301, 302, 403, 418) AND attempts <= 12"""))
 def q_retry_backlog(spark, sf):
     """URLs whose latest try failed with a retryable status and that have tries left."""
-    log = fx.fetch_log(fx.table(spark, sf, "events"))
+    log = fx.landed_fetches(spark, sf)
     return au.retry_backlog(log).select("request_url", "attempts", "last_status", "retries_left")
 
 
@@ -66,7 +66,7 @@ SELECT CAST(user_id AS VARCHAR) AS seed_key, CAST(run AS BIGINT) AS run, min(ts)
 FROM f WHERE failed GROUP BY 1, 2 HAVING count(*) >= 15"""))
 def q_error_streaks(spark, sf):
     """Runs of 15 or more failed fetches in a row, per account."""
-    return au.error_streaks(fx.fetch_log(fx.table(spark, sf, "events")))
+    return au.error_streaks(fx.landed_fetches(spark, sf))
 
 
 @query("missing_cursor_report", S.with_(S.POSTS, """

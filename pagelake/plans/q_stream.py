@@ -68,7 +68,7 @@ FROM g GROUP BY 1, 2 HAVING count(*) >= 15""")
 def q_stream_error_streak(spark, sf):
     """An alert row when an account's fetches fail 15 times in a row (stream in time order)."""
     landing, sink = fresh_dir(spark, "landing"), fresh_dir(spark, "sink")
-    log = fx.fetch_log(fx.table(spark, sf, "events"))
+    log = fx.landed_fetches(spark, sf)
     # Land in time order: consecutive five-day ranges of the month, one write each.
     log = log.withColumn("_bucket", F.floor(F.datediff(F.col("fetched_at"), F.lit("2024-01-01")) / 5))
     for b in range(7):
