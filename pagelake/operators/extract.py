@@ -119,15 +119,8 @@ def parsed_cards(pages: DataFrame, kind: str = "status_list", nested: str = "mbl
     return p.select(*_keep(p), F.inline(a))
 
 
-def status_cards(pages: DataFrame) -> DataFrame:
-    """Every card of ``status_list`` pages, classified.
-
-    Columns: page columns, ``pos``, ``is_promo`` (exactly 4 keys, or no
-    ``mblog`` key: recommendation and label slots), the status fields, the
-    written ``year`` / ``month`` and ``reject_reason`` (NULL for a good post).
-    """
-    cards = parsed_cards(pages)
-    c, m = F.col("_m"), F.col("_mb")
+def _status_fields(c: Column, m: Column) -> dict[str, Column]:
+    """Derived fields of a post card from its map ``c`` and ``mblog`` map ``m``."""
     edit_at = get(m, "created_at")
     is_promo = (F.size(F.map_keys(c)) == 4) | ~F.map_contains_key(c, F.lit("mblog"))
     reason = (F.when(c.isNull(), "card_not_object")
@@ -136,25 +129,88 @@ def status_cards(pages: DataFrame) -> DataFrame:
               .when(created_year(edit_at).isNull(), "bad_created_at")
               .when(missing_any(m, STATUS_FIELDS) | ~F.map_contains_key(c, F.lit("scheme")),
                     "missing_field"))
+    return {
+        "is_promo": F.coalesce(is_promo, F.lit(False)),
+        "edit_at": edit_at,
+        "created_ts": created_ts(edit_at),
+        "text": get(m, "text"),
+        "reposts_count": counter(get(m, "reposts_count")),
+        "comments_count": counter(get(m, "comments_count")),
+        "attitudes_count": counter(get(m, "attitudes_count")),
+        "status_id": get(m, "id"),
+        "origin_url": strip_query(get(c, "scheme")),
+        "year": created_year(edit_at),
+        "month": created_month(edit_at),
+        "reject_reason": reason,
+    }
+
+
+def _cut_pages(pages: DataFrame, page_stop) -> DataFrame:
+    """Cards of each page up to (not including) the first card for which
+    ``page_stop(fields)`` holds, cut inside the page's own row: no shuffle."""
+    p = pages.where(F.col("kind") == "status_list")
+    raw = F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"]
+    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
+                                               F.from_json(c, MAP).alias("_m")))
+    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
+                                          F.from_json(get(x["_m"], "mblog"), MAP).alias("_mb")))
+    a = F.transform(a, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "card", "_m", "_mb")],
+                                          F.coalesce(page_stop(_status_fields(x["_m"], x["_mb"])),
+                                                     F.lit(False)).alias("_stop")))
+    p = p.select(*_keep(p), a.alias("_cards"))
+    first = F.array_min(F.transform(F.filter("_cards", lambda x: x["_stop"]), lambda x: x["pos"]))
+    kept = F.filter("_cards", lambda x: first.isNull() | (x["pos"] < first))
+    kept = F.transform(kept, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "card", "_m", "_mb")]))
+    return p.select(*_keep(p), F.inline(kept))
+
+
+def status_cards(pages: DataFrame, page_stop=None) -> DataFrame:
+    """Every card of ``status_list`` pages, classified.
+
+    Columns: page columns, ``pos``, ``is_promo`` (exactly 4 keys, or no
+    ``mblog`` key: recommendation and label slots), the status fields, the
+    written ``year`` / ``month`` and ``reject_reason`` (NULL for a good post).
+
+    ``page_stop``: a function of the derived fields (a dict of Columns); each
+    page keeps only its cards before the first one where it holds (the
+    strict-page rule, C9), decided inside the page's row.
+    """
+    cards = parsed_cards(pages) if page_stop is None else _cut_pages(pages, page_stop)
+    f = _status_fields(F.col("_m"), F.col("_mb"))
     return cards.select(
-        *_keep(cards), "pos",
-        F.coalesce(is_promo, F.lit(False)).alias("is_promo"),
+        *_keep(cards), "pos", f["is_promo"].alias("is_promo"),
         F.col("seed_key").try_cast("bigint").alias("user_id"),
-        edit_at.alias("edit_at"),
-        created_ts(edit_at).alias("created_ts"),
-        get(m, "text").alias("text"),
-        counter(get(m, "reposts_count")).alias("reposts_count"),
-        counter(get(m, "comments_count")).alias("comments_count"),
-        counter(get(m, "attitudes_count")).alias("attitudes_count"),
-        get(m, "id").alias("status_id"),
-        strip_query(get(c, "scheme")).alias("origin_url"),
-        created_year(edit_at).alias("year"),
-        created_month(edit_at).alias("month"),
-        reason.alias("reject_reason"),
+        *[f[k].alias(k) for k in ("edit_at", "created_ts", "text", "reposts_count", "comments_count",
+                                  "attitudes_count", "status_id", "origin_url", "year", "month",
+                                  "reject_reason")],
         "card",
     )
 
 
+def month_bad(min_year: int, month: int):
+    """Strict-page rule for the month window: a non-promo card whose date is
+    unreadable or whose month name is unknown, or an emitted-month card that
+    lacks a field; a stop card is not bad (it is read first)."""
+    def rule(f: dict[str, Column]) -> Column:
+        y, mo, why = f["year"], f["month"], f["reject_reason"]
+        stop = (F.coalesce(y < F.lit(min_year), F.lit(False))
+                | F.coalesce((y >= F.lit(min_year)) & (mo < F.lit(month)), F.lit(False)))
+        bad = (why.isin("card_not_object", "mblog_not_object", "missing_created_at", "bad_created_at")
+               | (F.coalesce(y >= F.lit(min_year), F.lit(False)) & mo.isNull())
+               | ((mo == F.lit(month)) & why.isNotNull()))
+        return ~f["is_promo"] & F.coalesce(bad, F.lit(False)) & ~stop
+    return rule
+
+
+def year_bad(min_year: int):
+    """Strict-page rule for the year cutoff: a non-promo card that is bad and
+    not already a stop (an old year is read before the other fields)."""
+    def rule(f: dict[str, Column]) -> Column:
+        old = F.coalesce(f["year"] < F.lit(min_year), F.lit(False))
+        return ~f["is_promo"] & f["reject_reason"].isNotNull() & ~old
+    return rule
+
+
 STATUS_OUT = ["user_id", "edit_at", "created_ts", "text", "reposts_count", "comments_count",
               "attitudes_count", "status_id", "origin_url"]
 

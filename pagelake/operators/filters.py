@@ -125,6 +125,28 @@ def year_cutoff(cards: DataFrame, min_year: int, keys: Sequence[str] = ("seed_ke
     return kept.where(F.col("reject_reason").isNull())
 
 
+def month_window_pages(pages: DataFrame, min_year: int = 2023, month: int = 4, strict: bool = False) -> DataFrame:
+    """``month_window`` straight from ``status_list`` pages; with ``strict`` the
+    page rule is applied inside each page's row."""
+    from pagelake.operators import extract as ex
+
+    if strict:
+        return month_window(ex.status_cards(pages, page_stop=ex.month_bad(min_year, month)), min_year, month)
+    return month_window(ex.status_cards(pages), min_year, month)
+
+
+def year_cutoff_pages(pages: DataFrame, min_year: int, strict: bool = False, mode: str = "prefix") -> DataFrame:
+    """``year_cutoff`` straight from ``status_list`` pages.  With ``strict``
+    the page rule is applied inside each page's row (no shuffle, no second
+    parse) before the account-level cutoff."""
+    from pagelake.operators import extract as ex
+
+    if strict:
+        cards = ex.status_cards(pages, page_stop=ex.year_bad(min_year))
+        return year_cutoff(cards, min_year, mode=mode)
+    return year_cutoff(ex.status_cards(pages), min_year, mode=mode)
+
+
 def month_window(cards: DataFrame, min_year: int = 2023, month: int = 4,
                  keys: Sequence[str] = ("seed_key",), order: Sequence[str] = ("page_no", "pos"),
                  strict: bool = False) -> DataFrame:

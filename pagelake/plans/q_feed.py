@@ -71,8 +71,8 @@ stops AS (SELECT user_id, min(rn) AS first_stop FROM kept WHERE NOT bad_date AND
 SELECT {S.STATUS_COLS} FROM kept LEFT JOIN stops USING (user_id)
 WHERE (first_stop IS NULL OR rn < first_stop) AND {S.GOOD_POST}"""))
 def q_strict_page(spark, sf):
-    """The first bad card ends its page, then the year cutoff."""
-    return fl.year_cutoff(ex.status_cards(status_pages(spark, sf)), CUTOFF_YEAR, strict=True).select(*ex.STATUS_OUT)
+    """The first bad card ends its page (decided inside the page), then the year cutoff."""
+    return fl.year_cutoff_pages(status_pages(spark, sf), CUTOFF_YEAR, strict=True).select(*ex.STATUS_OUT)
 
 
 @query("month_window", S.with_(S.POSTS, f"""

@@ -124,3 +124,55 @@ def test_on_allowed_domain(spark):
 def test_id_at_least(spark):
     df = spark.createDataFrame([("5",), ("12",), ("x",)], "id string")
     assert [r.id for r in fl.id_at_least(df, "id", 10).collect()] == ["12"]
+
+
+def test_page_local_strict_equals_shuffle_strict(spark, pages_df):
+    from conftest import page
+    from pagelake.operators import extract as ex
+
+    def post(i, year, text=True):
+        mb = {"id": str(i), "created_at": f"Fri Nov 18 16:39:14 +0800 {year}", "reposts_count": 1,
+              "comments_count": 2, "attitudes_count": 3}
+        if text:
+            mb["text"] = "t"
+        return {"card_type": 9, "itemid": str(i), "scheme": "s", "show_type": 0, "mblog": mb}
+
+    pages = [page("status_list", {"ok": 1, "data": {"cards": [post(1, 2022), post(2, "x"), post(3, 2022)]}},
+                  seed_key="1", page_no=0),
+             page("status_list", {"ok": 1, "data": {"cards": [post(4, 2022), post(5, 2015, text=False)]}},
+                  seed_key="1", page_no=1),
+             page("status_list", {"ok": 1, "data": {"cards": [post(6, 2022, text=False), post(7, 2022)]}},
+                  seed_key="2", page_no=0),
+             page("status_list", {"ok": 1, "data": {"cards": [post(8, 2022)]}}, seed_key="2", page_no=1)]
+    df = pages_df(pages)
+    a = sorted(r.status_id for r in fl.year_cutoff_pages(df, 2017, strict=True).collect())
+    b = sorted(r.status_id for r in fl.year_cutoff(ex.status_cards(df), 2017, strict=True).collect())
+    assert a == b == ["1", "4", "8"]
+
+
+@settings(max_examples=15, deadline=None)
+@given(accounts())
+def test_month_window_pages_strict_matches_loop(spark, data):
+
+    from conftest import page
+    from pagelake.schemas import RAW_PAGES
+
+    months = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
+    rows = []
+    for u, pages in enumerate(data):
+        for p, cards in enumerate(pages):
+            out = []
+            for i, (y, m, promo, bad) in enumerate(cards):
+                if promo:
+                    out.append({"a": 1, "b": 2, "c": 3, "mblog": {}})
+                    continue
+                date = f"Fri {months[m - 1]} 18 16:39:14 +0800 {y}" if y else "just now"
+                mb = {"id": f"{u}:{p}:{i}", "created_at": date, "reposts_count": 1, "comments_count": 2,
+                      "attitudes_count": 3}
+                if not bad:
+                    mb["text"] = "t"
+                out.append({"card_type": 9, "itemid": "x", "scheme": "s", "show_type": 0, "mblog": mb})
+            rows.append(page("status_list", {"ok": 1, "data": {"cards": out}}, seed_key=str(u), page_no=p))
+    df = spark.createDataFrame([tuple(r[f.name] for f in RAW_PAGES.fields) for r in rows], RAW_PAGES)
+    got = sorted(r.status_id for r in fl.month_window_pages(df, 2023, 4, strict=True).collect())
+    assert got == py_month_window(data, 2023, 4, True)
