@@ -16,7 +16,7 @@ from pagelake.plans import sql as S
 from pagelake.plans.q_feed import status_pages
 from pagelake.plans.q_pages import comment_pages, feed_pages, profile_pages, topic_pages
 from pagelake.plans.registry import query
-from pagelake.schemas import RAW_PAGES, TABLE_TAGS
+from pagelake.schemas import TABLE_TAGS
 from pagelake.session import fresh_dir
 from pagelake.sinks import tables as sk
 from pagelake.sources.pages import read_pages

@@ -136,8 +136,9 @@ def q_fixed_slice(spark, sf):
 
 
 def done_list(spark: SparkSession, sf: str) -> DataFrame:
+    """The done list (labelled document ids, one per line), read as a set."""
     path = write_lines(fx.table(spark, sf, "labels"), "doc_id", ["doc_id"], fresh_dir(spark, "done"))
-    return sd.read_id_list(spark, path, "id")
+    return sd.read_lines(spark, path, "id")
 
 
 @query("exclude_done", """

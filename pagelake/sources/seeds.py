@@ -31,6 +31,13 @@ def read_id_list(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
         .select("ordinal", name)
 
 
+def read_lines(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
+    """Text file(s), one value per line, where line order does not matter
+    (a done list used as a set): no ordinal, so no sort."""
+    v = F.trim(F.col("value"))
+    return spark.read.text(path).select(v.alias(name)).where(F.col(name) != "")
+
+
 def zip_lists(a: DataFrame, b: DataFrame) -> DataFrame:
     """Pair line *i* of one list with line *i* of another (inner: shorter wins)."""
     return a.join(b, "ordinal", "inner")
