@@ -237,11 +237,12 @@ def status_page_cursor(pages: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- profiles
 
-def extract_profiles(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
+def extract_profiles(pages: DataFrame, with_rejects: bool = False, container: bool = False) -> DataFrame:
     """``data.userInfo`` -> one ``profiles`` row per profile page.
 
     ``verified_reason`` is kept only when ``verified`` is true (else ``''``).
     A page missing a field gives no row (``with_rejects`` shows it instead).
+    ``container`` adds the post-list ``container_id`` from the same page.
     """
     p = pages.where(F.col("kind") == "profile")
     info = as_map(F.get_json_object("body", "$.data.userInfo"))
@@ -263,6 +264,7 @@ def extract_profiles(pages: DataFrame, with_rejects: bool = False) -> DataFrame:
         verified.alias("verified"),
         verified_reason(verified, get(u, "verified_reason")).alias("verified_reason"),
         reason.alias("reject_reason"),
+        *([extract_container_id("body").alias("container_id")] if container else []),
     )
     if with_rejects:
         return out

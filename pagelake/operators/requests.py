@@ -35,11 +35,8 @@ def derived_requests(pages: DataFrame, min_year: int | None = None,
     page; topic search page -> next page.
     """
     out = []
-    prof = ex.extract_profiles(pages)
-    cid = ex.extract_container_id(F.col("body"))
-    prof_pages = pages.where(F.col("kind") == "profile").select("page_key", "request_url", cid.alias("cid"))
-    prof_ok = prof_pages.join(prof.select("page_key"), "page_key", "left_semi")
-    out.append(_req(prof_ok, status_list_request("request_url", "cid"), "status_list", 10, True))
+    prof = ex.extract_profiles(pages, container=True)
+    out.append(_req(prof, status_list_request("request_url", "container_id"), "status_list", 10, True))
 
     cur = ex.status_page_cursor(pages)
     if min_year is not None:
