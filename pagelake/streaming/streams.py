@@ -92,35 +92,37 @@ def _take_until_fn(min_year: int):
     out_cols = [f.name for f in TAKE_OUT.fields]
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True)
         if state.exists:
             next_page, stopped, held = state.get
         else:
             next_page, stopped, held = 0, False, "[]"
-        if stopped:
-            return
-        held_df = pd.DataFrame(json.loads(held))
-        rows = pd.concat([held_df, rows], ignore_index=True) if len(held_df) else rows
-        emitted = []
-        while not stopped:
-            page = rows[rows["page_no"] == next_page]
-            if not bool((page["pos"] < 0).any()):
-                break  # this page has not landed yet
-            for _, card in page[page["pos"] >= 0].sort_values("pos").iterrows():
-                if bool(card["is_promo"]):
-                    continue
-                year = card["year"]
-                if pd.notna(year) and int(year) < min_year:
-                    stopped = True
-                    break
-                if pd.isna(card["reject_reason"]):
-                    emitted.append(card[out_cols])
-            next_page += 1
-        rows = rows[rows["page_no"] >= next_page]  # pages already passed are dropped
+        rows = pd.DataFrame(json.loads(held))
+        for chunk in batches:  # Arrow chunks: only held pages plus one chunk are in memory
+            if stopped:
+                continue
+            rows = pd.concat([rows, chunk], ignore_index=True) if len(rows) else chunk
+            emitted = []
+            while not stopped:
+                page = rows[rows["page_no"] == next_page]
+                marks = page[page["pos"] < 0]
+                cards = page[page["pos"] >= 0].drop_duplicates("pos").sort_values("pos")
+                if marks.empty or len(cards) < int(marks["n_cards"].iloc[0]):
+                    break  # the page has not fully landed yet
+                for _, card in cards.iterrows():
+                    if bool(card["is_promo"]):
+                        continue
+                    year = card["year"]
+                    if pd.notna(year) and int(year) < min_year:
+                        stopped = True
+                        break
+                    if pd.isna(card["reject_reason"]):
+                        emitted.append(card[out_cols])
+                next_page += 1
+            rows = rows[rows["page_no"] >= next_page]  # pages already passed are dropped
+            if emitted:
+                yield pd.DataFrame(emitted)[out_cols]
         keep = [] if stopped else rows.to_dict(orient="records")
         state.update((int(next_page), bool(stopped), json.dumps(keep, default=_json_default)))
-        if emitted:
-            yield pd.DataFrame(emitted)[out_cols]
 
     return fn
 
@@ -134,15 +136,26 @@ def _json_default(v):
 
 
 def take_until_input(pages: DataFrame) -> DataFrame:
-    """Cards of post-list pages plus one marker row per page (``pos = -1``),
-    so a page with no cards still counts as landed."""
+    """One marker row per page (``pos = -1``, with the page's card count)
+    followed by its cards, all from one parse of the body: a page with no
+    cards still counts as landed, and a page is complete once all its cards
+    are in."""
     p = pages.where(F.col("kind") == "status_list")
-    cards = ex.status_cards(p).select(
-        "seed_key", "page_no", "pos", "is_promo", "year", "reject_reason", *CARD_FIELDS)
-    marks = p.select("seed_key", "page_no", F.lit(-1).cast("long").alias("pos"), F.lit(True).alias("is_promo"),
-                     F.lit(None).cast("int").alias("year"), F.lit(None).cast("string").alias("reject_reason"),
-                     *[F.lit(None).cast(f.dataType).alias(f.name) for f in TAKE_OUT.fields])
-    return cards.unionByName(marks)
+    raw = F.coalesce(F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"],
+                     F.array().cast("array<string>"))
+    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
+                                               F.from_json(c, ex.MAP).alias("_m")))
+    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
+                                          F.from_json(ex.get(x["_m"], "mblog"), ex.MAP).alias("_mb")))
+    mark = F.struct(F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("string").alias("card"),
+                    F.lit(None).cast(ex.MAP).alias("_m"), F.lit(None).cast(ex.MAP).alias("_mb"))
+    rows = p.select("seed_key", "page_no", F.size(raw).alias("n_cards"),
+                    F.inline(F.concat(F.array(mark), a)))
+    f = ex._status_fields(F.col("_m"), F.col("_mb"))
+    return rows.select("seed_key", "page_no", "n_cards", "pos", f["is_promo"].alias("is_promo"),
+                       f["year"].alias("year"), f["reject_reason"].alias("reject_reason"),
+                       F.col("seed_key").try_cast("bigint").alias("user_id"),
+                       *[f[k].alias(k) for k in CARD_FIELDS if k != "user_id"])
 
 
 def take_until_stateful(pages: DataFrame, min_year: int) -> DataFrame:

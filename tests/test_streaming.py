@@ -49,3 +49,12 @@ def test_stream_error_streak(spark, pages_df):
     st.stream_error_streak(spark, landing, sink, ckpt, n=15)
     got = spark.read.parquet(sink).orderBy("run").collect()
     assert [(r.run, r.alert_at.minute) for r in got] == [(1, 15), (2, 35)]
+
+
+def test_stream_take_until_small_chunks(spark, pages_df):
+    """Pages split over several Arrow chunks are released only when complete."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        test_stream_take_until_out_of_order(spark, pages_df)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
