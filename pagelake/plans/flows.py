@@ -56,3 +56,21 @@ def film_topics(pages: DataFrame, films: DataFrame) -> dict[str, DataFrame]:
     topics = ln.topics_for_films(films, titles, ex.extract_topics(pages))
     per_film = topics.groupBy("weibo_movie_id", "film_title").agg(F.count(F.lit(1)).alias("n_topics"))
     return {"titles": titles, "topics": topics, "per_film": per_film}
+
+
+def land_status_silver(pages: DataFrame, path: str) -> str:
+    """Bronze -> silver: every post-list card, classified, appended once to a
+    Parquet table (partitioned by load date).  Order-sensitive operators then
+    read silver: the stop side of ``take_until`` becomes a column-pruned scan
+    of (seed_key, page_no, pos, year) instead of a second parse of the pages."""
+    from pagelake.sinks.tables import append_table
+
+    cards = ex.status_cards(pages).drop("card")
+    append_table(cards, path)
+    return path
+
+
+def statuses_until_silver(spark, silver_path: str, min_year: int) -> DataFrame:
+    """Posts until the cutoff year, computed from the silver card table."""
+    cards = spark.read.parquet(silver_path)
+    return fl.year_cutoff(cards, min_year).select(*ex.STATUS_OUT)

@@ -84,3 +84,14 @@ def q_casts(spark, sf):
                         id_text(ex.get(F.col("_m"), "id")).alias("status_id"),
                         counter(ex.get(F.col("_m"), "comments_count")).alias("comments_count"),
                         counter(ex.get(F.col("_m"), "reposts_count")).alias("reposts_count"))
+
+
+@query("silver_statuses_until", S.with_(S.POSTS, f"""
+stops AS (SELECT user_id, min(rn) AS first_stop FROM posts WHERE NOT bad_date AND yr < {CUTOFF_YEAR} GROUP BY 1)
+SELECT {S.STATUS_COLS} FROM posts LEFT JOIN stops USING (user_id)
+WHERE (first_stop IS NULL OR rn < first_stop) AND {S.GOOD_POST}"""))
+def q_silver_statuses_until(spark, sf):
+    """The flagship through a silver table: cards appended once, cutoff read from silver."""
+    from pagelake.session import fresh_dir
+    path = flows.land_status_silver(status_pages(spark, sf), fresh_dir(spark, "silver-cards"))
+    return flows.statuses_until_silver(spark, path, CUTOFF_YEAR)
