@@ -163,3 +163,30 @@ def test_topics_and_title(spark, pages_df):
     assert len(ex.extract_topics(df, strict_type=True, card_type=8).collect()) == 1
     titles = {r.film_id: r.title for r in ex.extract_topic_title(df).collect()}
     assert titles == {"f1": "Film / 1", "f2": ""}
+
+
+def _dated(i, text_date):
+    return dict(POST, itemid=str(i), mblog=dict(POST["mblog"], id=str(i), created_at=text_date))
+
+
+def test_month_window_named_cases(spark, pages_df):
+    """Months 5, 4, 3 of 2023 and 4, 1 of 2024, newest first."""
+    a = [_dated(1, "Mon May 15 10:00:00 +0800 2023"), _dated(2, "Sat Apr 15 10:00:00 +0800 2023"),
+         _dated(3, "Wed Mar 15 10:00:00 +0800 2023"), _dated(4, "Sat Apr 01 10:00:00 +0800 2023")]
+    b = [_dated(5, "Mon Apr 15 10:00:00 +0800 2024"), _dated(6, "Mon Jan 15 10:00:00 +0800 2024"),
+         _dated(7, "Sat Apr 15 10:00:00 +0800 2023")]
+    df = pages_df([status_page(a, user="1"), status_page(b, user="2")])
+    got = sorted(r.status_id for r in fl.month_window(ex.status_cards(df), 2023, 4).collect())
+    assert got == ["2", "5"]  # May skipped, Mar stops user 1; Jan 2024 stops user 2 before 2023
+
+
+def test_year_cutoff_first_middle_and_page_two(spark, pages_df):
+    old = "Fri Nov 18 16:39:14 +0800 2016"
+    new = "Fri Nov 18 16:39:14 +0800 2022"
+    rows = [status_page([_dated(1, old), _dated(2, new)], user="1"),                       # old on top
+            status_page([_dated(3, new), _dated(4, old), _dated(5, new)], user="2"),         # in the middle
+            status_page([_dated(6, new)], user="3"),
+            status_page([_dated(7, new), _dated(8, old)], user="3", page_no=1),              # on page 2
+            status_page([_dated(9, new)], user="3", page_no=2)]
+    got = sorted(r.status_id for r in fl.year_cutoff(ex.status_cards(pages_df(rows)), 2017).collect())
+    assert got == ["3", "6", "7"]
