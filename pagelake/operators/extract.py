@@ -300,6 +300,9 @@ def comment_pages(pages: DataFrame) -> DataFrame:
                     get(d, "data").alias("_list"), d.isNull().alias("bad_page"))
 
 
+COMMENT_PAGE = "struct<data: struct<max_id: string, max_id_type: string, data: array<string>>>"
+
+
 def comment_items(pages: DataFrame) -> DataFrame:
     """Every element of ``data.data`` of comment pages, with ``reject_reason``.
 
@@ -308,15 +311,20 @@ def comment_items(pages: DataFrame) -> DataFrame:
     ``parsed_cards``), so cursor and field filters never re-parse a body.
     """
     p = pages.where(F.col("kind") == "hot_comments")
-    p = p.select(*_keep(p), F.from_json("body", f"struct<data: {MAP}>")["data"].alias("_d"))
+    # One typed parse of the body: the cursor fields and the comments as raw
+    # JSON.  Key presence is checked with a second, map parse only when a
+    # cursor field is NULL (absent and JSON null differ there).
+    p = p.select(*_keep(p), "body", F.from_json("body", COMMENT_PAGE)["data"].alias("_d"))
     d = F.col("_d")
-    has_cursor = F.coalesce(F.map_contains_key(d, F.lit("max_id")) & F.map_contains_key(d, F.lit("max_id_type")),
-                            F.lit(False))
-    lst = F.from_json(get(d, "data"), "array<string>")
-    a = F.transform(lst, lambda c, i: F.struct(
+    both = d["max_id"].isNotNull() & d["max_id_type"].isNotNull()
+    keys = F.from_json("body", f"struct<data: {MAP}>")["data"]
+    has_cursor = F.when(both, F.lit(True)).otherwise(F.coalesce(
+        F.map_contains_key(keys, F.lit("max_id")) & F.map_contains_key(keys, F.lit("max_id_type")), F.lit(False)))
+    p = p.select(*_keep(p), "_d", has_cursor.alias("_has_cursor"))
+    a = F.transform(d["data"], lambda c, i: F.struct(
         i.cast("long").alias("pos"), c.alias("item"), F.from_json(c, MAP).alias("_c"),
-        has_cursor.alias("has_cursor"), get(d, "max_id").alias("max_id"),
-        get(d, "max_id_type").alias("max_id_type")))
+        F.col("_has_cursor").alias("has_cursor"), d["max_id"].alias("max_id"),
+        d["max_id_type"].alias("max_id_type")))
     a = F.transform(a, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "item", "_c", "has_cursor", "max_id",
                                                                      "max_id_type")],
                                           F.from_json(get(x["_c"], "user"), MAP).alias("_u")))
