@@ -58,3 +58,22 @@ def test_stream_take_until_small_chunks(spark, pages_df):
         test_stream_take_until_out_of_order(spark, pages_df)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_stream_new_commenters_watermark(spark, pages_df):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    c = {"created_at": "Sat Nov 19 10:00:00 +0800 2022", "text": "x", "like_count": 1, "total_number": 0}
+
+    def cpage(i, users):
+        body = {"ok": 1, "data": {"data": [dict(c, user={"id": u, "screen_name": "n"}) for u in users],
+                                  "max_id": 0, "max_id_type": 0}}
+        return page("hot_comments", body, seed_key=str(i), parent_status_id=str(i),
+                    fetched_at=t0 + dt.timedelta(minutes=i))
+
+    landing = tempfile.mkdtemp(prefix="pl-land-")
+    pages_df([cpage(0, [1, 2]), cpage(1, [2, 3])]).coalesce(1).write.mode("append").parquet(landing)
+    pages_df([cpage(2, [3, 4, 4])]).coalesce(1).write.mode("append").parquet(landing)
+    sink, ckpt = tempfile.mkdtemp(prefix="pl-sink-"), tempfile.mkdtemp(prefix="pl-ckpt-")
+    st.stream_new_commenters(spark, landing, sink, ckpt, max_files=1, watermark="1 hour")
+    assert sorted(r.user_id for r in spark.read.parquet(sink).collect()) == [1, 2, 3, 4]
