@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import chat, licences, packing, sharding, sql, token_files
+from pagelake.llm import chat, licences, packing, quality, sharding, sql, token_files
 from pagelake.llm.common import table
 from pagelake.session import fresh_dir
 
@@ -61,3 +61,10 @@ def op7_proportional_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "source")
+
+
+@query
+def op5_mcd_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_rules(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                      "base_failed", "kept")
