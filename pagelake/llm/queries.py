@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import chat, decontaminate, jaccard, licences, packing, quality, sharding, sql, token_files
+from pagelake.llm import chat, decontaminate, jaccard, licences, packing, quality, sharding, sql, suffix_tree, token_files
 from pagelake.llm.common import table
 from pagelake.session import fresh_dir
 
@@ -78,3 +78,8 @@ def op10_token_group_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score_documents(table(spark, sf_dir, "documents"), suffix_tree.held_out_fold("doc_id"))
