@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelake.llm.tokens import PieceEncoder, slices
+from pagelake.llm.tokens import FileEncoder, slices
 
 SEQ_LEN = 2048
 
@@ -29,7 +29,7 @@ def binary_pieces(n: int, seq_len: int = SEQ_LEN) -> list[tuple[int, int]]:
     return out
 
 
-def pack(docs: DataFrame, tokenizer: str, kind: str = "bytes", end_id: int = 1, seq_len: int = SEQ_LEN,
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, seq_len: int = SEQ_LEN,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces of every row of ``docs``: ``doc_id``, ``start``, ``length``,
     ``ids`` (little-endian unsigned 32-bit), ``doc_tokens``, ``bucket``,
@@ -52,11 +52,11 @@ def pack(docs: DataFrame, tokenizer: str, kind: str = "bytes", end_id: int = 1,
         import numpy as np
         import pyarrow as pa
 
-        enc = PieceEncoder.load(tokenizer, kind)
+        enc = FileEncoder.load(tokenizer)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for b in slices(batches):
             rows, start, length, ids, total = [], [], [], [], []
-            for i, raw in enumerate(enc.encode(b.column(1).to_pylist())):
+            for i, raw in enumerate(map(enc.encode, b.column(1).to_pylist())):
                 raw += end
                 n = len(raw) // 4
                 for s, k in binary_pieces(n, seq_len):

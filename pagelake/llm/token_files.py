@@ -17,14 +17,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelake.llm.tokens import PieceEncoder, slices
+from pagelake.llm.tokens import FileEncoder, slices
 
 ROW_GROUP_BYTES = 16 << 20
 PAGE_BYTES = 256 << 10
 PAGE_ROWS = 2_000
 
 
-def encode_in_order(docs: DataFrame, tokenizer: str, kind: str, end_id: int,
+def encode_in_order(docs: DataFrame, tokenizer: str, end_id: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Range partitions in ascending id order: ``doc_id``, ``part``,
     ``local_start``, ``n_tokens``, ``ids``."""
@@ -38,11 +38,11 @@ def encode_in_order(docs: DataFrame, tokenizer: str, kind: str, end_id: int,
         import pyarrow as pa
         from pyspark import TaskContext
 
-        enc = PieceEncoder.load(tokenizer, kind)
+        enc = FileEncoder.load(tokenizer)
         end = np.asarray([end_id], dtype="<u4").tobytes()
         part, at = TaskContext.get().partitionId(), 0
         for b in slices(batches):
-            raw = [r + end for r in enc.encode(b.column(1).to_pylist())]
+            raw = [enc.encode(t) + end for t in b.column(1).to_pylist()]
             n = np.fromiter((len(r) // 4 for r in raw), dtype=np.int64, count=len(raw))
             offsets = np.concatenate([[0], np.cumsum(n)])
             flat = pa.array(np.frombuffer(b"".join(raw), dtype="<i4"))
@@ -58,7 +58,7 @@ def encode_in_order(docs: DataFrame, tokenizer: str, kind: str, end_id: int,
     return ordered.mapInArrow(encode, schema)
 
 
-def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "words", end_id: int = 2,
+def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2,
                       id_col: str = "doc_id", text_col: str = "text") -> str:
     """Write the files under ``path`` (a folder that does not exist yet).
 
@@ -67,7 +67,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, kind: str = "w
     columns are ignored.  An empty table writes no rows.
     """
     plain = "parquet.enable.dictionary#"
-    writer = encode_in_order(docs, tokenizer, kind, end_id, id_col, text_col).write
+    writer = encode_in_order(docs, tokenizer, end_id, id_col, text_col).write
     for k, v in {
         "parquet.writer.version": "v2", "parquet.block.size": ROW_GROUP_BYTES, "parquet.page.size": PAGE_BYTES,
         "parquet.page.row.count.limit": PAGE_ROWS, "compression": "zstd",

@@ -1,101 +1,96 @@
-"""Tokenising with a piece cache.
+"""Ids of a tokenizer file, quickly.
 
-``tokenizers`` cuts a text into pre-tokens and merges inside each pre-token
-alone, so equal pieces always give equal ids.  A worker therefore encodes each
-distinct piece once, in batches, and a text is the concatenation of its
-pieces' ids.  The cache is bounded (two generations of ``CACHE`` pieces).
+The ids are those of the ``tokenizers`` library for the file.  Its encoding
+objects cost several times the merges, so the merges of a byte-level BPE file
+are run by ``tiktoken``'s loop over the same vocabulary: merge ranks are the
+file's ids.  Two kinds of file are known:
 
-Two pre-tokenisers are known, by the name of the tokenizer file's own kind:
+* byte-level, with the pattern ``PATTERN``: the text goes in as it is;
+* with word ends (``</w>``), normalised by NFC, one blank for white space and
+  lower case: the text is normalised and cut to pre-tokens here, and a NUL
+  stands for the word end.
 
-* ``bytes``: the pattern ``'s|...| ?\\p{L}+| ?\\p{N}+| ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``.
-  A white-space run before a word gives its last character to the word when it
-  is a blank, else to a piece of its own; the rest of the run is one piece.
-* ``words``: white space is dropped, so every white-space separated word is a
-  piece.
-
-Texts that hold a special token's string, or one of the separators U+001C to
-U+001F (white space for Python only), are encoded whole.
+Texts for which the two libraries could differ (special tokens' strings, NUL,
+separators and letters that Python folds differently) are encoded by
+``tokenizers``, and so is everything if the file is of another kind.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import unicodedata
 
 import numpy as np
 
-CACHE = 200_000
-_ODD = re.compile("[\x1c-\x1f]")
-_RUNS = re.compile(r"\s+|\S+")
-_LOOSE = re.compile(r"[ \n](?:\s|$)")
-_LOADED: dict[tuple[str, str], "PieceEncoder"] = {}
-
-
-def byte_pieces(text: str) -> list[str]:
-    """Cut at pre-token boundaries of the byte-level pattern."""
-    if not _LOOSE.search(text):
-        # single blanks and newlines only: every blank starts a pre-token, every newline is one
-        head, *rest = text.replace("\n", " \n").split(" ")
-        return ([head] if head else []) + [p if p[:1] == "\n" else " " + p for p in rest]
-    out: list[str] = []
-    lead = ""
-    for run in _RUNS.findall(text):
-        if not run.isspace():
-            out.append(lead + run)
-            lead = ""
-        else:
-            lead = run
-            if len(run) > 1:
-                out.append(run[:-1])
-                lead = run[-1]
-            if lead != " ":
-                out.append(lead)
-                lead = ""
-    if text and text[-1].isspace():  # a run at the end is one pre-token
-        tail = len(text) - len(text.rstrip())
-        out = byte_pieces(text[:-tail]) if tail < len(text) else []
-        out.append(text[-tail:])
-    return out
-
-
-class PieceEncoder:
-    def __init__(self, path: str, kind: str):
+# The pre-token patterns of the two kinds of file.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+_ODD = re.compile("[\x00\x1c-\x1f\u0130\u03a3]")  # NUL, separators, dotted capital I, capital sigma
+_LOADED: dict[str, "FileEncoder"] = {}
+
+
+def byte_letters() -> dict[str, int]:
+    """The character that stands for each byte in byte-level vocabularies:
+    printable Latin-1 characters for themselves, the rest from U+0100 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+class FileEncoder:
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces = byte_pieces if kind == "bytes" else str.split
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join([_ODD.pattern, *map(re.escape, special)]))
-        self.new: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model, steps = spec["model"], (spec["normalizer"] or {}).get("normalizers", [])
+        suffix = model.get("end_of_word_suffix")
+        plain = model["type"] == "BPE" and not model.get("unk_token") and not model.get("dropout")
+        if plain and not suffix and spec["normalizer"] is None and spec["pre_tokenizer"] == {
+                "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}:
+            self._ranks(model["vocab"], PATTERN)
+            self.prepare = str
+        elif plain and suffix == WORD_END and [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] \
+                and WORD_PATTERN in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\"):
+            import regex
+
+            find = regex.compile(WORD_PATTERN).findall
+            self._ranks(model["vocab"], r"[^\x00]+\x00")
+            self.prepare = lambda t: "".join(w + "\0" for w in find(unicodedata.normalize("NFC", t).lower()))
+        else:
+            self.prepare = None
+
+    def _ranks(self, vocab: dict[str, int], pattern: str) -> None:
+        import tiktoken
+
+        letters = byte_letters()
+        ranks = {}
+        for token, i in vocab.items():
+            if token in self.special:
+                continue
+            body, end = (token[:-len(WORD_END)], b"\0") if token.endswith(WORD_END) else (token, b"")
+            ranks[bytes(letters[c] for c in body) + end] = i
+        self.fast = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
     @classmethod
-    def load(cls, path: str, kind: str) -> "PieceEncoder":
+    def load(cls, path: str) -> "FileEncoder":
         """One encoder per worker process."""
-        if (path, kind) not in _LOADED:
-            _LOADED[path, kind] = cls(path, kind)
-        return _LOADED[path, kind]
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [None if self.special.search(t or "") else self.pieces(t or "") for t in texts]
-        need = set().union(*(p for p in cut if p is not None))
-        if len(self.new) + len(need) > CACHE:
-            self.old, self.new = self.new, {}
-        missing = []
-        for p in need.difference(self.new):
-            if p in self.old:
-                self.new[p] = self.old[p]
-            else:
-                missing.append(p)
-        for lo in range(0, len(missing), 10_000):
-            some = missing[lo:lo + 10_000]
-            self.new.update(zip(some, self._raw(some)))
-        get = self.new.__getitem__
-        return [self._raw([t])[0] if p is None else b"".join(map(get, p)) for t, p in zip(texts, cut)]
+        if path not in _LOADED:
+            _LOADED[path] = cls(path)
+        return _LOADED[path]
+
+    def encode(self, text: str | None) -> bytes:
+        """Ids as little-endian unsigned 32-bit integers."""
+        text = text or ""
+        if self.prepare is None or _ODD.search(text) or any(x in text for x in self.special):
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        else:
+            ids = self.fast.encode_ordinary(self.prepare(text))
+        return np.asarray(ids, dtype="<u4").tobytes()
 
 
 def slices(batches, chars: int = 2_000_000, column: int = 1):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pagelake.llm import packing, token_files
-from pagelake.llm.tokens import PieceEncoder
+from pagelake.llm.tokens import FileEncoder
 from pagelake.session import fresh_dir
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -24,30 +24,20 @@ def whole(kind, text, end):
 
 
 @pytest.mark.parametrize("kind", ["bytes", "words"])
-def test_piece_ids_equal_whole_text_ids(kind):
-    enc = PieceEncoder(PATHS[kind], kind)
+def test_ids_equal_the_librarys(kind):
+    enc = FileEncoder(PATHS[kind])
+    assert enc.prepare is not None
 
-    @settings(max_examples=300, deadline=None)
-    @given(st.lists(st.one_of(st.text(alphabet="ab'sT1é \n\t\r .<|>!\x1c ", max_size=30), st.text(max_size=20),
+    @settings(max_examples=500, deadline=None)
+    @given(st.lists(st.one_of(st.text(alphabet="ab'sT1é \n\t\r .<|>!\x1c ", max_size=30), st.text(max_size=20),
                               st.sampled_from(ODD)), max_size=3))
     def check(texts):
-        for t, raw in zip(texts, enc.encode(texts)):
-            assert np.frombuffer(raw, "<u4").tolist() == whole(kind, t, 0)[:-1], repr(t)
+        for t in texts:
+            assert np.frombuffer(enc.encode(t), "<u4").tolist() == whole(kind, t, 0)[:-1], repr(t)
 
     check()
 
 
-def test_cache_stays_bounded(monkeypatch):
-    from pagelake.llm import tokens
-
-    monkeypatch.setattr(tokens, "CACHE", 50)
-    enc = PieceEncoder(BYTE, "bytes")
-    for i in range(30):
-        text = " ".join(f"w{i}x{j}" for j in range(20))
-        assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == whole("bytes", text, 0)[:-1]
-        assert len(enc.new) <= 50 and len(enc.old) <= 50
-
-
 def test_binary_pieces():
     for n in [1, 2, 3, 7, 2047, 2048, 2049, 4096, 6143]:
         pieces = packing.binary_pieces(n)
