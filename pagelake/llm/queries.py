@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import chat, decontaminate, jaccard, licences, packing, quality, sharding, sql, suffix_tree, token_files
+from pagelake.llm import chat, decontaminate, extract_html, jaccard, licences, packing, quality, sharding, sql, suffix_tree, token_files
 from pagelake.llm.common import table
 from pagelake.session import fresh_dir
 
@@ -83,3 +83,9 @@ def op9_cgk_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score_documents(table(spark, sf_dir, "documents"), suffix_tree.held_out_fold("doc_id"))
+
+
+@query
+def op8_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = extract_html.extract_main_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
