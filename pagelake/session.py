@@ -46,18 +46,19 @@ def pin_utc(spark: SparkSession) -> None:
 def work_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system path
-    every executor sees).  Only when it is unset, as in local tests, a fresh
-    folder is created and registered as the checkpoint dir.
+    It is ``spark.checkpoint.dir`` (a path every executor sees) or what
+    ``setCheckpointDir`` was given.  Where neither is set, a local master gets
+    a fresh local folder; on a cluster that would scatter files over machines,
+    so it raises.
     """
     sc = spark.sparkContext
     path = sc.getCheckpointDir()
+    if path:
+        return path
+    path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        try:
-            path = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            path = None
-    if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="pagelake-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
