@@ -46,9 +46,10 @@ def next_status_page(url: Column | str, since_id: Column | str) -> Column:
 
 
 def comment_request(status_id: Column | str) -> Column:
-    """First hot-comment page of a post; the id is given twice."""
+    """First hot-comment page of a post; the id is given twice.  NULL for a
+    NULL id."""
     sid = _s(status_id)
-    return F.format_string(COMMENT_URL, sid, sid)
+    return F.when(sid.isNotNull(), F.format_string(COMMENT_URL, sid, sid))
 
 
 def next_comment_page(status_id: Column | str, max_id: Column | str,
@@ -89,7 +90,7 @@ def url_quote(s: Column | str) -> Column:
 
 
 def topic_search_request(title: Column | str, page_no: Column | str | int) -> Column:
-    """Topic search for a film title; pages start at 1."""
+    """Topic search for a film title; pages start at 1.  NULL for a NULL title."""
     page = F.lit(page_no) if isinstance(page_no, int) else _c(page_no)
-    query = F.format_string(TOPIC_QUERY, _s(title))
+    query = F.when(_s(title).isNotNull(), F.format_string(TOPIC_QUERY, _s(title)))
     return F.concat(F.lit(CONTAINER_URL), url_quote(query), F.lit(TOPIC_TAIL), page.cast("string"))

@@ -119,16 +119,34 @@ def parsed_cards(pages: DataFrame, kind: str = "status_list", nested: str = "mbl
     return p.select(*_keep(p), F.inline(a))
 
 
-def _status_fields(c: Column, m: Column) -> dict[str, Column]:
-    """Derived fields of a post card from its map ``c`` and ``mblog`` map ``m``."""
+def text_or_list(raw: Column) -> Column:
+    """Whether a card that is no JSON object is a text or a list (a null, a
+    number or a boolean is not)."""
+    scalar = raw.try_cast("double").isNotNull() | raw.isin("true", "false", "null")
+    return F.coalesce(raw.isNotNull() & ~scalar, F.lit(False))
+
+
+def _bad_counters(m: Column) -> Column:
+    """Whether a counter is given that is no whole number (a shortened text
+    such as ``10k+``); it would be lost as a number."""
+    out = F.lit(False)
+    for name in ("reposts_count", "comments_count", "attitudes_count"):
+        out = out | (get(m, name).isNotNull() & counter(get(m, name)).isNull())
+    return out
+
+
+def _status_fields(c: Column, m: Column, raw: Column) -> dict[str, Column]:
+    """Derived fields of a post card from its map ``c``, ``mblog`` map ``m``
+    and text ``raw``."""
     edit_at = get(m, "created_at")
-    is_promo = (F.size(F.map_keys(c)) == 4) | ~F.map_contains_key(c, F.lit("mblog"))
+    is_promo = (F.size(F.map_keys(c)) == 4) | ~F.map_contains_key(c, F.lit("mblog")) | (c.isNull() & text_or_list(raw))
     reason = (F.when(c.isNull(), "card_not_object")
               .when(m.isNull(), "mblog_not_object")
               .when(~F.map_contains_key(m, F.lit("created_at")), "missing_created_at")
               .when(created_year(edit_at).isNull(), "bad_created_at")
               .when(missing_any(m, STATUS_FIELDS) | ~F.map_contains_key(c, F.lit("scheme")),
-                    "missing_field"))
+                    "missing_field")
+              .when(_bad_counters(m), "bad_counter"))
     return {
         "is_promo": F.coalesce(is_promo, F.lit(False)),
         "edit_at": edit_at,
@@ -155,7 +173,7 @@ def _cut_pages(pages: DataFrame, page_stop) -> DataFrame:
     a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
                                           F.from_json(get(x["_m"], "mblog"), MAP).alias("_mb")))
     a = F.transform(a, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "card", "_m", "_mb")],
-                                          F.coalesce(page_stop(_status_fields(x["_m"], x["_mb"])),
+                                          F.coalesce(page_stop(_status_fields(x["_m"], x["_mb"], x["card"])),
                                                      F.lit(False)).alias("_stop")))
     p = p.select(*_keep(p), a.alias("_cards"))
     first = F.array_min(F.transform(F.filter("_cards", lambda x: x["_stop"]), lambda x: x["pos"]))
@@ -176,7 +194,7 @@ def status_cards(pages: DataFrame, page_stop=None) -> DataFrame:
     strict-page rule, C9), decided inside the page's row.
     """
     cards = parsed_cards(pages) if page_stop is None else _cut_pages(pages, page_stop)
-    f = _status_fields(F.col("_m"), F.col("_mb"))
+    f = _status_fields(F.col("_m"), F.col("_mb"), F.col("card"))
     return cards.select(
         *_keep(cards), "pos", f["is_promo"].alias("is_promo"),
         F.col("seed_key").try_cast("bigint").alias("user_id"),

@@ -33,22 +33,26 @@ NUMERIC_TYPES = ("BIGINT", "INT", "DOUBLE", "FLOAT", "SMALLINT", "TINYINT")
 
 def drop_promo_cards(cards: DataFrame, card_col: str = "card") -> DataFrame:
     """Drop recommendation and label slots: a card with exactly 4 keys, or
-    without an ``mblog`` key.  Non-object cards pass (they are rejected later
-    as bad cards)."""
+    without an ``mblog`` key.  A text or list card has no such key and goes
+    too; null, number and boolean cards pass (they are rejected later as bad
+    cards)."""
+    from pagelake.operators.extract import text_or_list
+
     keys = F.json_object_keys(_c(card_col))
     promo = (F.size(keys) == 4) | ~F.array_contains(keys, F.lit("mblog"))
-    return cards.where(~F.coalesce(promo, F.lit(False)))
+    return cards.where(~F.coalesce(promo, text_or_list(_c(card_col)), F.lit(False)))
 
 
 def drop_not_ok(pages: DataFrame, strict_type: bool = False) -> DataFrame:
-    """Drop pages whose ``ok`` is 0.  A page without ``ok`` goes on (it is
+    """Drop pages whose ``ok`` is 0 or false.  A page without ``ok`` goes on (it is
     reported by ``missing_cursor_report``).  ``strict_type`` keeps a page whose
     ``ok`` is the *text* ``"0"`` (a number-only comparison)."""
     ok = F.get_json_object("body", "$.ok")
     zero = ok.try_cast("double") == 0
     if strict_type:
         zero = zero & json_type("body", "$.ok").isin(*NUMERIC_TYPES)
-    return pages.where(~F.coalesce(zero, F.lit(False)))
+    false = F.when(ok == "false", json_type("body", "$.ok") == "BOOLEAN")  # the text "false" is not
+    return pages.where(~(F.coalesce(zero, F.lit(False)) | F.coalesce(false, F.lit(False))))
 
 
 def keep_card_type(df: DataFrame, type_text: Column, raw_col: str, codes: Sequence[str | int],
@@ -94,9 +98,14 @@ def take_until(df: DataFrame, keys: Sequence[str], order: Sequence[str], stop: C
     marked = df.withColumn("_pos", pos)
     first = (marked.where(stop).groupBy(*keys)
              .agg(F.min("_pos").alias("_first_stop")))
-    joined = marked.join(first, list(keys), "left")
+    # null-safe: rows without a key are one key of their own
+    first = first.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_first_stop")
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    joined = marked.join(first, same, "left")
     return (joined.where(F.col("_first_stop").isNull() | (F.col("_pos") < F.col("_first_stop")))
-                  .drop("_pos", "_first_stop"))
+                  .drop("_pos", "_first_stop", *[f"_key_{k}" for k in keys]))
 
 
 def strict_page(cards: DataFrame, bad: Column | None = None, page_key: str = "page_key",

@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 def attach_parent(pages: DataFrame, requests: DataFrame, url: str = "request_url",
                   context: Sequence[str] = ("seed_key", "seed_name", "parent_user_id", "parent_status_id")) -> DataFrame:
     """Fill a page's request context from the request table (one row per URL)
-    where the page itself does not carry it."""
-    req = requests.select(url, *[F.col(c).alias(f"_req_{c}") for c in context if c in requests.columns])
-    joined = pages.join(req, url, "left")
+    where the page itself does not carry it.  A follow-up page (its URL is the
+    first page's plus a cursor) has the first page's context."""
+    req = requests.select(F.col(url).alias("_first_url"),
+                          *[F.col(c).alias(f"_req_{c}") for c in context if c in requests.columns])
+    first = F.substring_index(F.substring_index(F.col(url), "&max_id=", 1), "&since_id=", 1)
+    joined = pages.join(req, first == F.col("_first_url"), "left").drop("_first_url")
     for c in context:
         if f"_req_{c}" in joined.columns:
             joined = joined.withColumn(c, F.coalesce(F.col(c), F.col(f"_req_{c}"))).drop(f"_req_{c}")
@@ -32,6 +35,9 @@ def comments_with_status(comments: DataFrame, statuses: DataFrame) -> DataFrame:
     s = statuses.select(
         F.col("status_id").alias("father_status_id"), F.col("user_id").alias("status_user_id"),
         F.col("created_ts").alias("status_ts"), F.col("text").alias("status_text"))
+    # a post landed twice must not double its comments: one whole row per post
+    s = s.groupBy("father_status_id").agg(F.max(F.struct("status_ts", "status_user_id", "status_text")).alias("_s")) \
+        .select("father_status_id", "_s.status_user_id", "_s.status_ts", "_s.status_text")
     return comments.join(s, "father_status_id", "inner")
 
 
@@ -42,11 +48,16 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: str = "fetched_at",
     A hash aggregate of ``max_by(struct(row), (order, tie))``: partial
     aggregation keeps at most one row per key per task before the shuffle,
     so a key with very many copies costs no more than one row downstream.
+    Rows that lack a key value are not copies of each other: all are kept.
     """
+    keyed = F.lit(True)
+    for k in keys:
+        keyed = keyed & F.col(k).isNotNull()
+    loose, df = df.where(~keyed), df.where(keyed)
     others = [c for c in df.columns if c not in keys]
     rank = F.struct(F.col(order), *( [F.col(tie)] if tie else []))
     best = df.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias("_row"))
-    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns)
+    return best.select(*keys, *[F.col("_row")[c].alias(c) for c in others]).select(*df.columns).union(loose)
 
 
 def comment_people(comments: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -60,14 +71,15 @@ def comment_people(comments: DataFrame, profiles: DataFrame) -> DataFrame:
 
 def commenter_statuses(statuses: DataFrame, comments: DataFrame) -> DataFrame:
     """Posts written by anyone who commented (semi join: each post once)."""
-    who = comments.select(F.col("comment_people_id").alias("user_id")).where(F.col("user_id").isNotNull())
+    who = comments.select(F.col("comment_people_id").alias("user_id")).where(F.col("user_id").isNotNull()).distinct()
     return statuses.join(who, "user_id", "left_semi")
 
 
 def topics_for_films(films: DataFrame, titles: DataFrame, topics: DataFrame) -> DataFrame:
     """Film seed -> its title page -> its topic rows."""
     f = films.select(F.col("id").alias("weibo_movie_id"))
-    t = titles.select(F.col("film_id").alias("weibo_movie_id"), F.col("title").alias("film_title"))
+    t = titles.select(F.col("film_id").alias("weibo_movie_id"), F.col("title").alias("film_title")) \
+        .groupBy("weibo_movie_id").agg(F.max("film_title").alias("film_title"))  # a title page landed twice is one
     return f.join(t, "weibo_movie_id", "inner").join(topics, "weibo_movie_id", "inner")
 
 
@@ -80,7 +92,7 @@ def last_status_per_page(statuses: DataFrame, page_key: str = "page_key") -> Dat
 
 def exclude_done(seeds: DataFrame, done: DataFrame, column: str = "id") -> DataFrame:
     """Seeds whose id is not in the done list (anti join on the text id)."""
-    d = done.select(F.col(column).cast("string").alias("_done")).where(F.col("_done").isNotNull())
+    d = done.select(F.col(column).cast("string").alias("_done")).where(F.col("_done").isNotNull()).distinct()
     return seeds.join(d, F.col(column).cast("string") == F.col("_done"), "left_anti")
 
 

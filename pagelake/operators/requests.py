@@ -68,17 +68,20 @@ def derived_requests(pages: DataFrame, min_year: int | None = None,
 
 
 def dedupe_requests(requests: DataFrame) -> DataFrame:
-    """A URL asked twice is kept twice when ``dont_filter`` is set, else once."""
+    """A URL asked twice is kept twice when ``dont_filter`` is set, else once:
+    the whole row that comes first (no mix of several rows)."""
     forced = requests.where(F.coalesce(F.col("dont_filter"), F.lit(False)))
     rest = requests.where(~F.coalesce(F.col("dont_filter"), F.lit(False)))
-    once = rest.groupBy("request_url").agg(*[F.min(c).alias(c) for c in rest.columns if c != "request_url"])
+    others = [c for c in rest.columns if c != "request_url"]
+    once = rest.groupBy("request_url").agg(F.min(F.struct(*others)).alias("_row")).select("request_url", "_row.*")
     return forced.unionByName(once.select(*requests.columns))
 
 
 def missing_pages(pages: DataFrame, min_year: int | None = None) -> DataFrame:
     """Requests implied by landed pages whose URL is not landed (distinct)."""
     req = derived_requests(pages, min_year=min_year)
-    landed = pages.select("request_url").where(F.col("request_url").isNotNull())
-    missing = req.join(landed, "request_url", "left_anti")
-    return missing.groupBy("request_url", "kind").agg(F.max("priority").alias("priority"),
-                                                      F.count(F.lit(1)).alias("n_asks"))
+    landed = pages.select("request_url").where(F.col("request_url").isNotNull()).distinct()
+    # group first: a URL asked by very many pages is one row in the join
+    asked = req.groupBy("request_url", "kind").agg(F.max("priority").alias("priority"),
+                                                   F.count(F.lit(1)).alias("n_asks"))
+    return asked.join(landed, "request_url", "left_anti")

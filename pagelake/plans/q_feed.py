@@ -50,8 +50,8 @@ def q_statuses_until(spark, sf):
 
 @query("take_until", UNTIL_SQL)
 def q_take_until(spark, sf):
-    """C4 through the window form (same answer, one task per account)."""
-    return statuses_until(spark, sf, method="window")
+    """C4 straight from the pages (the flagship's operator on classified cards)."""
+    return fl.year_cutoff_pages(status_pages(spark, sf), CUTOFF_YEAR).select(*ex.STATUS_OUT)
 
 
 @query("take_until_filter", S.with_(S.POSTS, f"""
@@ -116,7 +116,8 @@ def q_drop_promo_cards(spark, sf):
     cards = ex.explode_cards(status_pages(spark, sf))
     kept = fl.drop_promo_cards(cards)
     total = cards.groupBy("page_key").agg(F.count(F.lit(1)).alias("n_cards"))
-    return total.join(kept.groupBy("page_key").agg(F.count(F.lit(1)).alias("n_kept")), "page_key")
+    left = total.join(kept.groupBy("page_key").agg(F.count(F.lit(1)).alias("n_kept")), "page_key", "left")
+    return left.withColumn("n_kept", F.coalesce("n_kept", F.lit(0)))  # a page may keep nothing
 
 
 @query("last_status_per_page", S.with_(S.POSTS, """

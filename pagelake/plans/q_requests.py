@@ -164,8 +164,7 @@ def q_exclude_seen(spark, sf):
 
 @query("attach_parent", S.with_(S.COMMENTS, """
 SELECT DISTINCT 'hot_comments:' || l_orderkey || ':' || page_no AS page_key,
-       CASE WHEN page_no = 0 THEN CAST(user_id AS VARCHAR) END AS parent_user_id,
-       CASE WHEN page_no = 0 THEN CAST(l_orderkey AS VARCHAR) END AS parent_status_id
+       CAST(user_id AS VARCHAR) AS parent_user_id, CAST(l_orderkey AS VARCHAR) AS parent_status_id
 FROM citems"""))
 def q_attach_parent(spark, sf):
     """Comment pages landed without context get their post and author from the request table."""

@@ -17,7 +17,7 @@ from pagelake.streaming import streams as st
 
 
 def _land(df, path: str, files: int = 6) -> str:
-    df.repartition(files, "page_no").write.mode("append").parquet(path)
+    df.repartition(files, "page_key").write.mode("append").parquet(path)
     return path
 
 
@@ -69,10 +69,15 @@ def q_stream_error_streak(spark, sf):
     """An alert row when an account's fetches fail 15 times in a row (stream in time order)."""
     landing, sink = fresh_dir(spark, "landing"), fresh_dir(spark, "sink")
     log = fx.landed_fetches(spark, sf)
-    # Land in time order: consecutive five-day ranges of the month, one write each.
-    log = log.withColumn("_bucket", F.floor(F.datediff(F.col("fetched_at"), F.lit("2024-01-01")) / 5))
-    for b in range(7):
-        log.where(F.col("_bucket") == b).drop("_bucket").coalesce(1).write.mode("append").parquet(landing)
+    # Land in time order: consecutive ranges of the log's own times, one write each; an account's fetches of a
+    # range share a file, so files of one range may be read in any order.
+    at = F.coalesce(F.unix_micros("fetched_at"), F.lit(-1 << 62))
+    bounds = log.select(at.alias("t")).approxQuantile("t", [k / 7 for k in range(1, 7)], 0.01)
+    edges = [None, *sorted(set(bounds)), None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = log if lo is None else log.where(at >= F.lit(int(lo)))
+        part = part if hi is None else part.where(at < F.lit(int(hi)))
+        part.repartition(4, "seed_key").write.mode("append").parquet(landing)
     st.stream_error_streak(spark, landing, sink, fresh_dir(spark, "ckpt"), max_files=1)
     return spark.read.parquet(sink)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.operators.ordinal import add_ordinal
@@ -22,19 +22,23 @@ def with_line_order(df: DataFrame) -> DataFrame:
 
 def read_id_list(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
     """Text file(s), one id per line -> ``(ordinal, id)``; ordinal is 0-based
-    in file order.  Line ends and surrounding white space are stripped; empty
-    lines are dropped."""
+    in file order and counts every line, so position *i* is line *i* also
+    after blank lines.  Line ends and surrounding white space are stripped;
+    a blank line keeps its position but gives no row."""
     lines = with_line_order(spark.read.text(path))
-    lines = lines.select(F.trim(F.col("value")).alias(name), "_file", "_block", "_row")
-    lines = lines.where(F.col(name) != "")
+    lines = lines.select(_stripped("value").alias(name), "_file", "_block", "_row")
     return add_ordinal(lines, ["_file", "_block", "_row"]).drop("_file", "_block", "_row") \
-        .select("ordinal", name)
+        .select("ordinal", name).where(F.col(name) != "")
+
+
+def _stripped(column: str) -> Column:
+    return F.regexp_replace(F.col(column), r"^\s+|\s+$", "")
 
 
 def read_lines(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
     """Text file(s), one value per line, where line order does not matter
     (a done list used as a set): no ordinal, so no sort."""
-    v = F.trim(F.col("value"))
+    v = _stripped("value")
     return spark.read.text(path).select(v.alias(name)).where(F.col(name) != "")
 
 

@@ -4,7 +4,8 @@
   stateless, append mode).
 * ``stream_new_commenters``: exact de-duplication of commenter ids
   (``dropDuplicates``; state is one key per distinct commenter), or bounded
-  state with a watermark (``dropDuplicatesWithinWatermark``).
+  state with a watermark (``dropDuplicatesWithinWatermark``), which emits an
+  id again when it returns after the watermark has passed.
 * ``stream_take_until``: the ordered prefix across an account's pages as a
   per-account state machine (``applyInPandasWithState``).  Pages may land out
   of order: the state keeps the next expected page number, a stopped flag,
@@ -34,13 +35,20 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pagelake.functions.time import created_ts
 from pagelake.operators import extract as ex
 from pagelake.operators.audit import STREAK_LIMIT
+from pagelake.operators.filters import require_cursor
 from pagelake.sources.pages import read_pages
 
 
-def run_to_end(writer, checkpoint: str, timeout_s: int = 1800) -> StreamingQuery:
-    """Start a writer with ``availableNow`` and wait until all input is done."""
+def run_to_end(writer, checkpoint: str, timeout_s: float | None = None) -> StreamingQuery:
+    """Start a writer with ``availableNow`` and wait until all input is done.
+    With ``timeout_s`` a run that takes longer is stopped and raises: its sink
+    is not complete."""
     q = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    elif not q.awaitTermination(timeout_s):
+        q.stop()
+        raise TimeoutError(f"the stream was stopped after {timeout_s} s; its sink is not complete")
     if q.exception() is not None:
         raise q.exception()
     return q
@@ -63,7 +71,7 @@ def stream_new_commenters(spark: SparkSession, landing: str, sink: str, checkpoi
     pages = _source(spark, landing, max_files, fmt)
     if watermark:
         pages = pages.withWatermark("fetched_at", watermark)
-        items = ex.comment_items(pages).where(F.col("reject_reason").isNull())
+        items = require_cursor(ex.comment_items(pages).where(F.col("reject_reason").isNull()))
         ids = items.select(F.col("comment_people_id").alias("user_id"), "fetched_at") \
             .where(F.col("user_id").isNotNull()).dropDuplicatesWithinWatermark(["user_id"]).select("user_id")
     else:
@@ -151,7 +159,7 @@ def take_until_input(pages: DataFrame) -> DataFrame:
                     F.lit(None).cast(ex.MAP).alias("_m"), F.lit(None).cast(ex.MAP).alias("_mb"))
     rows = p.select("seed_key", "page_no", F.size(raw).alias("n_cards"),
                     F.inline(F.concat(F.array(mark), a)))
-    f = ex._status_fields(F.col("_m"), F.col("_mb"))
+    f = ex._status_fields(F.col("_m"), F.col("_mb"), F.col("card"))
     return rows.select("seed_key", "page_no", "n_cards", "pos", f["is_promo"].alias("is_promo"),
                        f["year"].alias("year"), f["reject_reason"].alias("reject_reason"),
                        F.col("seed_key").try_cast("bigint").alias("user_id"),
