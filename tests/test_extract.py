@@ -34,7 +34,7 @@ def test_card_edge_cases(spark, pages_df):
         {"a": 1, "b": 2, "c": 3, "mblog": {"id": "x"}},          # 4 keys: promo
         {"card_type": 9, "scheme": "s", "k": 1, "j": 2, "t": 3},   # no mblog: promo
         {"card_type": 9, "scheme": "s", "k": 1, "j": 2, "mblog": None},  # mblog null: bad
-        3, None, "text",                                           # scalar / null cards: bad
+        3, None, "text",                                           # number / null cards: bad; text: skipped
         dict(POST, mblog=dict(POST["mblog"], created_at="just now")),  # not a date
         dict(POST, mblog=dict(POST["mblog"], reposts_count="1.5", comments_count="many")),
         dict(POST, mblog={k: v for k, v in POST["mblog"].items() if k != "text"}),
@@ -42,9 +42,9 @@ def test_card_edge_cases(spark, pages_df):
     c = ex.status_cards(pages_df([status_page(cards)])).orderBy("pos").collect()
     assert [r.is_promo for r in c[:2]] == [True, True]
     assert c[2].reject_reason == "mblog_not_object" and not c[2].is_promo
-    assert [r.reject_reason for r in c[3:6]] == ["card_not_object"] * 3
+    assert [r.reject_reason for r in c[3:6]] == ["card_not_object"] * 3 and [r.is_promo for r in c[3:6]] == [False, False, True]
     assert c[6].reject_reason == "bad_created_at"
-    assert c[7].reject_reason is None and c[7].reposts_count is None and c[7].comments_count is None
+    assert c[7].reject_reason == "bad_counter" and c[7].reposts_count is None and c[7].comments_count is None
     assert c[8].reject_reason == "missing_field"
 
 
