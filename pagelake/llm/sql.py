@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelake.llm import licences, sharding
+from pagelake.llm import licences, quality, sharding
 from pagelake.llm.common import LOWER, UPPER
 
 
@@ -82,7 +82,78 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, text_crc32, 'rows' AS law, CAST(p *
 FROM placed
 """
 
+
+def _quality() -> str:
+    """The MCD rounds written out: one CTE per step."""
+    X, PAIRS = quality.X, quality.PAIRS
+    share = f"CAST({quality.H} AS DOUBLE)"
+    columns = [f"m_{a}" for a in X] + [f"l_{a}{b}" for a, b in PAIRS]
+    sums = ["n", *[f"s_{a}" for a in X], *[f"s_{a}{b}" for a, b in PAIRS]]
+    made = ", ".join(["count(*) AS n", *[f"sum({a}) AS s_{a}" for a in X], *[f"sum({a} * {b}) AS s_{a}{b}" for a, b in PAIRS]])
+
+    def steps(source: str, parts: list[dict[str, str]]) -> str:
+        for part in parts:
+            source = f"(SELECT *, {', '.join(f'{e} AS {n}' for n, e in part.items())} FROM {source})"
+        return source
+
+    def params(source: str, factor: float) -> str:
+        scatter = quality.scatter_sql("n", lambda x: f"s_{x}", factor)
+        return f"SELECT grp, {', '.join(columns)} FROM " + steps(source, [scatter, *quality.cholesky_sql()])
+
+    def distances(table: str, base: str = "m0", join: str = "JOIN") -> str:
+        return steps(f"(SELECT * FROM {base} {join} {table} USING (grp))", quality.distance_sql())
+
+    quart = ", ".join(f"min(CASE WHEN r >= ceil(t * CAST({q} AS DOUBLE)) THEN v END) AS q{k}"
+                      for k, q in ((1, 0.25), (2, 0.5), (3, 0.75)))
+    start = ", ".join([f"max(CASE WHEN a = '{a}' THEN CAST(q2 * 100 + 50 AS DOUBLE) END) AS m_{a}" for a in X] + [
+        f"max(CASE WHEN a = '{a}' THEN greatest((q3 - q1) * 100 / CAST(1.349 AS DOUBLE), {quality.VECTOR[a][1] * quality.UNIT}) END) "
+        f"AS l_{a}{a}" if a == b else f"CAST(0 AS DOUBLE) AS l_{a}{b}" for a, b in PAIRS])
+    ctes = [r"""docs AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t FROM documents)""",
+            r"""texts AS (SELECT r, doc_id, lang, source, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+  length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+  list_filter(string_split(t, chr(10)), lambda x : regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM docs)""",
+            r"""grams AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g
+  FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM texts))""",
+            "twice AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM grams)",
+            "cover AS (SELECT r, count(DISTINCT i + k) AS n FROM twice, range(3) AS z(k) WHERE c >= 2 GROUP BY r)",
+            f"""stats AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words
+  AS base_failed FROM (SELECT r, doc_id, coalesce('=' || lang, 'null') AS pool,
+  coalesce('=' || lang, 'null') || chr(31) || coalesce('=' || source, 'null') AS fine, CAST(len(w) AS BIGINT) AS n_words,
+  CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+  CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+  FROM texts LEFT JOIN cover USING (r)))""",
+            "fines AS (SELECT fine, pool, count(*) AS n FROM stats WHERE NOT base_failed GROUP BY ALL)",
+            f"pools AS (SELECT pool, sum(n) AS m FROM fines WHERE n < {quality.MIN_ROWS} GROUP BY 1 HAVING sum(n) >= {quality.MIN_ROWS})",
+            f"""names AS (SELECT fine, CASE WHEN n >= {quality.MIN_ROWS} THEN fine WHEN m IS NOT NULL THEN pool ELSE '' END AS grp
+  FROM fines LEFT JOIN pools USING (pool))""",
+            f"""m0 AS (SELECT r, grp, {', '.join(f'{e} AS {x}' for x, e in quality.vector_sql().items())}
+  FROM stats JOIN names USING (fine) WHERE NOT base_failed)""",
+            "bins AS (" + " UNION ALL ".join(
+                f"SELECT grp, '{a}' AS a, floor({a} / 100) AS v, count(*) AS n FROM m0 GROUP BY ALL" for a in X) + ")",
+            """ranked AS (SELECT grp, a, v, sum(n) OVER (PARTITION BY grp, a ORDER BY v) AS r,
+  sum(n) OVER (PARTITION BY grp, a) AS t FROM bins)""",
+            f"quart AS (SELECT grp, a, {quart} FROM ranked GROUP BY ALL)",
+            f"p0 AS (SELECT grp, {start} FROM quart GROUP BY grp)"]
+    for k in range(quality.STEPS):
+        ctes += [f"b{k} AS (SELECT grp, bin, {made} FROM (SELECT *, {quality.BIN.format('d2')} AS bin FROM {distances(f'p{k}')}) "
+                 "GROUP BY ALL)",
+                 f"c{k} AS (SELECT grp, bin, sum(n) OVER (PARTITION BY grp) AS total, " + ", ".join(
+                     f"sum({c}) OVER (PARTITION BY grp ORDER BY bin) AS {c}" for c in sums) + f" FROM b{k})",
+                 f"f{k} AS (SELECT * FROM c{k} WHERE n >= ceil(total * {share}) QUALIFY row_number() OVER "
+                 "(PARTITION BY grp ORDER BY bin) = 1)",
+                 f"p{k + 1} AS ({params(f'f{k}', quality.H_FACTOR)})"]
+    ctes += [f"near AS (SELECT grp, {made} FROM {distances(f'p{quality.STEPS}')} WHERE d2 <= {quality.WEIGHT_CUT} GROUP BY grp)",
+             f"large AS (SELECT grp FROM m0 GROUP BY grp HAVING count(*) >= {quality.MIN_ROWS})",
+             f"final AS (SELECT * FROM ({params('near', quality.WEIGHT_FACTOR)}) WHERE grp IN (SELECT grp FROM large))",
+             f"judged AS (SELECT r, d2 FROM {distances('final')})"]
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(d2 <= {quality.CUTOFF}, true) AS kept
+FROM stats LEFT JOIN judged USING (r)"""
+
+
 ORACLE = {
+    "op5_mcd_quality": _quality(),
     "op3_licence_digests": LICENCES,
     "op4_chat_parts": CHAT,
     "op7_proportional_shards": SHARDS,
