@@ -4,24 +4,26 @@ Documents are sets of hashed word shingles.  Equal sets are one class.  The
 join finds the connected components of all links (Jaccard at least ``LINK``
 percent) in these steps:
 
-1. Similar classes are partitioned into groups: classes that share one of
-   ``BANDS`` min-hashes, and look alike by a longer signature, are compared
-   with the largest class of that bucket; verified links make the groups (most
-   groups are single classes).
+1. Similar classes are partitioned into groups: a class joins the class with
+   the most copies of one of its ``BANDS`` min-hash buckets, if they look alike
+   by a longer signature.  Those very alike are compared at once, which links
+   most near copies to one class of their family.
 2. Token-group matrix: for every group the union of its members' prefix
    tokens.  Under one global token order (frequent tokens last) two linked
-   sets of sizes m and n share a token among the first ``m - ceil(tm) + 1`` and
-   ``n - ceil(tn) + 1``, so only groups that share a matrix token can hold a
-   link.  The smaller group of such a pair queries the larger one.
-3. A query set opens a block of a group only if its overlap with the block's
-   token union reaches ``ceil(t * size)``; members are then compared exactly,
-   and one link per query and block is kept.
+   sets share tokens among their first ``size - ceil(t * size) + 1``; how many
+   at least follows from their sizes, and the places of a shared token bound
+   the overlap.  Only groups that pass both bounds can hold a link.
+3. The smaller group of such a pair queries the blocks of the larger one, and
+   in a group of several the members that step 1 did not link query the
+   group's own blocks.  A query opens a block only if its overlap with the
+   block's token union reaches ``ceil(t * size)``; members are then compared
+   exactly.  A task keeps the links that connect, not all pairs.
 4. Components over the links of steps 1 and 3.
 
-Only step 1 uses signatures, and only to form groups: any partition gives the
-same components, since steps 2 and 3 lose no link between groups, and groups
-are linked inside.  A family of thousands of near copies is one group, so it
-adds one row per token to the matrix and no pairs.
+Signatures only form groups: any partition gives the same components, since
+links between groups and inside them are all looked for.  A family of
+thousands of similar texts is a few groups, whether they are linked or not, so
+it adds one matrix row per token and no pairs.
 """
 
 from __future__ import annotations
@@ -38,7 +40,8 @@ WORDS = 4
 LINK = 85                   # percent
 BANDS = 4                   # min-hashes that make buckets
 SIGNATURE = 16              # min-hashes that are compared
-ALIKE = 10                  # of SIGNATURE, to be compared with the bucket's centre
+ALIKE = 5                   # of SIGNATURE, to join the bucket's centre
+VERY_ALIKE = 10             # of SIGNATURE, to be compared with it at once
 HEAVY_MIN = 8               # seen so often inside tasks, a token is frequent
 HEAVY_TOKENS = 1 << 20      # frequent tokens that are broadcast; the rest keep the hash order (order only, no result)
 FILTER_BITS = 1 << 22       # bitmap of the documents to open
@@ -64,7 +67,7 @@ def _signs(docs: DataFrame, words: int) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        from pagelake.llm.shingles import mix, shingle_set
+        from pagelake.llm.shingles import mix, shingle_sets
         from pagelake.llm.tokens import slices
 
         seeds = mix(np.arange(1, SIGNATURE + 1, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
@@ -85,8 +88,7 @@ def _signs(docs: DataFrame, words: int) -> DataFrame:
         for b in slices(batches):
             id_type = b.column(0).type
             node, n, signature = [], [], []
-            for t in b.column(1).to_pylist():
-                s = shingle_set(t, words)
+            for s in shingle_sets(b.column(1), words):
                 n.append(len(s))
                 if len(s):
                     node.append(xxhash.xxh3_64_intdigest(s.tobytes()) >> 1)
@@ -109,22 +111,21 @@ def _signs(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _prefixes(docs: DataFrame, words: int, link: int, heavy) -> DataFrame:
-    """(``node``, ``tokens``): the prefix of each document's set; a task gives
-    a class's prefix once."""
+    """(``node``, ``n``, ``tokens``): size and prefix of each document's set; a
+    task gives a class's prefix once."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
         import xxhash
 
-        from pagelake.llm.shingles import shingle_set
+        from pagelake.llm.shingles import shingle_sets
         from pagelake.llm.tokens import slices
 
         token, rank = heavy.value
         seen: set[int] = set()
         for b in slices(batches):
-            nodes, prefixes = [], []
-            for t in b.column(1).to_pylist():
-                s = shingle_set(t, words)
+            nodes, sizes, prefixes = [], [], []
+            for s in shingle_sets(b.column(1), words):
                 if not len(s):
                     continue
                 node = xxhash.xxh3_64_intdigest(s.tobytes()) >> 1
@@ -141,59 +142,91 @@ def _prefixes(docs: DataFrame, words: int, link: int, heavy) -> DataFrame:
                         late = s[often]
                         s = np.concatenate([s[~often], late[np.lexsort((late, rank[at[often]]))]])
                 nodes.append(node)
+                sizes.append(len(s))
                 prefixes.append(s[:k].view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             flat = np.concatenate(prefixes) if prefixes else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                names=["node", "tokens"])
+                [pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()),
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["node", "n", "tokens"])
 
-    return docs.mapInArrow(run, "node long, tokens array<long>")
+    return docs.mapInArrow(run, "node long, n int, tokens array<long>")
 
 
-def _group_pairs(matrix: DataFrame) -> DataFrame:
-    """Distinct pairs (``a`` < ``b``) of groups that share a token of
-    ``matrix`` (``token``, ``g``).  Rows arrive sorted by token, and a task
-    holds one token's groups at a time."""
+def shared_at_least(n, m, link: int):
+    """How many prefix tokens two linked sets of sizes ``n`` and ``m`` share
+    at least: with an overlap of ``o`` tokens the ``t``-th common one is among
+    the first ``t + n - o``.  (Arrays or numbers.)"""
+    import numpy as np
+
+    o = -(-link * (n + m) // (100 + link))
+    prefix = lambda k: k + 1 + (-k * link // 100)  # noqa: E731  k - ceil(link k / 100) + 1
+    return np.maximum(1, np.minimum(prefix(n) - (n - o), prefix(m) - (m - o)))
+
+
+def _group_pairs(matrix: DataFrame, link: int) -> DataFrame:
+    """Pairs (``a`` < ``b``) of groups that may hold a link, from ``matrix``
+    (``token``, ``g``, ``n``, ``at``).
+
+    With a token at places i and j of sets of sizes m and n, at most
+    ``min(i, j) + min(m - i, n - j)`` tokens are common: that must be enough
+    for a link.  Tokens that leave room are counted per pair of groups, and
+    the count must reach what the sizes demand.  Rows arrive sorted by token,
+    and a task holds one token's rows at a time."""
     def run(batches: Iterator) -> Iterator:
         import numpy as np
         import pyarrow as pa
 
-        rest = (np.zeros(0, np.int64),) * 2
-        pairs: set[tuple[int, int]] = set()
-
-        def find(tokens, groups):
-            keep = np.ones(len(tokens), bool)
-            keep[1:] = (tokens[1:] != tokens[:-1]) | (groups[1:] != groups[:-1])
-            tokens, groups = tokens[keep], groups[keep]
-            starts = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else []
-            ends = np.concatenate([starts[1:], [len(tokens)]]).astype(int) if len(tokens) else []
-            many = [(i, j) for i, j in zip(starts, ends) if j - i > 1]
-            for i, j in many:
-                g = groups[i:j].tolist()
-                for x in range(len(g)):
-                    pairs.update((g[x], y) for y in g[x + 1:])
-                    if len(pairs) > 200_000:
-                        yield flush()
+        rest = [np.zeros(0, np.int64)] * 4
+        pairs: dict[tuple[int, int], list[int]] = {}
+
+        def find(token, g, n, at):
+            if not len(token):
+                return
+            starts = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            ends = np.append(starts[1:], len(token))
+            many = g[starts] != g[ends - 1]  # sorted by group: more than one
+            for i, j in zip(starts[many].tolist(), ends[many].tolist()):
+                rows = np.unique(np.stack([g[i:j], n[i:j], at[i:j]], axis=1), axis=0) if j - i > 2 else \
+                    np.stack([g[i:j], n[i:j], at[i:j]], axis=1)
+                here: dict[tuple[int, int], int] = {}
+                for lo in range(0, len(rows), 500):
+                    x, y = rows[lo:lo + 500, None], rows[None, lo:]
+                    most = np.minimum(x[..., 2], y[..., 2]) + np.minimum(x[..., 1] - x[..., 2], y[..., 1] - y[..., 2])
+                    p, q = np.nonzero((x[..., 0] < y[..., 0]) & (100 * most >= link * (x[..., 1] + y[..., 1] - most)))
+                    least = shared_at_least(rows[lo + p, 1], rows[lo + q, 1], link).tolist()
+                    for a, b, k in zip(rows[lo + p, 0].tolist(), rows[lo + q, 0].tolist(), least):
+                        here[a, b] = min(k, here.get((a, b), k))
+                for key, k in here.items():
+                    if (old := pairs.get(key)) is None:
+                        pairs[key] = [1, k]
+                    else:
+                        old[0] += 1
+                        old[1] = min(old[1], k)
+                if len(pairs) > 200_000:
+                    yield flush()
 
         def flush():
-            out = pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.int64()),
-                                              pa.array([p[1] for p in pairs], pa.int64())], names=["a", "b"])
+            cols = [*zip(*pairs)] if pairs else [(), ()]
+            cols += [*zip(*pairs.values())] if pairs else [(), ()]
             pairs.clear()
-            return out
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["a", "b", "n", "least"])
 
         for b in batches:
-            tokens = np.concatenate([rest[0], b.column(0).to_numpy(zero_copy_only=False)])
-            groups = np.concatenate([rest[1], b.column(1).to_numpy(zero_copy_only=False)])
-            if not len(tokens):
+            cols = [np.concatenate([r, b.column(i).to_numpy(zero_copy_only=False)]) for i, r in enumerate(rest)]
+            if not len(cols[0]):
                 continue
-            last = int(np.searchsorted(tokens, tokens[-1]))  # the last token may go on in the next batch
-            yield from find(tokens[:last], groups[:last])
-            rest = (tokens[last:], groups[last:])
+            last = int(np.searchsorted(cols[0], cols[0][-1]))  # the last token may go on in the next batch
+            yield from find(*(c[:last] for c in cols))
+            rest = [c[last:] for c in cols]
         yield from find(*rest)
         yield flush()
 
-    return matrix.repartition("token").sortWithinPartitions("token", "g").mapInArrow(run, "a long, b long").distinct()
+    rows = matrix.select("token", "g", "n", "at")
+    found = rows.repartition("token").sortWithinPartitions("token", "g").mapInArrow(
+        run, "a long, b long, n long, least long")
+    return found.groupBy("a", "b").agg(F.sum("n").alias("n"), F.min("least").alias("least")) \
+        .where("n >= least").select("a", "b")
 
 
 def _open(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -225,7 +258,8 @@ def _open(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def _verify(opened: DataFrame, words: int, link: int) -> DataFrame:
     """Links (``a``, ``b``) between queries (``role`` 1) and the members
-    (``role`` 0) of the same ``block`` and ``salt``: one per query.
+    (``role`` 0) of the same ``block`` and ``salt``: those that connect what
+    earlier ones didn't.
 
     Members come first and are held as token -> member arrays, whose tokens
     are the block's union; queries pass one at a time."""
@@ -234,20 +268,27 @@ def _verify(opened: DataFrame, words: int, link: int) -> DataFrame:
         import pyarrow as pa
         import xxhash
 
-        from pagelake.llm.shingles import shingle_set
+        from pagelake.llm.shingles import shingle_sets
         from pagelake.llm.tokens import slices
 
         key = None
         sets: list = []
         ids: list[int] = []
         index = None
+        joined: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := joined.get(x, x)) != x:
+                joined[x] = x = joined.get(up, up)
+            return x
+
         for b in slices(batches, column=4):
             a_out, b_out = [], []
-            cols = [b.column(i).to_pylist() for i in range(5)]
-            for block, salt, role, node, text in zip(*cols):
+            cols = [b.column(i).to_pylist() for i in range(4)]
+            for block, salt, role, node, q in zip(*cols, shingle_sets(b.column(4), words)):
                 if (block, salt) != key:
                     key, sets, ids, index = (block, salt), [], [], None
-                q = shingle_set(text, words)
+                    joined.clear()
                 if xxhash.xxh3_64_intdigest(q.tobytes()) >> 1 != node:
                     continue  # another document with the same id
                 if role == 0:
@@ -255,6 +296,8 @@ def _verify(opened: DataFrame, words: int, link: int) -> DataFrame:
                         ids.append(node)
                         sets.append(q)
                     continue
+                if not ids:
+                    continue
                 if index is None:
                     tokens = np.concatenate(sets)
                     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -269,11 +312,11 @@ def _verify(opened: DataFrame, words: int, link: int) -> DataFrame:
                 at = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
                 both = np.bincount(owner[at], minlength=len(size))
                 linked = np.flatnonzero(100 * both >= link * (size + len(q) - both))
-                for k in linked[:2].tolist():
-                    if ids[k] != node:
+                for k in linked.tolist():
+                    if (x := root(node)) != (y := root(ids[k])):
+                        joined[x] = y
                         a_out.append(node)
                         b_out.append(ids[k])
-                        break
             yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())],
                                              names=["a", "b"])
 
@@ -282,9 +325,9 @@ def _verify(opened: DataFrame, words: int, link: int) -> DataFrame:
         .mapInArrow(run, "a long, b long")
 
 
-def _stars(classes: DataFrame) -> DataFrame:
-    """Members and centres to compare: ``doc_id``, ``block`` (the centre),
-    ``salt``, ``role``, ``node``."""
+def _centres(classes: DataFrame) -> DataFrame:
+    """(``node``, ``doc_id``, ``centre``, ``centre_doc``, ``alike``): each class
+    with the centres of its buckets that it is like."""
     from functools import reduce
 
     found = []
@@ -295,37 +338,63 @@ def _stars(classes: DataFrame) -> DataFrame:
         both = bucket.join(centre, "m").where(F.col("node") != F.col("c.node"))
         same = F.aggregate(F.zip_with("signature", "c.signature", lambda x, y: (x == y).cast("int")),
                            F.lit(0), lambda x, y: x + y)
-        found.append(both.where(same >= ALIKE).select("node", "doc_id", F.col("c.node").alias("block"),
-                                                      F.col("c.doc_id").alias("c_doc")))
-    pairs = checkpointed(reduce(DataFrame.union, found).distinct())
-    sizes = pairs.groupBy("block", "c_doc").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).cast("int").alias("salts"))
+        found.append(both.select("node", "doc_id", F.col("c.node").alias("centre"), F.col("c.doc_id").alias("centre_doc"),
+                                 F.col("c.copies").alias("copies"), same.alias("alike")).where(F.col("alike") >= ALIKE))
+    return checkpointed(reduce(DataFrame.union, found).distinct())
+
+
+def _stars(centres: DataFrame) -> DataFrame:
+    """Very alike classes and their centres, to compare: ``doc_id``, ``block``
+    (the centre), ``salt``, ``role``, ``node``."""
+    pairs = centres.where(F.col("alike") >= VERY_ALIKE).select("node", "doc_id", F.col("centre").alias("block"), "centre_doc")
+    sizes = pairs.groupBy("block", "centre_doc").agg(F.ceil(F.count(F.lit(1)) / STAR_ROWS).cast("int").alias("salts"))
     members = pairs.join(sizes.select("block", "salts"), "block").select(
         "doc_id", "block", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"), F.lit(1).alias("role"),
         "node")
-    centres = sizes.select(F.col("c_doc").alias("doc_id"), "block",
+    starred = sizes.select(F.col("centre_doc").alias("doc_id"), "block",
                            F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("role"),
                            F.col("block").alias("node"))
-    return members.union(centres)
+    return members.union(starred)
+
+
+def _groups(classes: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+    """(``node``, ``doc_id``, ``g``, ``label``): the group of every class, and
+    its component so far.  A class joins the centre with the most copies, then
+    the greatest; a centre that joined another one's group keeps its own."""
+    best = centres.groupBy("node").agg(F.max(F.struct("copies", "centre")).alias("c")).select(
+        "node", F.col("c.centre").alias("centre"))
+    named = classes.select("node", "doc_id").join(best, "node", "left").join(labels, "node", "left")
+    return checkpointed(named.select("node", "doc_id", F.coalesce("centre", "node").alias("g"),
+                                     F.coalesce("label", "node").alias("label")))
 
 
 def _queries(pairs: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows to open for pairs of groups: the smaller group's members query all
-    blocks of the larger one.  ``groups``: ``node``, ``doc_id``, ``g``."""
+    blocks of the larger one; in a group of several, the members outside its
+    largest component so far query the group's own blocks."""
     sizes = groups.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
     a = sizes.select(F.col("g").alias("a"), F.col("size").alias("sa"))
     b = sizes.select(F.col("g").alias("b"), F.col("size").alias("sb"))
     swap = F.col("sa") > F.col("sb")
-    directed = checkpointed(pairs.join(a, "a").join(b, "b").select(
+    between = pairs.join(a, "a").join(b, "b").select(
         F.when(swap, F.col("b")).otherwise(F.col("a")).alias("query"),
         F.when(swap, F.col("a")).otherwise(F.col("b")).alias("target"),
-        F.ceil(F.greatest("sa", "sb") / BLOCK).cast("int").alias("blocks"), F.least("sa", "sb").alias("n_query")))
+        F.ceil(F.greatest("sa", "sb") / BLOCK).cast("int").alias("blocks"), F.least("sa", "sb").alias("n_query"))
+    parts = groups.groupBy("g", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("g").agg(
+        F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("size"))
+    inside = parts.where(F.col("most.n") < F.col("size")).select(
+        F.col("g").alias("target"), F.col("most.label").alias("main"),
+        F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"), (F.col("size") - F.col("most.n")).alias("n_query"))
+    directed = checkpointed(between.withColumn("main", F.lit(None).cast("long")).unionByName(
+        inside.withColumn("query", F.col("target"))))
     salts = directed.groupBy("target", "blocks").agg(
         F.ceil(F.sum("n_query") / QUERIES).cast("int").alias("salts"))
     block = F.concat_ws("/", F.col("target").cast("string"), F.col("block").cast("string")).alias("block")
     members = groups.join(salts, groups["g"] == salts["target"]).select(
         "doc_id", "node", "target", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"),
         F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    asked = directed.join(salts, ["target", "blocks"]).join(groups, F.col("query") == F.col("g")).select(
+    asked = directed.join(salts, ["target", "blocks"]).join(groups, F.col("query") == F.col("g")) \
+        .where("main IS NULL OR label <> main").select(
         "doc_id", "node", "target", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
         F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"))
     return members.select("doc_id", block, "salt", F.lit(0).alias("role"), "node").union(
@@ -359,14 +428,13 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, link: int = LINK) ->
 
     classes = checkpointed(signs.where("kind = 0 AND n > 0").groupBy("node").agg(
         F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature")))
-    inside = checkpointed(_verify(_open(docs, _stars(classes)), words, link))
-    labels = components(inside)
-    groups = classes.select("node", "doc_id").join(labels, "node", "left").select(
-        "node", "doc_id", F.coalesce("label", "node").alias("g"))
-
-    matrix = _prefixes(docs, words, link, heavy).join(labels, "node", "left").select(
-        F.explode("tokens").alias("token"), F.coalesce("label", "node").alias("g"))
-    pairs = checkpointed(_group_pairs(matrix))
+    centres = _centres(classes)
+    inside = checkpointed(_verify(_open(docs, _stars(centres)), words, link))
+    groups = _groups(classes, centres, components(inside))
+
+    matrix = _prefixes(docs, words, link, heavy).join(groups.where("g <> node").select("node", "g"), "node", "left") \
+        .select(F.posexplode("tokens").alias("at", "token"), "n", F.coalesce("g", "node").alias("g"))
+    pairs = checkpointed(_group_pairs(matrix, link))
     between = checkpointed(_verify(_open(docs, _queries(pairs, groups)), words, link))
 
     whole = components(inside.union(between))

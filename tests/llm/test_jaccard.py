@@ -1,10 +1,11 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from pagelake.llm import jaccard
 from pagelake.llm.components import components
-from pagelake.llm.shingles import shingle_set
+from pagelake.llm import shingles
 
 
 def brute(rows, words=4, link=85):
@@ -71,7 +72,7 @@ def corpus(seed, families=6, members=25, words=120):
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_matches_brute_force(spark, seed, monkeypatch):
     if seed > 1:  # small blocks, salts and few buckets: the matrix has to find what the groups miss
-        for k, v in {"BLOCK": 3, "QUERIES": 4, "STAR_ROWS": 3, "BANDS": 1, "ALIKE": 15, "HEAVY_MIN": 3, "CHUNK": 500}.items():
+        for k, v in {"BLOCK": 3, "QUERIES": 4, "STAR_ROWS": 3, "BANDS": 1, "ALIKE": 4 * seed, "VERY_ALIKE": 15, "HEAVY_MIN": 3, "CHUNK": 500}.items():
             monkeypatch.setattr(jaccard, k, v)
     rows = corpus(seed)
     assert run(spark, rows) == brute(rows)
@@ -106,4 +107,34 @@ def test_prefix_rule():
     for n in range(1, 300):
         k = jaccard.needed(n)
         assert 100 * k >= 85 * n > 100 * (k - 1)
-    assert len(shingle_set("a b c d a b c d", 4)) == 4
+
+
+def test_shared_prefix_tokens():
+    """Random linked sets share at least that many prefix tokens, in the same token order."""
+    r = random.Random(6)
+    for _ in range(3000):
+        common = r.randrange(1, 120)
+        a = set(range(common)) | {1000 + i for i in range(r.randrange(0, 15))}
+        b = set(range(common)) | {2000 + i for i in range(r.randrange(0, 15))}
+        if 100 * common < 85 * len(a | b):
+            continue
+        rank = {x: r.random() for x in a | b}
+        prefix = [set(sorted(s, key=rank.get)[:len(s) - jaccard.needed(len(s)) + 1]) for s in (a, b)]
+        assert len(prefix[0] & prefix[1]) >= jaccard.shared_at_least(len(a), len(b), 85) >= 1
+
+
+def test_word_hashes(monkeypatch):
+    r = random.Random(4)
+    texts = ["".join(r.choice("abAB é\n\t\x0b x") for _ in range(r.randrange(0, 40))) for _ in range(400)] + [None, "", "x" * 300]
+    column = pa.array(["pad", *texts, "pad"])[1:-1]
+    for part in (1 << 22, 64, 7):
+        monkeypatch.setattr(shingles, "PART", part)
+        h, sizes = shingles.column_words(column)
+        words = [(t or "").encode().lower().split() for t in texts]
+        assert sizes.tolist() == [len(w) for w in words]
+        flat = [x for w in words for x in w]
+        assert len(set(zip(h.tolist(), flat))) == len(set(h.tolist())) == len(set(flat))
+        for t, w in zip(texts, words):
+            assert shingles.word_hashes(t).tolist() == [int(shingles.word_hashes(x.decode())[0]) for x in w]
+    sets = shingles.shingle_sets(pa.array(["a b c d a b c d", "a b", None, "A  b"]), 4)
+    assert list(map(len, sets)) == [4, 1, 0, 1] and sets[1] == sets[3]
