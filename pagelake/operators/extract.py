@@ -205,6 +205,41 @@ def status_cards(pages: DataFrame, page_stop=None) -> DataFrame:
     )
 
 
+POST_FIELDS = ["edit_at", "created_ts", "text", "reposts_count", "comments_count", "attitudes_count",
+               "status_id", "origin_url", "year", "month", "reject_reason"]
+
+
+def prefix_pages(pages: DataFrame, stop, page_stop=None) -> DataFrame:
+    """One row per ``status_list`` page: page columns, ``posts`` (its non-promo
+    cards, classified, up to the page's first stop or, with ``page_stop``, its
+    first bad card) and ``stop_pos`` (where ``stop`` first holds, else NULL).
+
+    ``stop`` and ``page_stop`` are functions of a card's derived fields.
+    Everything is decided inside the page's row: one parse, no shuffle.
+    """
+    p = pages.where(F.col("kind") == "status_list")
+    raw = F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"]
+    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
+                                               F.from_json(c, MAP).alias("_m")))
+    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
+                                          F.from_json(get(x["_m"], "mblog"), MAP).alias("_mb")))
+
+    def classified(x):
+        f = _status_fields(x["_m"], x["_mb"], x["card"])
+        return F.struct(x["pos"].alias("pos"), f["is_promo"].alias("is_promo"), *[f[k].alias(k) for k in POST_FIELDS])
+
+    flag = lambda rule: lambda x: F.coalesce(rule(x), F.lit(False))
+    first = lambda rule: F.array_min(F.transform(F.filter("_cards", flag(rule)), lambda x: x["pos"]))
+    # each list and place is a projection of its own: used inside a lambda it would be computed per card
+    p = p.select(*_keep(p), F.filter(F.transform(a, classified), lambda x: ~x["is_promo"]).alias("_cards"))
+    end = first(page_stop) if page_stop else F.lit(None).cast("long")
+    p = p.select(*_keep(p), "_cards", end.alias("_end"))
+    p = p.select(*_keep(p), F.filter("_cards", lambda x: F.col("_end").isNull() | (x["pos"] < F.col("_end"))).alias("_cards"))
+    p = p.select(*_keep(p), "_cards", first(stop).alias("stop_pos"))
+    return p.select(*_keep(p), "stop_pos", F.filter("_cards", lambda x: F.col("stop_pos").isNull() | (
+        x["pos"] < F.col("stop_pos"))).alias("posts"))
+
+
 def month_bad(min_year: int, month: int):
     """Strict-page rule for the month window: a non-promo card whose date is
     unreadable or whose month name is unknown, or an emitted-month card that

@@ -134,26 +134,71 @@ def year_cutoff(cards: DataFrame, min_year: int, keys: Sequence[str] = ("seed_ke
     return kept.where(F.col("reject_reason").isNull())
 
 
+PAGE_CARDS = 1 << 20  # a page's place and a card's place in it make one number: more cards a page than that don't occur
+
+
+def _until_page(pages: DataFrame, stop, page_stop=None) -> DataFrame:
+    """Posts before each account's first stop, decided page by page.
+
+    Pages are cut at their own first stop while they are parsed, once, and the
+    cut pages are written to the shared work folder; the account's first stop
+    is a hash aggregate of one number per stopped page, and pages, not cards,
+    are joined to it.  An account with a third of all pages is one row per task
+    in the aggregate, and its pages are split by AQE in the join.
+    """
+    from pagelake.operators import extract as ex
+    from pagelake.session import fresh_dir
+
+    spark = pages.sparkSession
+    path = fresh_dir(spark, "prefix-pages")
+    cut = ex.prefix_pages(pages, stop, page_stop)
+    cut.write.parquet(path)
+    cut = spark.read.schema(cut.schema).parquet(path)
+    place = F.col("page_no").cast("long") * PAGE_CARDS
+    first = cut.where(F.col("stop_pos").isNotNull()).groupBy(F.col("seed_key").alias("_key")).agg(
+        F.min(place + F.col("stop_pos")).alias("_first_stop"))
+    joined = cut.join(first, F.col("seed_key").eqNullSafe(F.col("_key")), "left")
+    near = joined.where(F.col("_first_stop").isNull() | (place < F.col("_first_stop")))
+    keep = [c for c in cut.columns if c not in ("stop_pos", "posts")]
+    posts = near.select(*keep, "_first_stop", F.inline("posts"))
+    # a page landed twice: its other copy ends at the same place
+    posts = posts.where(F.col("_first_stop").isNull() | (place + F.col("pos") < F.col("_first_stop")))
+    return posts.withColumn("user_id", F.col("seed_key").try_cast("bigint")).drop("_first_stop")
+
+
 def month_window_pages(pages: DataFrame, min_year: int = 2023, month: int = 4, strict: bool = False) -> DataFrame:
-    """``month_window`` straight from ``status_list`` pages; with ``strict`` the
-    page rule is applied inside each page's row."""
+    """``month_window`` straight from ``status_list`` pages, page by page; with
+    ``strict`` the first bad card also ends its page."""
     from pagelake.operators import extract as ex
 
-    if strict:
-        return month_window(ex.status_cards(pages, page_stop=ex.month_bad(min_year, month)), min_year, month)
-    return month_window(ex.status_cards(pages), min_year, month)
+    stop = month_stop(min_year, month)
+    bad = ex.month_bad(min_year, month)
+    posts = _until_page(pages, stop, bad if strict else None)
+    fields = {k: F.col(k) for k in ("is_promo", *ex.POST_FIELDS)}
+    return posts.where(~F.coalesce(bad(fields), F.lit(False)) & (F.col("month") == F.lit(month)))
+
+
+def month_stop(min_year: int, month: int):
+    """Stop rule of the month window, on a card's derived fields."""
+    def rule(f) -> Column:
+        y, mo = f["year"], f["month"]
+        return F.coalesce(y < F.lit(min_year), F.lit(False)) | F.coalesce(
+            (y >= F.lit(min_year)) & (mo < F.lit(month)), F.lit(False))
+    return rule
 
 
 def year_cutoff_pages(pages: DataFrame, min_year: int, strict: bool = False, mode: str = "prefix") -> DataFrame:
-    """``year_cutoff`` straight from ``status_list`` pages.  With ``strict``
-    the page rule is applied inside each page's row (no shuffle, no second
-    parse) before the account-level cutoff."""
+    """``year_cutoff`` straight from ``status_list`` pages, page by page.  With
+    ``strict`` the first bad card also ends its page."""
     from pagelake.operators import extract as ex
 
-    if strict:
-        cards = ex.status_cards(pages, page_stop=ex.year_bad(min_year))
+    if mode == "filter":
+        cards = ex.status_cards(pages, page_stop=ex.year_bad(min_year)) if strict else ex.status_cards(pages)
         return year_cutoff(cards, min_year, mode=mode)
-    return year_cutoff(ex.status_cards(pages), min_year, mode=mode)
+    if mode != "prefix":
+        raise ValueError(f"unknown mode {mode!r}")
+    posts = _until_page(pages, lambda f: f["year"] < F.lit(min_year), ex.year_bad(min_year) if strict else None)
+    return posts.where(F.col("reject_reason").isNull())
 
 
 def month_window(cards: DataFrame, min_year: int = 2023, month: int = 4,

@@ -23,17 +23,10 @@ def status_pages(spark: SparkSession, sf: str) -> DataFrame:
     return fx.landed(spark, sf, ["status_list"])
 
 
-def statuses_until(spark: SparkSession, sf: str, min_year: int = CUTOFF_YEAR, strict: bool = False,
-                   method: str = "join") -> DataFrame:
+def statuses_until(spark: SparkSession, sf: str, min_year: int = CUTOFF_YEAR, strict: bool = False) -> DataFrame:
     """Each account's posts, newest first, until the first one written before
     ``min_year`` (the flagship query)."""
-    cards = ex.status_cards(status_pages(spark, sf))
-    cards = cards.where(~F.col("is_promo"))
-    if strict:
-        old = F.coalesce(F.col("year") < min_year, F.lit(False))
-        cards = fl.strict_page(cards, F.col("reject_reason").isNotNull() & ~old)
-    kept = fl.take_until(cards, ["seed_key"], ["page_no", "pos"], F.col("year") < min_year, method=method)
-    return kept.where(F.col("reject_reason").isNull()).select(*ex.STATUS_OUT)
+    return fl.year_cutoff_pages(status_pages(spark, sf), min_year, strict=strict).select(*ex.STATUS_OUT)
 
 
 UNTIL_SQL = S.with_(S.POSTS, f"""
@@ -50,8 +43,10 @@ def q_statuses_until(spark, sf):
 
 @query("take_until", UNTIL_SQL)
 def q_take_until(spark, sf):
-    """C4 straight from the pages (the flagship's operator on classified cards)."""
-    return fl.year_cutoff_pages(status_pages(spark, sf), CUTOFF_YEAR).select(*ex.STATUS_OUT)
+    """C4 as the general operator: any keys, order and stop rule, on classified cards."""
+    cards = ex.status_cards(status_pages(spark, sf)).where(~F.col("is_promo"))
+    kept = fl.take_until(cards, ["seed_key"], ["page_no", "pos"], F.col("year") < CUTOFF_YEAR)
+    return kept.where(F.col("reject_reason").isNull()).select(*ex.STATUS_OUT)
 
 
 @query("take_until_filter", S.with_(S.POSTS, f"""
@@ -82,8 +77,7 @@ SELECT {S.STATUS_COLS} FROM posts LEFT JOIN stops USING (user_id)
 WHERE (first_stop IS NULL OR rn < first_stop) AND {S.GOOD_POST} AND mo = {WINDOW_MONTH}"""))
 def q_month_window(spark, sf):
     """Emit the month, skip later months, stop at an earlier month or year."""
-    cards = ex.status_cards(status_pages(spark, sf))
-    return fl.month_window(cards, WINDOW_YEAR, WINDOW_MONTH).select(*ex.STATUS_OUT)
+    return fl.month_window_pages(status_pages(spark, sf), WINDOW_YEAR, WINDOW_MONTH).select(*ex.STATUS_OUT)
 
 
 @query("extract_statuses", S.with_(S.POSTS, f"""
