@@ -23,16 +23,41 @@ def _rej(df: DataFrame, table: str, pos, reason, payload) -> DataFrame:
                      reason.alias("reason"), payload.alias("payload"))
 
 
+PAGE_BODY = "struct<data: struct<cards: array<string>, data: array<string>, max_id: string, max_id_type: string>>"
+
+
+def page_rejects(pages: DataFrame) -> DataFrame:
+    """Pages that give no records as a whole: ``null_body``, ``body_not_json``,
+    ``no_cards`` (a post list without its card list), ``no_comment_list``, and
+    ``no_cursor`` (a follow-up comment page that is dropped for lack of one).
+
+    One typed parse per body; whether a body without ``data`` is JSON at all,
+    and whether a NULL cursor field is at least present, is looked up only for
+    the pages in question.
+    """
+    d = F.from_json("body", PAGE_BODY)["data"]
+    p = pages.select("kind", "page_key", "page_no", "body", d.alias("_d"))
+    d = F.col("_d")
+    keys = F.from_json("body", "struct<data: map<string,string>>")["data"]
+    has_cursor = (d["max_id"].isNotNull() & d["max_id_type"].isNotNull()) | F.coalesce(
+        F.map_contains_key(keys, F.lit("max_id")) & F.map_contains_key(keys, F.lit("max_id_type")), F.lit(False))
+    comments = F.col("kind") == "hot_comments"
+    reason = (F.when(F.col("body").isNull(), "null_body")
+              .when(d.isNull() & F.from_json("body", "map<string,string>").isNull(), "body_not_json")
+              .when((F.col("kind") == "status_list") & d["cards"].isNull(), "no_cards")
+              .when(comments & d["data"].isNull(), "no_comment_list")
+              .when(comments & (F.col("page_no") > 0) & ~has_cursor, "no_cursor"))
+    return p.select("kind", "page_key", reason.alias("reason")).where(F.col("reason").isNotNull())
+
+
 def quarantine(pages: DataFrame) -> DataFrame:
     """Rejected pages, cards, comments and profiles, each with a reason.
 
     ``source_table``/``page_key``/``pos`` locate the reject; ``payload`` is the
     raw card or comment (the page body is not copied for page-level rejects).
     """
-    parsed = F.from_json("body", "map<string,string>")
-    page_bad = pages.where(F.col("body").isNotNull() & parsed.isNull())
     parts = [
-        _rej(page_bad, "raw_pages", F.lit(None), F.lit("body_not_json"), F.col("kind")),
+        _rej(page_rejects(pages), "raw_pages", F.lit(None), F.col("reason"), F.col("kind")),
         _rej(ex.status_cards(pages).where(~F.col("is_promo") & F.col("reject_reason").isNotNull()),
              "statuses", F.col("pos"), F.col("reject_reason"), F.col("card")),
         _rej(ex.comment_items(pages).where(F.col("reject_reason").isNotNull()),

@@ -27,13 +27,15 @@ r AS (
   UNION ALL SELECT 'statuses', 'missing_field' FROM posts WHERE no_text
   UNION ALL SELECT 'comments', 'missing_field' FROM citems WHERE l_tax = 0
   UNION ALL SELECT 'comments', 'user_not_object' FROM citems WHERE l_tax <> 0 AND l_discount = 0
-  UNION ALL SELECT 'profiles', 'missing_field' FROM prof WHERE c_acctbal < 0)
+  UNION ALL SELECT 'profiles', 'missing_field' FROM prof WHERE c_acctbal < 0
+  UNION ALL SELECT 'raw_pages', 'no_cursor' FROM (
+    SELECT DISTINCT l_orderkey, page_no FROM citems WHERE page_no > 0 AND no_cursor))
 SELECT source_table, reason, count(*) AS n FROM r GROUP BY 1, 2""")
 
 
 @query("quarantine", REJECTS_SQL)
 def q_quarantine(spark, sf):
-    """G1: rejected cards, comments and profiles, counted by reason."""
+    """G1: rejected pages, cards, comments and profiles, counted by reason."""
     return au.reject_counts(au.quarantine(fx.landed(spark, sf)))
 
 

@@ -47,6 +47,22 @@ def test_unreadable_counter_is_rejected(pages_df):
     assert [(r.reason, r.pos) for r in quarantine(pages).collect()] == [("bad_counter", 0)]
 
 
+def test_page_rejects(pages_df):
+    from pagelake.operators.audit import quarantine
+
+    cursor = {"max_id": None, "max_id_type": 0}
+    pages = pages_df([
+        page("status_list", None, page_key="a"), page("status_list", "<html>", page_key="b"),
+        page("status_list", {"data": {"since": 1}}, page_key="c"), page("status_list", {"data": []}, page_key="d"),
+        page("status_list", {"data": {"cards": []}}, page_key="e"),
+        page("hot_comments", {"data": {"max_id": 1}}, page_key="f"), page("hot_comments", {"data": {"data": []}}, page_key="g"),
+        page("hot_comments", {"data": {"data": []}}, page_key="h", page_no=1),
+        page("hot_comments", {"data": {"data": [], **cursor}}, page_key="i", page_no=1)])
+    got = {(r.page_key, r.reason) for r in quarantine(pages).where("source_table = 'raw_pages'").collect()}
+    assert got == {("a", "null_body"), ("b", "body_not_json"), ("c", "no_cards"), ("d", "no_cards"),
+                   ("f", "no_comment_list"), ("h", "no_cursor")}
+
+
 def test_not_ok_false(pages_df):
     pages = pages_df([page("supertopic", {"ok": v}, seed_key=str(i)) for i, v in enumerate([0, False, "false", 1, "0", None])])
     assert sorted(r.seed_key for r in fl.drop_not_ok(pages).collect()) == ["2", "3", "5"]
