@@ -12,9 +12,10 @@ samples ``SAMPLES`` places; windows of the item's length whose samples equal
 the item's are candidates.  Candidates are then verified by exact alignment.
 
 Only windows that can match are embedded: an edit breaks at most two of the
-item's ``n - 1`` word pairs, so a window within ``k`` edits keeps
-``n - 1 - 2k`` of them.  That count is a running sum over the whole text and
-loses nothing.
+item's ``n - 1`` word pairs and three of its ``n - 2`` triples, so a window
+within ``k`` edits keeps ``n - 1 - 2k`` and ``n - 2 - 3k`` of them.  Both
+counts are running sums over the whole text, refined by the items' lengths,
+and lose nothing.
 
 Texts are read where they lie; nothing is shuffled.  Items are broadcast in
 blocks of ``ITEM_BLOCK`` items and ``BLOCK_WORDS`` words at most, one scan per
@@ -31,13 +32,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pagelake.llm.shingles import gram_hashes, mix, word_hashes
+from pagelake.llm.shingles import column_words, gram_hashes, mix, word_hashes
 
 EDIT_PERCENT = 20
 MIN_WORDS = 5             # shorter items identify nothing and are not searched
 SAMPLES = 3
 TABLES = 48
-PAIR_BITS = 22
+GRAM_BITS = 20            # of the tables of the items' pairs and triples: which lengths have them
 ITEM_BLOCK = 20_000
 BLOCK_WORDS = 2_000_000
 EMBEDDED = 500            # windows embedded at a time
@@ -74,9 +75,10 @@ class Scanner:
         for k, (_, h) in enumerate(items):
             by_length.setdefault(len(h), []).append(k)
         self.lengths = sorted(by_length)
-        self.pairs = np.zeros(1 << PAIR_BITS, bool)
+        self.grams = {g: np.zeros(1 << GRAM_BITS, np.uint64) for g in (2, 3)}
         for _, h in items:
-            self.pairs[self._slots(h)] = True
+            for g, marks in self.grams.items():
+                marks[self._slots(h, g)] |= self._mark(len(h))
         self.walks = rng.integers(1, 1 << 63, size=TABLES, dtype=np.uint64)
         self.places = {n: np.sort(rng.integers(0, 2 * n, size=(TABLES, SAMPLES)), axis=1) for n in self.lengths}
         self.tables: dict[int, dict[tuple[int, int], list[int]]] = {}
@@ -96,9 +98,12 @@ class Scanner:
             else:
                 self.classes.append([n])
 
+    def _mark(self, n: int) -> np.uint64:
+        return np.uint64(1 << (self.lengths.index(n) % 64))
+
     @staticmethod
-    def _slots(h: np.ndarray) -> np.ndarray:
-        return (gram_hashes(h, 2) >> np.uint64(64 - PAIR_BITS)).astype(np.int64)
+    def _slots(h: np.ndarray, g: int) -> np.ndarray:
+        return (gram_hashes(h, g) >> np.uint64(64 - GRAM_BITS)).astype(np.int64)
 
     def keys(self, windows: np.ndarray) -> np.ndarray:
         """Sampled CGK embedding of each window, in every table."""
@@ -122,22 +127,27 @@ class Scanner:
     def candidates(self, h: np.ndarray, bound: np.ndarray) -> list[tuple[int, int]]:
         """(start, item) for the texts whose words ``h`` are laid end to end;
         ``bound`` is each word's end of text."""
-        if len(h) < 2 or not self.lengths:
+        if len(h) < MIN_WORDS or not self.lengths:
             return []
-        ok = self.pairs[self._slots(h)] & (bound[1:] == bound[:-1])
-        sums = np.concatenate([[0], np.cumsum(ok)])
+        marks, sums = {}, {}
+        for g, table in self.grams.items():
+            marks[g] = np.where(bound[g - 1:] == bound[:1 - g], table[self._slots(h, g)], np.uint64(0))
+            sums[g] = np.concatenate([[0], np.cumsum(marks[g] != 0)])
         found = []
         for lengths in self.classes:
             lo, k = lengths[0], edits(lengths[-1])
             if len(h) < lo:
                 continue
-            starts = np.arange(len(h) - lo + 1)
-            near = starts[(sums[lo - 1:][:len(starts)] - sums[:len(starts)]) >= lo - 1 - 2 * k]
+            near = np.flatnonzero(np.logical_and.reduce([
+                s[lo - g + 1:] - s[:len(s) - lo + g - 1] >= lo - g + 1 - g * k for g, s in sums.items()]))
             for n in lengths:
-                if len(h) < n:
-                    break
                 mine = near[near + n <= bound[near]]
-                mine = mine[sums[mine + n - 1] - sums[mine] >= n - 1 - 2 * edits(n)]
+                for g, s in sums.items():
+                    least = n - g + 1 - g * edits(n)
+                    mine = mine[s[mine + n - g + 1] - s[mine] >= least]
+                    own = [((marks[g][part[:, None] + np.arange(n - g + 1)] & self._mark(n)) != 0).sum(axis=1)
+                           for part in np.array_split(mine, len(mine) // 5_000 + 1)]
+                    mine = mine[np.concatenate(own) >= least]
                 found += self._look_up(h, mine, n)
         return sorted(found, key=lambda x: (x[1], x[0]))
 
@@ -159,13 +169,12 @@ class Scanner:
                     items[k].update(table.get((r, key), ()))
         return [(p, item) for p, k in zip(starts.tolist(), same.tolist()) for item in items[k]]
 
-    def scan(self, texts: list[str | None]) -> list[list[tuple]]:
-        """For each text its leaks (item id, start word, words, distance):
-        the nearest place of each item."""
-        hashes = [word_hashes(t) for t in texts]
-        size = np.cumsum([0, *map(len, hashes)])
-        h = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
-        bound = np.repeat(size[1:], [len(x) for x in hashes])
+    def scan(self, column) -> list[list[tuple]]:
+        """For each row of an Arrow text column its leaks (item id, start
+        word, words, distance): the nearest place of each item."""
+        h, sizes = column_words(column)
+        size = np.concatenate([[0], np.cumsum(sizes)])
+        bound = np.repeat(size[1:], sizes)
         regions: dict[tuple[int, int], list[list[int]]] = {}
         for p, item in self.candidates(h, bound):
             n, text = len(self.items[item][1]), int(np.searchsorted(size, p, side="right")) - 1
@@ -175,7 +184,7 @@ class Scanner:
                 spans[-1][1] = max(hi, spans[-1][1])
             else:
                 spans.append([lo, hi])
-        out: list[list[tuple]] = [[] for _ in texts]
+        out: list[list[tuple]] = [[] for _ in sizes]
         for (text, item), spans in regions.items():
             name, words = self.items[item]
             best = None
@@ -233,7 +242,7 @@ def find_leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
 
             held: dict = {}
             for b in slices(batches):
-                rows = [(i, *leak) for i, leaks in enumerate(_scanner(shared, held).scan(b.column(1).to_pylist()))
+                rows = [(i, *leak) for i, leaks in enumerate(_scanner(shared, held).scan(b.column(1)))
                         for leak in leaks]
                 if not rows:
                     continue
@@ -262,7 +271,7 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
             held: dict = {}
             for b in slices(batches, column=at):
-                leaks = _scanner(shared, held).scan(b.column(at).to_pylist())
+                leaks = _scanner(shared, held).scan(b.column(at))
                 yield b.filter(pa.array([not x for x in leaks], pa.bool_()))
 
         return run

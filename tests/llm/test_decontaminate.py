@@ -84,15 +84,30 @@ def test_align():
     assert dc.align(list("abc"), []) == (3, 0, 0)
 
 
-def test_pair_count_loses_no_window():
-    docs, items = make(5)
+def test_gram_counts_lose_no_window():
+    """Whatever the table finds, every window within the edits passes the counts."""
+    r = random.Random(8)
+    _, items = make(5)
     scanner = dc.Scanner([(i, word_hashes(t)) for i, t in items])
     assert sorted(n for c in scanner.classes for n in c) == scanner.lengths
-    for n in scanner.lengths:
-        for _, h in scanner.items:
-            if len(h) == n:
-                pairs = scanner.pairs[scanner._slots(h)]
-                assert pairs.all() and len(pairs) == n - 1
+    asked = []
+    scanner._look_up = lambda h, starts, n: asked.append((n, set(starts.tolist()))) or []
+    for _, t in items:
+        item = t.split()
+        words = [r.choice(VOCAB) for _ in range(20)] + edited(r, item, dc.edits(len(item))) + [r.choice(VOCAB) for _ in range(90)]
+        h = word_hashes(" ".join(words))
+        asked.clear()
+        scanner.candidates(h, np.full(len(h), len(h)))
+        starts = set().union(*(s for n, s in asked if n == len(item)))
+        for p in range(len(words) - len(item) + 1):
+            window = words[p:p + len(item)]
+            prev = list(range(len(window) + 1))
+            for i, x in enumerate(item, 1):
+                row = [i]
+                for j, y in enumerate(window, 1):
+                    row.append(min(prev[j - 1] + (x != y), prev[j] + 1, row[-1] + 1))
+                prev = row
+            assert p in starts or prev[-1] > dc.edits(len(item))
 
 
 def test_blocks_and_edge_rows(spark, monkeypatch):
