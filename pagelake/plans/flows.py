@@ -1,9 +1,12 @@
 """End-to-end flows over landed pages, as compositions of the operators.
 
-E1 ``actor_feeds``: a ranked slice of accounts -> profiles, posts until the
-cutoff year, and the hot comments of each page's last post.
+E1 ``actor_feeds``: a ranked slice of accounts -> profiles, posts (until the
+cutoff year, if one is given), and the hot comments of each page's last post.
 E2 ``commenter_feeds``: status seeds -> their comments -> distinct commenters
-minus the done list -> the commenters' posts in the month window.
+minus the done list -> a share of them -> the commenters' posts in the month
+window or until the cutoff year.
+Feeds ``supertopic_feeds``: feed seeds -> feed pages -> posts and the next
+pages they ask for.
 E3 ``film_topics``: film seeds -> film titles -> topic search results.
 
 Each returns DataFrames; nothing is collected.  Per-account work is keyed by
@@ -23,12 +26,14 @@ from pagelake.operators import links as ln
 from pagelake.operators import ordinal as od
 
 
-def actor_feeds(pages: DataFrame, accounts: DataFrame, lo: int, hi: int, min_year: int) -> dict[str, DataFrame]:
-    """``accounts``: ``(ordinal, id, n_posts)`` (an id list zipped with counts)."""
+def actor_feeds(pages: DataFrame, accounts: DataFrame, lo: int, hi: int,
+                min_year: int | None = None) -> dict[str, DataFrame]:
+    """``accounts``: ``(ordinal, id, n_posts)`` (an id list zipped with counts).
+    Without ``min_year`` every good post is kept."""
     chosen = od.rank_slice(accounts, "n_posts", lo, hi).select(F.col("id").alias("seed_key"))
     mine = pages.join(chosen, "seed_key", "left_semi")
     profiles = ex.extract_profiles(mine)
-    statuses = fl.year_cutoff(ex.status_cards(mine), min_year)
+    statuses = ex.extract_statuses(mine) if min_year is None else fl.year_cutoff_pages(mine, min_year)
     last = ln.last_status_per_page(statuses)
     comment_pages = pages.where(F.col("kind") == "hot_comments").join(
         last.select(F.col("status_id").alias("parent_status_id")), "parent_status_id", "left_semi")
@@ -36,20 +41,51 @@ def actor_feeds(pages: DataFrame, accounts: DataFrame, lo: int, hi: int, min_yea
             "comments": ex.extract_comments(comment_pages)}
 
 
+def work_share(ids: DataFrame, share: int | None = None, shares: int = od.SHARES, resume_at: int | None = None) -> DataFrame:
+    """What one worker takes of a set of ids: sorted as text, cut into
+    ``shares``, the first part of the upper shares skipped, one ``share`` kept
+    (all with None), and only ids from ``resume_at`` on."""
+    placed = od.add_ordinal(ids.select(F.col("id").cast("string").alias("id")), ["id"], length="_len")
+    cut = od.skip_fraction(od.fraction_slice(placed, shares, k=share), shares)
+    if resume_at is not None:
+        cut = fl.id_at_least(cut, "id", resume_at)
+    return cut.select("id", "share")
+
+
 def commenter_feeds(pages: DataFrame, seeds: DataFrame, done: DataFrame, min_year: int,
-                    month: int) -> dict[str, DataFrame]:
-    """``seeds``: ``(statues_id, user_id)``; ``done``: ``(id)``."""
+                    month: int | None = None, share: int | None = None, shares: int | None = None,
+                    resume_at: int | None = None) -> dict[str, DataFrame]:
+    """``seeds``: ``(statues_id, user_id)``; ``done``: ``(id)``.  With
+    ``shares`` the commenters are cut as by ``work_share``.  Without ``month``
+    posts run until the cutoff year."""
     on_seeds = pages.where(F.col("kind") == "hot_comments").join(
         seeds.select(F.col("statues_id").alias("parent_status_id")).distinct(), "parent_status_id", "left_semi")
     comments = ex.extract_comments(on_seeds)
     commenters = ag.distinct_commenters(comments).select(F.col("user_id").cast("string").alias("id"))
     todo = ln.exclude_done(commenters, done)
+    if shares is not None:
+        todo = work_share(todo, share, shares, resume_at)
     feeds = pages.where(F.col("kind") == "status_list").join(
         todo.select(F.col("id").alias("seed_key")), "seed_key", "left_semi")
-    posts = fl.month_window(ex.status_cards(feeds), min_year, month)
+    posts = fl.year_cutoff_pages(feeds, min_year) if month is None else fl.month_window_pages(feeds, min_year, month)
     return {"comments": comments, "commenters": todo, "statuses": posts.select(*ex.STATUS_OUT)}
 
 
+def supertopic_feeds(pages: DataFrame, seeds: DataFrame) -> dict[str, DataFrame]:
+    """``seeds``: ``(id)`` feed seed set.  ``requests``: the next page of every
+    landed page that names one."""
+    from pagelake.functions.urls import next_supertopic_page
+    from pagelake.operators.requests import dedupe_requests
+
+    mine = pages.where(F.col("kind") == "supertopic").join(
+        seeds.select(F.col("id").alias("seed_key")).distinct(), "seed_key", "left_semi")
+    since = F.get_json_object("body", "$.data.pageInfo.since_id")
+    asked = fl.drop_not_ok(mine).select(next_supertopic_page("seed_key", since).alias("request_url"),
+                                        F.lit("supertopic").alias("kind"), F.lit(False).alias("dont_filter"))
+    return {"posts": ex.extract_supertopic_posts(mine),
+            "requests": dedupe_requests(asked.where(F.col("request_url").isNotNull()))}
+
+
 def film_topics(pages: DataFrame, films: DataFrame) -> dict[str, DataFrame]:
     """``films``: ``(id)`` film seed set."""
     titles = ex.extract_topic_title(pages)

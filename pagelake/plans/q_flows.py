@@ -7,11 +7,11 @@ from pyspark.sql import functions as F
 from pagelake.functions.text import counter, id_text
 from pagelake.operators import extract as ex
 from pagelake.plans import fixtures as fx
-from pagelake.plans import flows
+from pagelake.plans import flows, q_pages  # noqa: F401 - its oracle texts are used here
 from pagelake.plans import sql as S
 from pagelake.plans.q_feed import CUTOFF_YEAR, WINDOW_MONTH, WINDOW_YEAR, status_pages
 from pagelake.plans.q_seeds import LIST_SQL, RANK_HI, RANK_LO, done_list, id_list
-from pagelake.plans.registry import query
+from pagelake.plans.registry import ORACLE, query
 from pagelake.sources.seeds import read_seed_set
 
 
@@ -60,6 +60,59 @@ def q_flow_commenter_posts(spark, sf):
     return flows.commenter_feeds(pages, seeds, done_list(spark, sf), WINDOW_YEAR, WINDOW_MONTH)["statuses"]
 
 
+@query("flow_actor_all_posts", S.with_(S.POSTS, LIST_SQL, f"""
+ranked AS (SELECT id, row_number() OVER (ORDER BY n_posts, ordinal) - 1 AS rank FROM lst),
+chosen AS (SELECT CAST(id AS BIGINT) AS user_id FROM ranked WHERE rank >= {RANK_LO} AND rank < {RANK_HI})
+SELECT {S.STATUS_COLS} FROM posts WHERE {S.GOOD_POST} AND user_id IN (SELECT user_id FROM chosen)"""))
+def q_flow_actor_all_posts(spark, sf):
+    """E1 without a cutoff: every good post of the chosen accounts."""
+    pages = fx.landed(spark, sf, ["status_list", "profile", "hot_comments"])
+    return flows.actor_feeds(pages, id_list(spark, sf), RANK_LO, RANK_HI)["statuses"].select(*ex.STATUS_OUT)
+
+
+RESUME_AT = 3
+
+
+@query("flow_commenter_shares", S.with_(S.POSTS, S.COMMENTS, f"""
+who AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id FROM citems WHERE good AND NOT (page_no > 0 AND no_cursor)
+        AND CAST(l_suppkey AS VARCHAR) NOT IN (SELECT CAST(doc_id AS VARCHAR) FROM labels)),
+placed AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS i, count(*) OVER () AS n FROM who),
+cut AS (SELECT *, ((i + 1) * 32 + n - 1) // n - 1 AS k FROM placed),
+todo AS (SELECT CAST(id AS BIGINT) AS user_id FROM cut
+         WHERE (k < 16 OR i - n * k // 32 >= CAST(floor((n * (k + 1) // 32 - n * k // 32) * CAST(0.15 AS DOUBLE)) AS BIGINT))
+           AND CAST(id AS BIGINT) >= {RESUME_AT}),
+stops AS (SELECT user_id, min(rn) AS first_stop FROM posts WHERE NOT bad_date AND yr < {CUTOFF_YEAR} GROUP BY 1)
+SELECT {S.STATUS_COLS} FROM posts LEFT JOIN stops USING (user_id)
+WHERE (first_stop IS NULL OR rn < first_stop) AND {S.GOOD_POST} AND user_id IN (SELECT user_id FROM todo)"""))
+def q_flow_commenter_shares(spark, sf):
+    """E2 with 32 shares, the 15 % skip, done ids and a resume point: posts until the cutoff year."""
+    pages = fx.landed(spark, sf, ["status_list", "hot_comments"])
+    seeds = fx.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("statues_id"),
+                                                 F.col("o_custkey").cast("string").alias("user_id"))
+    out = flows.commenter_feeds(pages, seeds, done_list(spark, sf), CUTOFF_YEAR, shares=32, resume_at=RESUME_AT)
+    return out["statuses"]
+
+
+@query("flow_supertopic_posts", ORACLE["extract_supertopic_posts"])
+def q_flow_supertopic_posts(spark, sf):
+    """Feed seeds -> feed pages -> posts."""
+    return flows.supertopic_feeds(fx.landed(spark, sf, ["supertopic"]), feed_seeds(spark, sf))["posts"]
+
+
+@query("flow_supertopic_requests", S.with_(S.DOCS, f"""
+SELECT {S.FEED} || '100808' || source || '&since_id=' || (page_no + 1) AS request_url, 'supertopic' AS kind
+FROM dpages"""))
+def q_flow_supertopic_requests(spark, sf):
+    """Feed seeds -> feed pages -> the next pages they ask for."""
+    out = flows.supertopic_feeds(fx.landed(spark, sf, ["supertopic"]), feed_seeds(spark, sf))
+    return out["requests"].select("request_url", "kind")
+
+
+def feed_seeds(spark, sf):
+    """Every feed, as a seed set."""
+    return read_seed_set(spark, fx.table(spark, sf, "documents").select(fx.feed_of(F.col("source")).alias("id")))
+
+
 @query("flow_film_topics", S.with_(S.PARTS, """
 SELECT film_id AS weibo_movie_id, p_brand AS film_title, count(*) AS n_topics FROM parts GROUP BY 1, 2"""))
 def q_flow_film_topics(spark, sf):

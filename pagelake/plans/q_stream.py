@@ -39,6 +39,15 @@ def q_stream_new_commenters(spark, sf):
     return spark.read.parquet(sink)
 
 
+@query("stream_new_commenters_watermark", ORACLE["distinct_commenters"])
+def q_stream_new_commenters_watermark(spark, sf):
+    """The same with bounded state: ids seen within the watermark are dropped."""
+    landing, sink = fresh_dir(spark, "landing"), fresh_dir(spark, "sink")
+    _land(comment_pages(spark, sf), landing)
+    st.stream_new_commenters(spark, landing, sink, fresh_dir(spark, "ckpt"), max_files=2, watermark="3650 days")
+    return spark.read.parquet(sink)
+
+
 @query("stream_take_until", UNTIL_SQL)
 def q_stream_take_until(spark, sf):
     """take_until as per-account state, with later pages landing first."""
