@@ -161,3 +161,28 @@ def keyed_running_count(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     out = local.join(carry, ["_pid", *keys], "inner")
     value = F.col("_carry") + F.col("_local") - (F.lit(0) if inclusive else F.col("_x"))
     return out.withColumn(name, value.cast("long")).drop("_pid", "_x", "_local", "_carry")
+
+
+def keyed_running_max(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], value: Column,
+                      name: str = "running_max") -> DataFrame:
+    """Per key, in ``order``: the greatest ``value`` so far (NULL until there
+    is one).  Built like ``keyed_running_count``, so a key with a third of all
+    rows is spread over many tasks; only keys, order columns and the value are
+    checkpointed, so pass a narrow ``df``."""
+    work_dir(df.sparkSession)
+    okeys = [F.col(k) for k in keys] + _cols(order)
+    ranged = df.withColumn("_x", value).repartitionByRange(*okeys).sortWithinPartitions(*okeys)
+    marked = ranged.select("*", F.spark_partition_id().alias("_pid")).checkpoint(eager=True)
+    w = Window.partitionBy("_pid", *keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding,
+                                                                          Window.currentRow)
+    local = marked.withColumn("_local", F.max("_x").over(w))
+    tops = marked.groupBy("_pid", *keys).agg(F.max("_x").alias("_t"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tops.select(F.col("_pid").alias("_p"), *[F.col(k).alias(f"_key_{k}") for k in keys],
+                        F.max("_t").over(earlier).alias("_carry"))
+    same = F.col("_pid") == F.col("_p")
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    out = local.join(carry, same, "inner")
+    return out.withColumn(name, F.greatest("_carry", "_local")) \
+        .drop("_x", "_pid", "_p", "_local", "_carry", *[f"_key_{k}" for k in keys])

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from pagelake.functions.text import counter, id_text
 from pagelake.operators import extract as ex
+from pagelake.operators import ordinal as od
 from pagelake.plans import fixtures as fx
 from pagelake.plans import flows, q_pages  # noqa: F401 - its oracle texts are used here
 from pagelake.plans import sql as S
@@ -93,6 +94,24 @@ def q_flow_commenter_shares(spark, sf):
     return out["statuses"]
 
 
+@query("running_max_id", S.with_(S.POSTS, f"""
+acc AS (SELECT DISTINCT CAST(user_id AS VARCHAR) AS id FROM posts WHERE {S.GOOD_POST}),
+placed AS (SELECT id, row_number() OVER (ORDER BY id) - 1 AS i, count(*) OVER () AS n FROM acc),
+sh AS (SELECT CAST(id AS BIGINT) AS user_id, CAST(((i + 1) * 32 + n - 1) // n - 1 AS INTEGER) AS share FROM placed),
+g AS (SELECT share, page_no, pos, p.user_id, oid FROM posts p JOIN sh USING (user_id) WHERE {S.GOOD_POST})
+SELECT share, CAST(oid AS VARCHAR) AS status_id, max(CAST(user_id AS BIGINT)) OVER (
+  PARTITION BY share ORDER BY page_no, pos, CAST(oid AS VARCHAR) ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS max_id
+FROM g"""))
+def q_running_max_id(spark, sf):
+    """The progress mark while a share's posts come in: highest account id so far, per share of 32."""
+    posts = ex.extract_statuses(status_pages(spark, sf)).select("user_id", "page_no", "pos", "status_id")
+    ids = posts.select(F.col("user_id").cast("string").alias("id")).distinct()
+    shares = od.fraction_slice(od.add_ordinal(ids, ["id"], length="_len"), 32)
+    slices = posts.join(shares.select(F.col("id").cast("bigint").alias("user_id"), "share"), "user_id")
+    out = od.keyed_running_max(slices, ["share"], ["page_no", "pos", "status_id"], F.col("user_id"), "max_id")
+    return out.select("share", "status_id", "max_id")
+
+
 @query("flow_supertopic_posts", ORACLE["extract_supertopic_posts"])
 def q_flow_supertopic_posts(spark, sf):
     """Feed seeds -> feed pages -> posts."""

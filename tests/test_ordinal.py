@@ -82,3 +82,19 @@ def test_keyed_running_count_splits_hot_key(spark, no_coalesce):
     for k, t, f in sorted(rows, key=lambda r: (r[0], r[1])):
         seen[k] = seen.get(k, 0) + int(f)
         assert got[(k, t)] == seen[k]
+
+
+def test_keyed_running_max(spark):
+    import random
+
+    from pagelake.operators.ordinal import keyed_running_max
+
+    r = random.Random(1)
+    rows = [(r.choice(["hot", "hot", "hot", "b", None]), i, r.choice([None, r.randrange(1000)])) for i in range(400)]
+    df = spark.createDataFrame(rows, "k string, i int, v int").repartition(4)
+    got = {x.i: x.m for x in keyed_running_max(df, ["k"], ["i"], F.col("v"), "m").collect()}
+    top = {}
+    for k, i, v in rows:
+        if v is not None:
+            top[k] = max(v, top.get(k, v))
+        assert got[i] == top.get(k)
