@@ -11,7 +11,8 @@ file's ids.  Two kinds of file are known:
   stands for the word end.
 
 Texts for which the two libraries could differ (special tokens' strings, NUL,
-separators and letters that Python folds differently) are encoded by
+separators, letters that Python folds differently, characters outside the
+ranges whose classes are the same in all Unicode versions) are encoded by
 ``tokenizers``, and so is everything if the file is of another kind.
 """
 
@@ -27,7 +28,11 @@ import numpy as np
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
-_ODD = re.compile("[\x00\x1c-\x1f\u0130\u03a3]")  # NUL, separators, dotted capital I, capital sigma
+_ODD = "\x00\x1c\x1d\x1e\x1f\u0130\u03a3"  # NUL, separators, dotted capital I, capital sigma
+# Character ranges whose classes no Unicode version since 7.0 has changed (Latin, Greek, Cyrillic,
+# punctuation, currency signs, kana, CJK, Hangul, full-width forms); elsewhere two libraries may differ.
+_STABLE = re.compile("[^\x00-\u0220\u0250-\u036f\u0384-\u03ff\u0400-\u052f\u2010-\u205e\u20a0-\u20b9\u3001-\u3029"
+                     "\u3041-\u3096\u30a1-\u30fe\u4e00-\u9fa5\uac00-\ud7a3\uff01-\uff5e]")
 _LOADED: dict[str, "FileEncoder"] = {}
 
 
@@ -39,12 +44,22 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def latin(text: str) -> bool:
+    """Whether all characters are below U+0100 (much faster than a search)."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 class FileEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd = [*_ODD, *self.special]
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model, steps = spec["model"], (spec["normalizer"] or {}).get("normalizers", [])
@@ -60,7 +75,7 @@ class FileEncoder:
 
             find = regex.compile(WORD_PATTERN).findall
             self._ranks(model["vocab"], r"[^\x00]+\x00")
-            self.prepare = lambda t: "".join(w + "\0" for w in find(unicodedata.normalize("NFC", t).lower()))
+            self.prepare = lambda t: "\0".join([*find(unicodedata.normalize("NFC", t).lower()), ""])
         else:
             self.prepare = None
 
@@ -86,14 +101,14 @@ class FileEncoder:
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         text = text or ""
-        if self.prepare is None or _ODD.search(text) or any(x in text for x in self.special):
+        if self.prepare is None or any(x in text for x in self.odd) or not (latin(text) or not _STABLE.search(text)):
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         else:
             ids = self.fast.encode_ordinary(self.prepare(text))
         return np.asarray(ids, dtype="<u4").tobytes()
 
 
-def slices(batches, chars: int = 2_000_000, column: int = 1):
+def slices(batches, chars: int = 1_000_000, column: int = 1):
     """Arrow batches cut to rows of about ``chars`` characters of text in all
     (one row at least), so a worker's memory follows the longest text, not the
     batch."""

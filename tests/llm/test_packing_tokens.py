@@ -16,7 +16,7 @@ BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe
 TOKENIZERS = {"bytes": Tokenizer.from_file(BYTE), "words": Tokenizer.from_file(WORD)}
 PATHS = {"bytes": BYTE, "words": WORD}
 ODD = ["", " ", "\n", "  a", "a  ", "a \n b", "a\n\nb", "a\n\n b", "a \t  b", "x<|endoftext|>y", "it's 12 o'clock!!",
-       "\x1c a", "é́ ñ", "ΣΑΣ ΟΔΟΣ", "a\r\nb", "don't   stop\n\n\n", "a b", "́a ́b", "12,345.6"]
+       "\x1c a", "é́ ñ", "ΣΑΣ ΟΔΟΣ", "a\r\nb", "don't   stop\n\n\n", "a b", "́a ́b", "12,345.6", ":\U0003d000", "日本語 テスト。", "Привет, мир! Ёж", "Ελληνικά Ά", "“quoted” – dash… €5", "한국어 글", "a\u0378b"]
 
 
 def whole(kind, text, end):
@@ -28,7 +28,7 @@ def test_ids_equal_the_librarys(kind):
     enc = FileEncoder(PATHS[kind])
     assert enc.prepare is not None
 
-    @settings(max_examples=500, deadline=None)
+    @settings(max_examples=1500, deadline=None)
     @given(st.lists(st.one_of(st.text(alphabet="ab'sT1é \n\t\r .<|>!\x1c ", max_size=30), st.text(max_size=20),
                               st.sampled_from(ODD)), max_size=3))
     def check(texts):
