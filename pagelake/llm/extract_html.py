@@ -193,10 +193,13 @@ def labelled(pages: list[str]) -> tuple[list[list[Block]], list[list[int]]]:
 
 
 def train(pages: DataFrame) -> LinearChain:
-    """The CRF of a table of pages: ``SAMPLE`` rows in the order of their
-    html's hash (bounded, whatever the table's size) are labelled."""
-    sample = pages.select(F.col("html").cast("string").alias("html")).where("html <> ''").distinct() \
-        .orderBy(F.xxhash64("html"), "html").limit(SAMPLE).collect()
+    """The CRF of a table of pages: the ``SAMPLE`` distinct pages with the
+    smallest hashes (bounded, whatever the table's size) are labelled.  Only
+    hashes travel to find them; copies of a page are one."""
+    hashed = pages.select(F.col("html").cast("string").alias("html")).where("html <> ''") \
+        .withColumn("h", F.xxhash64("html"))
+    chosen = [row["h"] for row in hashed.select("h").distinct().orderBy("h").limit(SAMPLE).collect()]
+    sample = hashed.where(F.col("h").isin(chosen)).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect()
     sequences, labels = labelled([row["html"] for row in sample])
     return LinearChain().fit([[features(b) for b in s] for s in sequences], labels)
 
