@@ -48,7 +48,7 @@ FILTER_BITS = 1 << 22       # bitmap of the documents to open
 STAR_ROWS = 500             # members compared with one copy of a centre
 BLOCK = 256                 # members of a group opened together
 QUERIES = 2_000             # queries run against one copy of a block
-CHUNK = 4_000_000           # tokens counted together in a task
+CHUNK = 2_000_000           # tokens counted together in a task
 
 
 def needed(n: int, link: int = LINK) -> int:

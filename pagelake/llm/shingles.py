@@ -12,7 +12,7 @@ import numpy as np
 
 from pagelake.llm.common import WORD_SPACE
 
-PART = 1 << 22  # bytes hashed together
+PART = 1 << 20  # bytes hashed together
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 _BASE = 0xD1342543DE82EF97  # 3 modulo 4 after subtracting 1 has one factor of two
 
@@ -34,7 +34,7 @@ def _powers(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse up to ``n``, remembered."""
     if len(_POWERS[0]) <= n:
         inverse = pow(_BASE, -1, 1 << 64)
-        size = max(n + 1, 2 * len(_POWERS[0]))
+        size = max(n, PART) + 1
         for k, base in enumerate((_BASE, inverse)):
             steps = np.full(size, np.uint64(base))
             steps[0] = 1
