@@ -15,7 +15,9 @@ Only windows that can match are embedded: an edit breaks at most two of the
 item's ``n - 1`` word pairs and three of its ``n - 2`` triples, so a window
 within ``k`` edits keeps ``n - 1 - 2k`` and ``n - 2 - 3k`` of them.  Both
 counts are running sums over the whole text, refined by the items' lengths,
-and lose nothing.
+and lose nothing.  Runs too near the end of their text for a window of the
+item's length (texts shorter than the item are all end) are not embedded: the
+items that share enough word pairs with the end are aligned with it.
 
 Texts are read where they lie; nothing is shuffled.  Items are broadcast in
 blocks of ``ITEM_BLOCK`` items and ``BLOCK_WORDS`` words at most, one scan per
@@ -24,6 +26,7 @@ block, so their number is not limited.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -82,8 +85,13 @@ class Scanner:
         self.walks = rng.integers(1, 1 << 63, size=TABLES, dtype=np.uint64)
         self.places = {n: np.sort(rng.integers(0, 2 * n, size=(TABLES, SAMPLES)), axis=1) for n in self.lengths}
         self.tables: dict[int, dict[tuple[int, int], list[int]]] = {}
+        self.pairs: dict[int, dict[int, list[int]]] = {}
         for n, ks in by_length.items():
             table = self.tables[n] = {}
+            pairs = self.pairs[n] = {}
+            for k in ks:
+                for x in set(gram_hashes(items[k][1], 2).tolist()):
+                    pairs.setdefault(x, []).append(k)
             for lo in range(0, len(ks), EMBEDDED):
                 part = ks[lo:lo + EMBEDDED]
                 keys = self.keys(np.stack([items[k][1] for k in part]))
@@ -127,13 +135,13 @@ class Scanner:
     def candidates(self, h: np.ndarray, bound: np.ndarray) -> list[tuple[int, int]]:
         """(start, item) for the texts whose words ``h`` are laid end to end;
         ``bound`` is each word's end of text."""
-        if len(h) < MIN_WORDS or not self.lengths:
+        if not self.lengths or len(h) < self.lengths[0] - edits(self.lengths[0]):
             return []
         marks, sums = {}, {}
         for g, table in self.grams.items():
             marks[g] = np.where(bound[g - 1:] == bound[:1 - g], table[self._slots(h, g)], np.uint64(0))
             sums[g] = np.concatenate([[0], np.cumsum(marks[g] != 0)])
-        found = []
+        found = self._ends(h, bound, sums)
         for lengths in self.classes:
             lo, k = lengths[0], edits(lengths[-1])
             if len(h) < lo:
@@ -151,6 +159,24 @@ class Scanner:
                 found += self._look_up(h, mine, n)
         return sorted(found, key=lambda x: (x[1], x[0]))
 
+    def _ends(self, h: np.ndarray, bound: np.ndarray, sums: dict[int, np.ndarray]) -> list[tuple[int, int]]:
+        """(start, item) for the ends of texts, one word shorter than the item
+        at most, that keep as many of its pairs and triples as ``edits`` leave."""
+        stops = np.unique(bound)
+        starts = np.concatenate([[0], stops[:-1]])
+        found = []
+        for n in self.lengths:
+            lo = np.maximum(starts, stops - n + 1)
+            long = stops - lo >= n - edits(n)
+            lo, hi = lo[long], stops[long]
+            for g, s in sums.items():
+                near = s[hi - g + 1] - s[lo] >= n - g + 1 - g * edits(n)
+                lo, hi = lo[near], hi[near]
+            for a, b in zip(lo.tolist(), hi.tolist()):
+                shared = Counter(k for x in gram_hashes(h[a:b], 2).tolist() for k in self.pairs[n].get(x, ()))
+                found += [(a, k) for k, c in shared.items() if c >= n - 1 - 2 * edits(n)]
+        return found
+
     def _look_up(self, h: np.ndarray, starts: np.ndarray, n: int) -> list[tuple[int, int]]:
         """(start, item) of the windows of ``n`` words that share a table key
         with an item; equal windows are embedded once."""

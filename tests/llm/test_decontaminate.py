@@ -110,6 +110,30 @@ def test_gram_counts_lose_no_window():
             assert p in starts or prev[-1] > dc.edits(len(item))
 
 
+def test_texts_and_ends_shorter_than_the_item(spark):
+    """Runs with words deleted that are the whole text, or end it, are all found."""
+    r = random.Random(12)
+    items = [(i, " ".join(f"v{r.randrange(3000)}" for _ in range(n))) for i, n in enumerate([5, 6, 9, 10, 17, 30, 59])]
+    docs, want = [], {}
+    for i, t in items:
+        item = t.split()
+        for k in range(1, dc.edits(len(item)) + 2):
+            for before in (0, 3, 40):
+                words = item.copy()
+                for _ in range(k):
+                    del words[r.randrange(len(words))]
+                words = [f"u{j}" for j in range(before)] + words
+                if (n := levenshtein_within(item, words)) <= dc.edits(len(item)):
+                    want[len(docs), i] = n
+                docs.append((len(docs), " ".join(words)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = dc.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()
+    assert {(r.doc_id, r.item_id): r.distance for r in got} == want and len(got) == len(want)
+    alone = spark.createDataFrame([(1, " ".join(items[0][1].split()[:4]))], "doc_id long, text string")
+    assert [(r.item_id, r.distance) for r in dc.find_leaks(alone, bench).collect()] == [(0, 1)]
+    assert dc.drop_contaminated(alone, bench).count() == 0
+
+
 def test_blocks_and_edge_rows(spark, monkeypatch):
     docs, items = make(3)
     docs += [(None, items[0][1]), (500, None), (501, ""), (502, items[1][1]), (502, items[1][1]), (503, "the " * 50_000 + items[2][1])]
