@@ -8,8 +8,11 @@
   id again when it returns after the watermark has passed.
 * ``stream_take_until``: the ordered prefix across an account's pages as a
   per-account state machine (``applyInPandasWithState``).  Pages may land out
-  of order: the state keeps the next expected page number, a stopped flag,
-  and the cards of pages that arrived early, until their turn.
+  of order, more than once, late or never: the state keeps the next expected
+  page number, the account's first stop, and the cards of pages that arrived
+  early, until their turn or the end of the stream.  Every landing of a page
+  counts; one that comes after its turn is cut at the first stop so far.  What
+  has been written is not taken back when a late page stops earlier.
 * ``stream_error_streak``: failures in a row per slice; emits an alert row
   when a run reaches ``n``.  Fetches of one slice must land in time order
   across micro-batches (within a batch they are sorted).
@@ -91,46 +94,56 @@ TAKE_OUT = T.StructType([
     T.StructField("status_id", T.StringType()), T.StructField("origin_url", T.StringType()),
 ])
 TAKE_STATE = T.StructType([
-    T.StructField("next_page", T.IntegerType()), T.StructField("stopped", T.BooleanType()),
-    T.StructField("held", T.StringType()),
+    T.StructField("next_page", T.IntegerType()), T.StructField("stop_page", T.IntegerType()),
+    T.StructField("stop_pos", T.LongType()), T.StructField("held", T.StringType()),
 ])
+MARK, END = -1, -2  # ``pos`` of a page's marker row and of an account's end-of-stream row
 
 
 def _take_until_fn(min_year: int):
     out_cols = [f.name for f in TAKE_OUT.fields]
+    whole = [f.name for f in TAKE_OUT.fields if f.dataType == T.LongType()]
 
     def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.exists:
-            next_page, stopped, held = state.get
-        else:
-            next_page, stopped, held = 0, False, "[]"
+        next_page, stop_page, stop_pos, held = state.get if state.exists else (0, None, None, "[]")
+        stop = None if stop_page is None else (int(stop_page), int(stop_pos))
         rows = pd.DataFrame(json.loads(held))
+
+        def release(to_end: bool) -> list[pd.DataFrame]:
+            """Posts of the landings whose turn has come or is over (at the end: of all), page by page."""
+            nonlocal rows, next_page, stop
+            emitted, used = [], []
+            if len(rows):
+                landed = rows[rows.groupby("landing")["pos"].transform("size") == rows["n_cards"] + 1]
+                for number, page in landed.groupby("page_no"):
+                    if number > next_page and not to_end or stop and number > stop[0]:
+                        break
+                    used += page["landing"].unique().tolist()
+                    cards = page[(page["pos"] > MARK) & ~page["is_promo"].astype(bool)]
+                    old = cards.loc[cards["year"].notna() & (cards["year"] < min_year), "pos"]
+                    if len(old):
+                        stop = min(stop or (number, old.min()), (number, old.min()))
+                    good = cards[cards["reject_reason"].isna()]
+                    if stop and stop[0] == number:
+                        good = good[good["pos"] < stop[1]]
+                    if len(good):
+                        emitted.append(good.sort_values(["landing", "pos"])[out_cols].astype(dict.fromkeys(whole, "Int64")))
+                    next_page = max(next_page, number + 1)
+                rows = rows[~rows["landing"].isin(used)]
+                if stop:  # nothing after the account's first stop is wanted
+                    rows = rows[rows["page_no"] <= stop[0]]
+            return emitted
+
+        ended = False
         for chunk in batches:  # Arrow chunks: only held pages plus one chunk are in memory
-            if stopped:
-                continue
+            ended = ended or bool((chunk["pos"] == END).any())
+            chunk = chunk[chunk["pos"] != END]
             rows = pd.concat([rows, chunk], ignore_index=True) if len(rows) else chunk
-            emitted = []
-            while not stopped:
-                page = rows[rows["page_no"] == next_page]
-                marks = page[page["pos"] < 0]
-                cards = page[page["pos"] >= 0].drop_duplicates("pos").sort_values("pos")
-                if marks.empty or len(cards) < int(marks["n_cards"].iloc[0]):
-                    break  # the page has not fully landed yet
-                for _, card in cards.iterrows():
-                    if bool(card["is_promo"]):
-                        continue
-                    year = card["year"]
-                    if pd.notna(year) and int(year) < min_year:
-                        stopped = True
-                        break
-                    if pd.isna(card["reject_reason"]):
-                        emitted.append(card[out_cols])
-                next_page += 1
-            rows = rows[rows["page_no"] >= next_page]  # pages already passed are dropped
-            if emitted:
-                yield pd.DataFrame(emitted)[out_cols]
-        keep = [] if stopped else rows.to_dict(orient="records")
-        state.update((int(next_page), bool(stopped), json.dumps(keep, default=_json_default)))
+            yield from release(False)
+        if ended:
+            yield from release(True)
+        state.update((int(next_page), *((None, None) if stop is None else map(int, stop)),
+                      json.dumps(rows.to_dict(orient="records"), default=_json_default)))
 
     return fn
 
@@ -144,39 +157,60 @@ def _json_default(v):
 
 
 def take_until_input(pages: DataFrame) -> DataFrame:
-    """One marker row per page (``pos = -1``, with the page's card count)
-    followed by its cards, all from one parse of the body: a page with no
-    cards still counts as landed, and a page is complete once all its cards
-    are in."""
-    p = pages.where(F.col("kind") == "status_list")
+    """One marker row per landing of a page (``pos = -1``, with its card
+    count) followed by its cards, all from one parse of the body: a page with
+    no cards still counts as landed, and a landing is complete once all its
+    cards are in.  A page without a number is before the numbered ones."""
+    p = pages.where(F.col("kind") == "status_list").withColumn("landing", F.expr("uuid()")) \
+        .withColumn("page_no", F.coalesce("page_no", F.lit(-1)))
     raw = F.coalesce(F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"],
                      F.array().cast("array<string>"))
     a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
                                                F.from_json(c, ex.MAP).alias("_m")))
     a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
                                           F.from_json(ex.get(x["_m"], "mblog"), ex.MAP).alias("_mb")))
-    mark = F.struct(F.lit(-1).cast("long").alias("pos"), F.lit(None).cast("string").alias("card"),
+    mark = F.struct(F.lit(MARK).cast("long").alias("pos"), F.lit(None).cast("string").alias("card"),
                     F.lit(None).cast(ex.MAP).alias("_m"), F.lit(None).cast(ex.MAP).alias("_mb"))
-    rows = p.select("seed_key", "page_no", F.size(raw).alias("n_cards"),
+    rows = p.select("seed_key", "page_no", "landing", F.size(raw).alias("n_cards"),
                     F.inline(F.concat(F.array(mark), a)))
     f = ex._status_fields(F.col("_m"), F.col("_mb"), F.col("card"))
-    return rows.select("seed_key", "page_no", "n_cards", "pos", f["is_promo"].alias("is_promo"),
+    return rows.select("seed_key", "page_no", "landing", "n_cards", "pos", f["is_promo"].alias("is_promo"),
                        f["year"].alias("year"), f["reject_reason"].alias("reject_reason"),
                        F.col("seed_key").try_cast("bigint").alias("user_id"),
                        *[f[k].alias(k) for k in CARD_FIELDS if k != "user_id"])
 
 
-def take_until_stateful(pages: DataFrame, min_year: int) -> DataFrame:
+def take_until_stateful(pages: DataFrame, min_year: int, ends: DataFrame | None = None) -> DataFrame:
+    """``ends``: accounts (``seed_key``) whose stream has ended."""
     rows = take_until_input(pages)
+    if ends is not None:
+        rows = rows.unionByName(ends.select("seed_key", F.lit(END).cast("long").alias("pos")), allowMissingColumns=True)
     out = rows.groupBy("seed_key").applyInPandasWithState(
         _take_until_fn(min_year), TAKE_OUT, TAKE_STATE, "append", GroupStateTimeout.NoTimeout)
     return out.withColumn("created_ts", created_ts("edit_at")).select(*ex.STATUS_OUT)
 
 
 def stream_take_until(spark: SparkSession, landing: str, sink: str, checkpoint: str, min_year: int,
-                      max_files: int | None = None, fmt: str = "parquet") -> StreamingQuery:
-    out = take_until_stateful(_source(spark, landing, max_files, fmt), min_year)
-    return run_to_end(out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+                      max_files: int | None = None, fmt: str = "parquet", final: bool = True) -> StreamingQuery:
+    """The stream up to the pages that have landed.  With ``final`` missing
+    page numbers are then given up: the pages held behind them are released
+    by the batch rule.  Without it they wait in the state for the next run."""
+    folder = checkpoint.rstrip("/") + "-ends"
+    spark.createDataFrame([], "seed_key string").write.mode("append").parquet(folder)
+
+    def run() -> StreamingQuery:
+        ends = spark.readStream.schema("seed_key string").parquet(folder)
+        out = take_until_stateful(_source(spark, landing, max_files, fmt), min_year, ends)
+        return run_to_end(out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+
+    q = run()
+    if final:
+        held = spark.read.format("statestore").load(checkpoint).where("value.groupState.held <> '[]'") \
+            .select("key.*").toDF("seed_key")
+        if not held.isEmpty():
+            held.write.mode("append").parquet(folder)
+            q = run()
+    return q
 
 
 # --------------------------------------------------------------------------- error streaks as state

@@ -36,6 +36,27 @@ def test_stream_take_until_out_of_order(spark, pages_df):
     assert got == sorted(r.status_id for r in batch) == ["100", "101", "110", "310"]
 
 
+def test_stream_take_until_gaps_and_relanded_pages(spark, pages_df):
+    again = page("status_list", {"ok": 1, "data": {"cards": [post(200, 2022), post(201, 2021)]}}, seed_key="1", page_no=0)
+    files = [[feed(1, 2, [2016]), feed(2, 2, [2022]), feed(4, 3, [2022, 2016, 2022]), feed(9, 1, [2020])],
+             [feed(1, 0, [2022, 2021]), feed(2, 0, [2022]), feed(4, 0, []), feed(4, 5, [2022]), feed(5, 0, [2022, 2016, 2022])],
+             [again, feed(1, 1, [2020]), feed(3, 4, [2022]), feed(5, 0, [2022, 2016, 2022]), feed(5, 1, [2022])],
+             [feed(1, 1, [2020]), feed(4, 2, [2019]), feed(4, 2, [2019])]]
+    batch = fl.year_cutoff(ex.status_cards(pages_df(sum(files, []))), 2017).select("status_id").collect()
+    landing = tempfile.mkdtemp(prefix="pl-land-")
+    sink, ckpt = tempfile.mkdtemp(prefix="pl-sink-"), tempfile.mkdtemp(prefix="pl-ckpt-")
+    for k, group in enumerate(files):
+        pages_df(group).coalesce(1).write.mode("append").parquet(landing)
+        st.stream_take_until(spark, landing, sink, ckpt, 2017, max_files=1, final=k == len(files) - 1)
+    got = sorted(r.status_id for r in spark.read.parquet(sink).collect())
+    assert got == sorted(r.status_id for r in batch)
+    assert got.count("110") == 2 and {"100", "101", "200", "201", "220", "340", "430"} <= set(got)
+    # the stream goes on after its end: a page that was missing is late, and nothing is written twice
+    pages_df([feed(2, 1, [2022]), feed(4, 4, [2022])]).coalesce(1).write.mode("append").parquet(landing)
+    st.stream_take_until(spark, landing, sink, ckpt, 2017, max_files=1)
+    assert sorted(r.status_id for r in spark.read.parquet(sink).collect()) == sorted([*got, "210"])
+
+
 def test_stream_error_streak(spark, pages_df):
     import datetime as dt
     t0 = dt.datetime(2024, 1, 1)
