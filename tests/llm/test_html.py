@@ -93,6 +93,30 @@ def test_blocks():
     assert len(blocks("<div>" * 3000 + "deep" + "<" * 50_000)) == 1
 
 
+def test_open_and_self_closed_elements_lose_nothing():
+    def texts(page):
+        return [b.text for b in blocks(page)]
+
+    page = "<meta charset=utf-8><title>t</title><script>x<p></script>{}<article><p>one</p><p>two</p></article>"
+    for end in ("</head>", "</head><body>", "<body>", "\n", "<link rel=x>"):
+        assert texts("<!doctype html><html><head>" + page.format(end)) == ["one", "two"]
+    assert texts("<head><title>t</title>loose<p>one") == ["loose", "one"]
+    assert texts("<p>a<head><p>b") == ["a", "b"]
+    for void in ("<svg/>", "<svg viewBox='0 0 1 1' />", '<svg class="a"/>', "<math/>", "<object data='x' />", "<svg hidden/>"):
+        assert texts(f"<article><p>a {void} b</p><p>c</p></article><svg><text>no</text></svg><p>d") == ["a b", "c", "d"]
+    assert texts("<p>a<svg><title>no</title><style/><text>no</text><svg>no</svg>no</svg>b") == ["ab"]
+    assert texts("<p>a<svg><path d='x'><p>b</p><svg>no</svg><p>c") == ["a", "b", "c"]
+    assert texts("<article><svg class=a/ ><text>no</article><p>b") == ["b"]
+    assert texts("<p>a<svg><foreignObject><p>no</p><div>no</div></foreignObject>no</svg>b") == ["ab"]
+    assert texts("<div><object><div>no</div><p>no</object>a</div>b") == ["a", "b"]
+    assert texts("<div><object><p>no</div>b<object>no</object>") == ["b"]
+    for raw in ("script", "style", "noscript", "template", "title", "textarea", "iframe", "object"):
+        assert texts(f"<p>a<{raw} x>b<p>c") == ["ab", "c"]
+        assert texts(f"<p>a<{raw}><p>no</{raw.upper()} >b<p>c") == ["ab", "c"]
+        assert len(blocks(f"<{raw}>" * 20_000 + "a")) == 1
+    assert blocks("<object>" * 3000 + "</object>") == blocks("<svg>" * 3000 + "no") == []
+
+
 def test_crf_against_enumeration():
     r = random.Random(3)
     sequences = [[[r.choice("ab"), r.choice("cd")] for _ in range(r.randrange(1, 6))] for _ in range(40)]
