@@ -3,7 +3,9 @@
 A text is reduced to a canonical form (ASCII case folded, copyright lines
 dropped, equivalent spellings made one, punctuation and runs of white space
 made one blank) and its SHA-256 is hash-joined to the digests of known licence
-texts.  Two units are looked up: the whole text (``licence``) and each of its
+texts.  A line is a copyright line if the word or sign it starts with is
+followed by what names a year or holder: body text that happens to be wrapped
+before the word "copyright" stays.  Two units are looked up: the whole text (``licence``) and each of its
 lines (``notices``), since source files carry a licence as a notice line.
 
 Only built-in functions are used.  The known texts are a fixed table; their
@@ -12,6 +14,8 @@ digests are computed by the same expressions.
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,14 +82,69 @@ limitations under the License."""),
     ("CC-BY-SA-4.0", "This work is licensed under CC BY-SA 4.0."),
     ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
 ]
+BSD_HEAD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+"""
+BSD_CLAUSES = ["""Redistributions of source code must retain the above copyright notice, this
+list of conditions and the following disclaimer.
+""", """Redistributions in binary form must reproduce the above copyright notice,
+this list of conditions and the following disclaimer in the documentation
+and/or other materials provided with the distribution.
+""", """Neither the name of the copyright holder nor the names of its
+contributors may be used to endorse or promote products derived from
+this software without specific prior written permission.
+"""]
+BSD_TAIL = """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE
+FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR
+SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER
+CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY,
+OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE
+OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""
+
+
+def _more() -> list[tuple[str, str]]:
+    """Whole texts: MIT, ISC and BSD under their usual titles, BSD clauses
+    numbered or not, and the files of ``texts``; Apache-2.0 also without its
+    appendix.  Texts with copyright lines of their own also on one line."""
+    out = []
+    for licence, title, others in (("MIT", "MIT License", ["", "The MIT License", "The MIT License (MIT)"]),
+                                   ("ISC", "ISC License", ["", "The ISC License"])):
+        body = next(t for i, t in KNOWN if i == licence and t.startswith(f"{title}\n\n"))[len(title):]
+        out += [(licence, other + body) for other in others]
+    for n, licence in ((2, "BSD-2-Clause"), (3, "BSD-3-Clause")):
+        for mark in ("{}. ", "* "):
+            body = "".join([BSD_HEAD, *[f"\n{mark.format(k)}{c}" for k, c in enumerate(BSD_CLAUSES[:n], 1)], BSD_TAIL])
+            out += [(licence, title + body) for title in ("", f"BSD {n}-Clause License\n\n", f"The {n}-Clause BSD License\n\n")]
+    for file in sorted(files("pagelake.llm").joinpath("texts").iterdir(), key=lambda f: f.name):
+        licence, text = file.name.removesuffix(".txt"), file.read_text("utf-8")
+        out += [(licence, text), (licence, " ".join(text.split()))]
+        if licence == "Apache-2.0":
+            out.append((licence, text[:text.index("END OF TERMS AND CONDITIONS") + 27]))
+    return out
+
+
+KNOWN += _more()
 # Spellings that mean the same, after case folding; whole words only.
 SPELLINGS = [
     ("licence", "license"), ("licenced", "licensed"), ("licences", "licenses"), ("sublicence", "sublicense"),
     ("organisation", "organization"), ("favour", "favor"), ("merchantibility", "merchantability"),
     ("noncommercial", "non commercial"), ("copyright holder", "copyright owner"),
 ]
-# A line that starts so is a copyright line.
-COPYRIGHT = "(?:copyright|\\(c\\)|©|all rights reserved)"
+# A line that starts so is a copyright line.  Both Java and RE2 read these.
+YEAR = "(?:19|20)[0-9]{2}"
+COPYRIGHT = "(?:" + "|".join([
+    f"copyright[\\t :,]*(?:\\(c\\)|©|{YEAR}|[<\\[{{]|by[\\t ])",
+    f"copyright[\\t ][^\\n]{{0,60}}[\\t ,(-]{YEAR}(?:[^0-9a-z\\n]|(?m:$))",
+    "copyright[\\t ][^\\n]*(?:authors|inc|ltd|llc|gmbh|foundation|affiliates|corporation|corp)[^0-9a-z\\n]*(?m:$)",
+    f"\\(c\\)[\\t ,]*(?:copyright|©|{YEAR}|[<\\[{{]|by[\\t ])",
+    f"\\(c\\)[^\\n]{{0,60}}[\\t ,(-]{YEAR}(?:[^0-9a-z\\n]|(?m:$))",
+    "\\(c\\)[\\t ]*(?:[^\\n\\t ]*[^\\n\\t .,;:]|[^\\n]{0,60}[\\t ](?:inc|ltd|llc|corp)[.]?)[\\t ]*(?m:$)",
+    "©", "all rights reserved[^0-9a-z\\n]*(?m:$)"]) + ")"
 PUNCTUATION = "[^0-9a-z\\x{80}-\\x{10FFFF}]+"
 LEAD = "[\\t #*/;%-]*"
 
@@ -93,7 +152,8 @@ LEAD = "[\\t #*/;%-]*"
 def canonical(text: Column) -> Column:
     """Canonical form of a text; null stays null."""
     out = F.translate(text, UPPER, LOWER)
-    out = F.regexp_replace(out, f"(?:^|\\n){LEAD}{COPYRIGHT}[^\\n]*", "\n")
+    # (?d): only "\n" ends a line for $, as in RE2
+    out = F.regexp_replace(out, f"(?d)(?:^|\\n){LEAD}{COPYRIGHT}[^\\n]*", "\n")
     # two blanks around every word, so that neighbouring spellings don't share one
     out = F.concat(F.lit(" "), F.regexp_replace(out, PUNCTUATION, "  "), F.lit(" "))
     for other, usual in SPELLINGS:

@@ -75,6 +75,40 @@ def test_licences(spark):
     assert licences.scan_licences(df.limit(0)).count() == 0
 
 
+def test_wrapping_does_not_matter(spark):
+    """Known texts on one line, and their paragraphs wrapped anywhere, are known."""
+    import re
+    import textwrap
+
+    rows, want = [], {}
+    for licence, text in licences.KNOWN:
+        paragraphs = re.split(r"\n\s*\n", text)
+        forms = [text, " ".join(text.split())]
+        # lines of its own copyright stay lines, other paragraphs are wrapped
+        for width in (30, 45, 60, 72, 100, 10**6):
+            forms.append("Copyright 2020 Some One\n\n" + "\n\n".join(
+                t if re.search(r"copyright (\(c\)|\[)|all rights reserved", t.lower()) else textwrap.fill(
+                    " ".join(t.split()), width, break_long_words=False, break_on_hyphens=False) for t in paragraphs))
+        for f in forms:
+            want[len(rows)] = licence
+            rows.append((len(rows), f))
+    got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r.doc_id, want[r.doc_id], rows[r.doc_id][1][:300]) for r in got if r.licence != want[r.doc_id]] == []
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "MPL-2.0"} <= set(want.values())
+
+
+def test_copyright_lines(spark):
+    line = "Released under the MIT License."
+    dropped = ["Copyright (c) 2021 Someone", "copyright 1999-2004, X", "# Copyright by X", "Copyright © X", "© X", "(c) 2020 X",
+               "(C) x", "Copyright Someone, 2020", "Copyright The Go Authors.", "// All rights reserved.", "Copyright [yyyy] [name]",
+               "Copyright Facebook, Inc. and its affiliates."]
+    kept = ["copyright notice and this permission notice appear in all copies.", "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM",
+            "(c) You must retain, in the Source form of any Derivative Works", "all rights reserved to the licensor by law"]
+    rows = [(i, f"{t}\n{line}") for i, t in enumerate(dropped + kept)]
+    got = licences.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got if r.licence == "MIT") == list(range(len(dropped)))
+
+
 def test_shards(spark):
     rows = [(i, None if i % 7 == 0 else f"s{min(i % 9, 3)}", None if i == 5 else "t" * (i % 13), 1) for i in range(500)]
     rows += [(None, "s1", "x", 1), (3, "s3", "ttt", 1), (3, "s3", "ttt", 1)]
