@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagelake.llm import chat, decontaminate, extract_html, jaccard, licences, packing, quality, sharding, sql, suffix_tree, token_files
+from pagelake.llm import (chat, decontaminate, extract_html, infill, jaccard, licences, mixing, packing, quality, sharding, sql,
+                          suffix_tree, token_files, vector_codes)
 from pagelake.llm.common import table
 from pagelake.session import fresh_dir
 
@@ -89,3 +90,23 @@ def op2_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_crf_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = extract_html.extract_main_text(table(spark, sf_dir, "pages"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = infill.restore(infill.fill_in_middle(table(spark, sf_dir, "documents")))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                      F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    return vector_codes.with_label_error(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(vector_codes.books_digest(books)).alias("codebooks_sha256"))
+
+
+@query
+def op13_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mix_documents(table(spark, sf_dir, "documents"))
+    return mixing.taken_per_document(mix).select("doc_id", "size", "source_size", "target", "taken")

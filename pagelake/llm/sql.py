@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pagelake.llm import licences, quality, sharding
+from pagelake.llm import infill, licences, mixing, quality, sharding, vector_codes
 from pagelake.llm.common import LOWER, UPPER
 
 
@@ -152,7 +152,110 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM stats LEFT JOIN judged USING (r)"""
 
 
+def _infill() -> str:
+    P, S, M = (_q(m) for m in infill.MARKS)
+    draw = " ".join(f", CAST('0x' || substr(key, {8 * k + 1}, 8) AS BIGINT) AS h{k + 1}" for k in range(4))
+    return f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('{infill.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS key
+  FROM documents),
+units AS (SELECT *, regexp_extract_all(text, '[^\n]*\n|[^\n]+') AS u {draw} FROM docs),
+cuts AS (
+  SELECT *, CAST(len(u) AS BIGINT) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS lo,
+    greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS hi,
+    CASE WHEN text = '' OR contains(text, {P}) OR contains(text, {S}) OR contains(text, {M}) OR h3 % 100 >= {infill.FIM_PERCENT}
+      THEN 'plain' WHEN h4 % 100 < {infill.SPM_PERCENT} THEN 'spm' ELSE 'psm' END AS form FROM units),
+pieces AS (
+  SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle,
+    array_to_string(u[hi + 1:], '') AS suffix FROM cuts)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(prefix) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(middle) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN {P} || prefix || {S} || suffix || {M} || middle
+    ELSE {S} || suffix || {P} || prefix || {M} || middle END) AS output_sha256, sha256(text) AS restored_sha256
+FROM pieces"""
+
+
+def _vector_codes() -> str:
+    """The rounds written out: one assignment and one set of means each."""
+    parts, scale = vector_codes.PARTS, vector_codes.SCALE
+    ctes = [f"""given AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(len(embedding) AS BIGINT) AS dim,
+  [CAST(floor(CAST(x AS DOUBLE) * {scale}) AS BIGINT) FOR x IN embedding] AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(embedding) % {parts} = 0 AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0)""",
+            "kept AS (SELECT * FROM given WHERE dim = (SELECT dim FROM given GROUP BY dim ORDER BY count(*) DESC, dim LIMIT 1))",
+            f"""p AS MATERIALIZED (SELECT r, vec_id, v, k AS part, v[k * dim // {parts} + 1:(k + 1) * dim // {parts}] AS x
+  FROM kept, range({parts}) AS t(k))""",
+            f"""b0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST, v) - 1 AS entry, x
+  FROM p QUALIFY row_number() OVER (PARTITION BY part ORDER BY vec_id NULLS LAST, v) <= {vector_codes.ENTRIES})"""]
+    for k in range(vector_codes.ROUNDS + 1):
+        ctes.append(f"""a{k} AS MATERIALIZED (SELECT r, part, min({{'d': d, 'e': entry}}) AS best FROM (SELECT p.r, p.part, b.entry,
+  CAST(list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(p.x, b.x)]) AS BIGINT) AS d
+  FROM p JOIN b{k} AS b USING (part)) GROUP BY ALL)""")
+        if k < vector_codes.ROUNDS:
+            ctes.append(f"""b{k + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.x, b{k}.x) AS x FROM b{k} LEFT JOIN (
+  SELECT part, entry, list(y ORDER BY j) AS x FROM (
+    SELECT part, best.e AS entry, j, CAST(floor(CAST(sum(y) AS DOUBLE) / count(*)) AS BIGINT) AS y
+    FROM (SELECT part, best, unnest(x) AS y, unnest(range(len(x))) AS j FROM p JOIN a{k} USING (r, part)) GROUP BY ALL)
+  GROUP BY ALL) AS m USING (part, entry))""")
+    last = vector_codes.ROUNDS
+    ctes += [f"""codes AS (SELECT r, string_agg(printf('%02x', best.e), '' ORDER BY part) AS code, CAST(sum(best.d) AS BIGINT) AS error
+  FROM a{last} GROUP BY r)""",
+             "rows_ AS (SELECT vec_id, label, code, error FROM kept JOIN codes USING (r))",
+             f"""digest AS (SELECT sha256(string_agg(CAST(y AS VARCHAR), ',' ORDER BY part, entry, j)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(x) AS y, unnest(range(len(x))) AS j FROM b{last}))"""]
+    return "WITH " + ",\n".join(ctes) + """
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM rows_, digest"""
+
+
+def _mix() -> str:
+    weights = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(mixing.WEIGHTS))
+    before = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+    last = mixing.REPEATS - 1
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{mixing.WORD}')) AS BIGINT) AS size,
+    md5('{mixing.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS key, md5(coalesce(text, '')) AS digest FROM documents),
+sized AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank
+  FROM docs GROUP BY source),
+weighed AS (
+  SELECT *, CASE rank % {len(mixing.WEIGHTS)} {weights} END AS weight, source_size * {mixing.REPEATS} AS cap FROM sized),
+whole AS (SELECT {mixing.SHARE} * CAST(sum(source_size) AS DOUBLE) AS budget, sum(weight) AS weights, count(*) AS n FROM weighed),
+filled AS (
+  SELECT *, CAST(cap AS DOUBLE) / weight <=
+    (budget - CAST(coalesce(sum(cap) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank {before}), 0) AS DOUBLE))
+    / CAST(weights - coalesce(sum(weight) OVER (ORDER BY CAST(cap AS DOUBLE) / weight, rank {before}), 0) AS DOUBLE) AS is_full
+  FROM weighed, whole),
+rest AS (
+  SELECT coalesce(sum(cap) FILTER (is_full), 0) AS caps, coalesce(sum(weight) FILTER (NOT is_full), 1) AS open FROM filled),
+targets AS (
+  SELECT source, source_size, rank, n, CAST(floor(least(budget, {mixing.REPEATS} * budget / {mixing.SHARE})) AS BIGINT) AS budget,
+    CASE WHEN is_full THEN CAST(cap AS DOUBLE) ELSE CAST(weight AS DOUBLE) * (budget - CAST(caps AS DOUBLE)) / CAST(open AS DOUBLE) END
+    AS target FROM filled, rest),
+queued AS (
+  SELECT docs.*, coalesce(sum(size) OVER (PARTITION BY source ORDER BY key, doc_id NULLS FIRST, digest, size, r {before}), 0) AS b
+  FROM docs),
+uses AS (
+  SELECT q.r, q.doc_id, q.size, t.source_size, t.rank, t.target, t.budget, CAST(floor(target) AS BIGINT) AS quota,
+    CAST(u * source_size + b AS BIGINT) AS start
+  FROM queued AS q JOIN targets AS t ON q.source IS NOT DISTINCT FROM t.source, range({last + 1}) AS z(u)
+  WHERE u = 0 OR u * source_size + b < floor(target) + n),
+packets AS (
+  SELECT *, start AS lo, CASE WHEN start < quota AND start + size > quota THEN quota ELSE start + size END AS hi FROM uses
+  UNION ALL
+  SELECT *, quota AS lo, start + size AS hi FROM uses WHERE start < quota AND start + size > quota),
+mix AS (
+  SELECT *, coalesce(sum(hi - lo) OVER (ORDER BY CASE WHEN target > 0 THEN hi / target ELSE CAST('inf' AS DOUBLE) END,
+    rank, hi, hi - lo {before}), 0) AS position FROM packets)
+SELECT doc_id, size, source_size, target,
+  CAST(sum(greatest(0, least(hi - lo, budget - position))) AS BIGINT) AS taken
+FROM mix GROUP BY r, doc_id, size, source_size, target"""
+
+
 ORACLE = {
+    "op11_fill_in_middle": _infill(),
+    "op12_vector_codes": _vector_codes(),
+    "op13_fair_mix": _mix(),
     "op5_mcd_quality": _quality(),
     "op3_licence_digests": LICENCES,
     "op4_chat_parts": CHAT,
