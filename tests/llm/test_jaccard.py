@@ -103,6 +103,35 @@ def test_components(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
 
 
+def test_component_rounds(spark):
+    """Long chains, by ascending, descending and shuffled ids, a hub and a random graph against union-find; rounds and jumps stay few."""
+    r = random.Random(9)
+    shuffled = list(range(10_000, 11_000))
+    r.shuffle(shuffled)
+    links = [(i, i + 1) for i in range(1_000)] + [(5_000 - i, 4_999 - i) for i in range(1_000)] \
+        + list(zip(shuffled, shuffled[1:])) + [(20_000, 20_001 + i) for i in range(500)] + [(29_999, 20_250)] \
+        + [(r.randrange(30_000, 31_000), r.randrange(30_000, 31_000)) for _ in range(900)] \
+        + [(40_000 + i, 41_000 - i) for i in range(1, 500)] + [(41_000 - i, 40_001 + i) for i in range(1, 499)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        lo, hi = sorted((find(a), find(b)))
+        parent[hi] = lo
+    rounds = []
+    got = dict(map(tuple, components(spark.createDataFrame(links, "a long, b long"), rounds).collect()))
+    assert got == {x: find(x) for a, b in links if a != b for x in (a, b)}
+    assert len(rounds) <= 8 and rounds[0] <= 12
+    rounds.clear()
+    chain = spark.createDataFrame([(i, i + 1) for i in range(1_000)], "a long, b long")
+    assert components(chain, rounds).where("label = 0").count() == 1_001 and len(rounds) == 1 and rounds[0] <= 12
+    assert components(chain.limit(0)).collect() == []
+
+
 def test_prefix_rule():
     for n in range(1, 300):
         k = jaccard.needed(n)
