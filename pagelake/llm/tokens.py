@@ -28,6 +28,9 @@ import numpy as np
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 WORD_END = "</w>"
+# The letters, numbers and white space of lower-cased Latin-1, for the same pattern in ``re``.
+_LETTERS, _NUMBERS, _SPACES = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾", "\x09-\x0d \x85\xa0"
+_LATIN_WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+").findall
 _ODD = "\x00\x1c\x1d\x1e\x1f\u0130\u03a3"  # NUL, separators, dotted capital I, capital sigma
 # Character ranges whose classes no Unicode version since 7.0 has changed (Latin, Greek, Cyrillic,
 # punctuation, currency signs, kana, CJK, Hangul, full-width forms); elsewhere two libraries may differ.
@@ -75,7 +78,9 @@ class FileEncoder:
 
             find = regex.compile(WORD_PATTERN).findall
             self._ranks(model["vocab"], r"[^\x00]+\x00")
-            self.prepare = lambda t: "\0".join([*find(unicodedata.normalize("NFC", t).lower()), ""])
+            # Latin-1 is in NFC, and ``re`` cuts it several times as fast
+            self.prepare = lambda t: "\0".join([*(
+                _LATIN_WORDS(t.lower()) if latin(t) else find(unicodedata.normalize("NFC", t).lower())), ""])
         else:
             self.prepare = None
 

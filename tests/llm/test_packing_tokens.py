@@ -38,6 +38,14 @@ def test_ids_equal_the_librarys(kind):
     check()
 
 
+@pytest.mark.parametrize("kind", ["bytes", "words"])
+def test_every_latin_character(kind):
+    enc = FileEncoder(PATHS[kind])
+    for c in map(chr, range(256)):
+        for t in (c, f"a{c}b", f"1{c}{c}'{c}s", f" {c} 's{c}", f"{c}'T!{c}É2²"):
+            assert np.frombuffer(enc.encode(t), "<u4").tolist() == whole(kind, t, 0)[:-1], repr(t)
+
+
 def test_binary_pieces():
     for n in [1, 2, 3, 7, 2047, 2048, 2049, 4096, 6143]:
         pieces = packing.binary_pieces(n)
