@@ -134,7 +134,7 @@ def year_cutoff(cards: DataFrame, min_year: int, keys: Sequence[str] = ("seed_ke
     return kept.where(F.col("reject_reason").isNull())
 
 
-PAGE_CARDS = 1 << 20  # a page's place and a card's place in it make one number: more cards a page than that don't occur
+PAGE_CARDS = 1 << 31  # a page's number and a card's place in it, both 32-bit, make one 64-bit number
 
 
 def _until_page(pages: DataFrame, stop, page_stop=None) -> DataFrame:
@@ -144,7 +144,8 @@ def _until_page(pages: DataFrame, stop, page_stop=None) -> DataFrame:
     cut pages are written to the shared work folder; the account's first stop
     is a hash aggregate of one number per stopped page, and pages, not cards,
     are joined to it.  An account with a third of all pages is one row per task
-    in the aggregate, and its pages are split by AQE in the join.
+    in the aggregate, and its pages are split by AQE in the join.  Pages without
+    a number come before the numbered ones, as NULL does in ``take_until``.
     """
     from pagelake.operators import extract as ex
     from pagelake.session import fresh_dir
@@ -154,7 +155,7 @@ def _until_page(pages: DataFrame, stop, page_stop=None) -> DataFrame:
     cut = ex.prefix_pages(pages, stop, page_stop)
     cut.write.parquet(path)
     cut = spark.read.schema(cut.schema).parquet(path)
-    place = F.col("page_no").cast("long") * PAGE_CARDS
+    place = F.coalesce(F.col("page_no").cast("long"), F.lit(-1)) * F.lit(PAGE_CARDS).cast("long")
     first = cut.where(F.col("stop_pos").isNotNull()).groupBy(F.col("seed_key").alias("_key")).agg(
         F.min(place + F.col("stop_pos")).alias("_first_stop"))
     joined = cut.join(first, F.col("seed_key").eqNullSafe(F.col("_key")), "left")

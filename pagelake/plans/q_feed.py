@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagelake.operators import aggregates as ag
+from pagelake.operators import chains
 from pagelake.operators import extract as ex
 from pagelake.operators import filters as fl
 from pagelake.operators import links as ln
@@ -41,6 +42,22 @@ def q_statuses_until(spark, sf):
     return statuses_until(spark, sf)
 
 
+@query("statuses_until_by_cursor", UNTIL_SQL)
+def q_statuses_until_by_cursor(spark, sf):
+    """C4 on pages without numbers: their order comes from the cursors alone."""
+    pages = status_pages(spark, sf).withColumn("page_no", F.lit(None).cast("int"))
+    return fl.year_cutoff_pages(chains.renumber(pages), CUTOFF_YEAR).select(*ex.STATUS_OUT)
+
+
+@query("chain_order", S.with_(S.POSTS, """
+SELECT DISTINCT 'status_list:' || user_id || ':' || page_no AS page_key, page_no, CAST(page_no AS BIGINT) AS chain_pos,
+       '' AS chain_head, 'whole' AS chain_status FROM posts"""))
+def q_chain_order(spark, sf):
+    """Place of every post-list page in its account's chain of cursors."""
+    pages = status_pages(spark, sf).withColumn("page_no", F.lit(None).cast("int"))
+    return chains.chain_order(pages).select("page_key", "page_no", "chain_pos", "chain_head", "chain_status")
+
+
 @query("take_until", UNTIL_SQL)
 def q_take_until(spark, sf):
     """C4 as the general operator: any keys, order and stop rule, on classified cards."""

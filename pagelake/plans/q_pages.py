@@ -9,6 +9,7 @@ from pagelake.functions.json import safe_path
 from pagelake.functions.text import strip_query
 from pagelake.functions.time import parse_created_at, site_time_text
 from pagelake.operators import aggregates as ag
+from pagelake.operators import chains
 from pagelake.operators import extract as ex
 from pagelake.operators import filters as fl
 from pagelake.operators import links as ln
@@ -277,6 +278,33 @@ def q_topics_for_films(spark, sf):
     return out.select("weibo_movie_id", "film_title", "title_sub", "item_id")
 
 
+# --------------------------------------------------------------------------- order by cursors
+
+# A page without a cursor names no successor, so the next page starts a piece of its own.
+CUT_OFF = "no_cursor AND page_no > 0"
+OWN_CURSOR = "CAST(l_orderkey * 10 + page_no AS VARCHAR)"
+
+
+@query("comment_chain_order", S.with_(S.COMMENTS, f"""
+SELECT DISTINCT {S.COMMENT_KEY} AS page_key, page_no, CAST(CASE WHEN {CUT_OFF} THEN 0 ELSE page_no END AS BIGINT) AS chain_pos,
+       CASE WHEN {CUT_OFF} THEN {OWN_CURSOR} ELSE '' END AS chain_head,
+       CASE WHEN {CUT_OFF} THEN 'broken' ELSE 'whole' END AS chain_status
+FROM citems"""))
+def q_comment_chain_order(spark, sf):
+    """Place of every comment page in its post's chain of cursors, page numbers unseen."""
+    pages = comment_pages(spark, sf).withColumn("page_no", F.lit(None).cast("int"))
+    return chains.chain_order(pages, "hot_comments").select("page_key", "page_no", "chain_pos", "chain_head", "chain_status")
+
+
+@query("broken_chains", S.with_(S.COMMENTS, f"""
+SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS chain_key, 'broken' AS chain_status, {OWN_CURSOR} AS chain_head,
+       CAST(1 AS BIGINT) AS n_pages
+FROM citems WHERE {CUT_OFF}"""))
+def q_broken_chains(spark, sf):
+    """Comment pages that no landed page leads to."""
+    return chains.broken_chains(comment_pages(spark, sf), "hot_comments")
+
+
 # --------------------------------------------------------------------------- URLs of the pages table
 
 @query("strip_query", "SELECT page_id, split_part(url, '?', 1) AS origin_url FROM pages")
