@@ -118,6 +118,15 @@ def error_streaks(fetches: DataFrame, n: int = STREAK_LIMIT, by: Sequence[str] =
     return runs.where(F.col("length") >= n)
 
 
+def profile_outcomes(pages: DataFrame) -> DataFrame:
+    """``seed_key``, ``page_key``, ``fetched_at``, ``failed`` of every profile
+    page.  A fetch fails when the page gives no profile record or no post-list
+    container, whatever its HTTP status."""
+    p = ex.extract_profiles(pages, with_rejects=True, container=True)
+    return p.select("seed_key", "page_key", "fetched_at",
+                    (F.col("reject_reason").isNotNull() | F.col("container_id").isNull()).alias("failed"))
+
+
 def check_complete(records: DataFrame, required: Sequence[str] | None = None,
                    rejects: bool = False) -> DataFrame:
     """Rows with every required column present (or, with ``rejects``, the

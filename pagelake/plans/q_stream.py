@@ -6,13 +6,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from pagelake.operators import audit as au
 from pagelake.operators import extract as ex
+from pagelake.operators.ordinal import add_ordinal, fraction_slice
 from pagelake.plans import fixtures as fx
 from pagelake.plans import sql as S
 from pagelake.plans.q_feed import CUTOFF_YEAR, UNTIL_SQL, WINDOW_MONTH, status_pages
 from pagelake.plans.q_pages import comment_pages
 from pagelake.plans.registry import ORACLE, query
 from pagelake.session import fresh_dir
+from pagelake.sinks.versions import append_sink, read_current
+from pagelake.sources.pages import read_pages
 from pagelake.streaming import streams as st
 
 
@@ -61,6 +65,26 @@ def q_stream_take_until(spark, sf):
     return spark.read.parquet(sink)
 
 
+# Slices of the account list: shares of the ids sorted as text.
+SHARES = 32
+PROFILE_STREAK = 2
+SLICES_SQL = f"""
+slices AS (
+  SELECT c_custkey, CAST((i * {SHARES} + n - 1) // n - 1 AS INTEGER) AS slice FROM (
+    SELECT c_custkey, row_number() OVER (ORDER BY CAST(c_custkey AS VARCHAR)) AS i, count(*) OVER () AS n FROM customer))"""
+PROFILE_FETCHES = f"""
+  SELECT slice, page_key, c_acctbal < 0 AS failed,
+         CAST('{fx.LANDED_AT}' AS TIMESTAMP) + to_seconds(c_custkey + CASE WHEN page_key LIKE '%:1' THEN 86400 ELSE 0 END) AS t
+  FROM prof JOIN slices USING (c_custkey)"""
+
+
+def account_slices(spark, sf):
+    """``seed_key`` -> ``slice`` for every account."""
+    ids = fx.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"))
+    return fraction_slice(add_ordinal(ids, ["id"], "ordinal", length="_len"), SHARES).select(F.col("id").alias("seed_key"),
+                                                                                      F.col("share").alias("slice"))
+
+
 STREAK_ALERT_SQL = S.with_(S.FETCHES, """
 f AS (SELECT user_id, ts, page_key, http_status <> 200 AS failed,
              sum(CASE WHEN http_status = 200 THEN 1 ELSE 0 END) OVER (
@@ -75,28 +99,64 @@ FROM g GROUP BY 1, 2 HAVING count(*) >= 15""")
 
 @query("stream_error_streak", STREAK_ALERT_SQL)
 def q_stream_error_streak(spark, sf):
-    """An alert row when an account's fetches fail 15 times in a row (stream in time order)."""
+    """An alert row when an account's fetches fail 15 times in a row; files land in no order of time."""
     landing, sink = fresh_dir(spark, "landing"), fresh_dir(spark, "sink")
-    log = fx.landed_fetches(spark, sf)
-    # Land in time order: consecutive ranges of the log's own times, one write each; an account's fetches of a
-    # range share a file, so files of one range may be read in any order.
-    at = F.coalesce(F.unix_micros("fetched_at"), F.lit(-1 << 62))
-    bounds = log.select(at.alias("t")).approxQuantile("t", [k / 7 for k in range(1, 7)], 0.01)
-    edges = [None, *sorted(set(bounds)), None]
-    for lo, hi in zip(edges, edges[1:]):
-        part = log if lo is None else log.where(at >= F.lit(int(lo)))
-        part = part if hi is None else part.where(at < F.lit(int(hi)))
-        part.repartition(4, "seed_key").write.mode("append").parquet(landing)
-    st.stream_error_streak(spark, landing, sink, fresh_dir(spark, "ckpt"), max_files=1)
-    return spark.read.parquet(sink)
+    _land(fx.landed_fetches(spark, sf), landing, 4)
+    st.stream_error_streak(spark, landing, sink, fresh_dir(spark, "ckpt"), max_files=2, delay="3650 days")
+    return spark.read.parquet(sink).withColumnRenamed("slice", "seed_key")
+
+
+@query("profile_error_streaks", S.with_(S.PROFILES, SLICES_SQL, f"""
+f AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER (
+               PARTITION BY slice ORDER BY t, page_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+      FROM ({PROFILE_FETCHES}))
+SELECT slice, CAST(run AS BIGINT) AS run, min(t) AS first_at, max(t) AS last_at, count(*) AS length
+FROM f WHERE failed GROUP BY 1, 2 HAVING count(*) >= {PROFILE_STREAK}"""))
+def q_profile_error_streaks(spark, sf):
+    """G3 as the run counts it: profile pages without a usable profile, in a row, per slice of the account list."""
+    outcomes = au.profile_outcomes(fx.landed(spark, sf, ["profile"])).join(account_slices(spark, sf), "seed_key")
+    return au.error_streaks(outcomes, PROFILE_STREAK, by=("slice",), failed=F.col("failed"))
+
+
+@query("stream_profile_error_streak", S.with_(S.PROFILES, SLICES_SQL, f"""
+f AS (SELECT *, sum(CASE WHEN failed THEN 0 ELSE 1 END) OVER (
+               PARTITION BY slice ORDER BY t, page_key ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
+      FROM ({PROFILE_FETCHES})),
+g AS (SELECT *, row_number() OVER (PARTITION BY slice, run ORDER BY t, page_key) AS k FROM f WHERE failed)
+SELECT slice, CAST(run AS BIGINT) AS run, min(t) AS first_at, max(CASE WHEN k = {PROFILE_STREAK} THEN t END) AS alert_at
+FROM g GROUP BY 1, 2 HAVING count(*) >= {PROFILE_STREAK}"""))
+def q_stream_profile_error_streak(spark, sf):
+    """Profile failures in a row per slice of the account list; files land in no order of time."""
+    landing, sink = fresh_dir(spark, "landing"), fresh_dir(spark, "sink")
+    _land(fx.landed(spark, sf, ["profile"]), landing, 4)
+    st.stream_profile_error_streak(spark, landing, sink, fresh_dir(spark, "ckpt"), account_slices(spark, sf), n=PROFILE_STREAK,
+                                   max_files=2, delay="3650 days")
+    return spark.read.parquet(sink).withColumn("slice", F.col("slice").cast("int"))
 
 
-@query("stream_max_id", S.with_(S.POSTS, f"""
-SELECT page_no, max(CAST(user_id AS BIGINT)) AS max_id FROM posts
+@query("stream_max_id", S.with_(S.POSTS, SLICES_SQL, f"""
+SELECT slice, max(CAST(user_id AS BIGINT)) AS max_id FROM posts LEFT JOIN slices ON user_id = c_custkey
 WHERE {S.GOOD_POST} AND mo = {WINDOW_MONTH} GROUP BY 1"""))
 def q_stream_max_id(spark, sf):
-    """Running highest account id per page number, kept in a table."""
+    """Running highest account id per slice, upserted into a versioned table."""
     landing, table = fresh_dir(spark, "landing"), fresh_dir(spark, "table")
     _land(status_pages(spark, sf), landing)
-    st.stream_max_id(spark, landing, table, fresh_dir(spark, "ckpt"), month=WINDOW_MONTH, max_files=2)
-    return spark.read.parquet(table)
+    st.stream_max_id(spark, landing, table, fresh_dir(spark, "ckpt"), slices=account_slices(spark, sf), month=WINDOW_MONTH, max_files=2)
+    return read_current(spark, table)
+
+
+@query("stream_append_table", S.with_(S.POSTS, f"""
+SELECT CAST(oid AS VARCHAR) AS status_id, CAST(1 AS BIGINT) AS n_copies FROM posts WHERE {S.GOOD_POST}"""))
+def q_stream_append_table(spark, sf):
+    """A stream's posts appended exactly once, though every batch is written twice."""
+    landing, table = fresh_dir(spark, "landing"), fresh_dir(spark, "table")
+    _land(status_pages(spark, sf), landing)
+    posts = ex.extract_statuses(read_pages(spark, landing, streaming=True, max_files_per_trigger=2))
+    write = append_sink(table)
+
+    def twice(batch, batch_id):
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    st.run_to_end(posts.writeStream.foreachBatch(twice), fresh_dir(spark, "ckpt"))
+    return spark.read.parquet(table).groupBy("status_id").agg(F.count(F.lit(1)).alias("n_copies"))

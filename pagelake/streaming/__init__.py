@@ -2,8 +2,8 @@
 
 from pagelake.streaming.streams import (
     run_to_end, stream_error_streak, stream_extract, stream_max_id, stream_new_commenters,
-    stream_take_until,
+    stream_profile_error_streak, stream_take_until,
 )
 
 __all__ = ["run_to_end", "stream_error_streak", "stream_extract", "stream_max_id",
-           "stream_new_commenters", "stream_take_until"]
+           "stream_new_commenters", "stream_profile_error_streak", "stream_take_until"]

@@ -7,38 +7,40 @@
   state with a watermark (``dropDuplicatesWithinWatermark``), which emits an
   id again when it returns after the watermark has passed.
 * ``stream_take_until``: the ordered prefix across an account's pages as a
-  per-account state machine (``applyInPandasWithState``).  Pages may land out
-  of order, more than once, late or never: the state keeps the next expected
-  page number, the account's first stop, and the cards of pages that arrived
-  early, until their turn or the end of the stream.  Every landing of a page
-  counts; one that comes after its turn is cut at the first stop so far.  What
-  has been written is not taken back when a late page stops earlier.
-* ``stream_error_streak``: failures in a row per slice; emits an alert row
-  when a run reaches ``n``.  Fetches of one slice must land in time order
-  across micro-batches (within a batch they are sorted).
-* ``stream_max_id``: running max per group, complete mode through
-  ``foreachBatch`` into a table that is overwritten each batch.
+  per-account state machine (``transformWithStateInPandas``).  Pages may land
+  out of order, more than once, late or never: pages that arrive ahead of
+  their turn wait in a map state, one entry per landing, so a batch costs its
+  own pages and those it releases, whatever is held; an event-time timer gives
+  up a gap.  Every landing of a page counts; one that comes after its turn is
+  cut at the first stop so far.  What has been written is not taken back when
+  a late page stops earlier.
+* ``stream_error_streak``: runs of profile failures per slice; emits an alert
+  row when a run reaches ``n``.  Fetches wait in a list state until the
+  watermark has passed them and are then taken in time order, so files may
+  land in any order within the watermark's delay.
+* ``stream_max_id``: highest id per group in update mode, upserted by key into
+  a versioned table (``sinks.versions``).
 
 Every query keeps its checkpoint in the given (shared) folder, so a restarted
-driver or lost executor resumes from the last committed batch.
+driver or lost executor resumes from the last committed batch.  The stateful
+ones keep their state in RocksDB.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from pagelake.functions.time import created_ts
 from pagelake.operators import extract as ex
-from pagelake.operators.audit import STREAK_LIMIT
+from pagelake.operators.audit import STREAK_LIMIT, profile_outcomes
 from pagelake.operators.filters import require_cursor
+from pagelake.sinks.versions import upsert_sink
 from pagelake.sources.pages import read_pages
 
 
@@ -83,198 +85,346 @@ def stream_new_commenters(spark: SparkSession, landing: str, sink: str, checkpoi
     return run_to_end(ids.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
 
 
+# --------------------------------------------------------------------------- time and state
+
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CLOCK = "(clock)"  # ``page_key`` of rows that only move the watermark
+
+
+@contextmanager
+def _rocksdb(spark: SparkSession):
+    """Stream queries started inside keep their state in RocksDB (a query
+    takes the setting when it starts)."""
+    name = "spark.sql.streaming.stateStore.providerClass"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, ROCKSDB)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old) if old else spark.conf.unset(name)
+
+
+def _clocks(spark: SparkSession, checkpoint: str) -> str:
+    """Folder of clock rows beside the checkpoint."""
+    folder = checkpoint.rstrip("/") + "-clocks"
+    spark.createDataFrame([], "fetched_at timestamp").write.mode("append").parquet(folder)
+    return folder
+
+
+def _with_clock(pages: DataFrame, folder: str, kind: str | None, delay: str) -> DataFrame:
+    """Pages of ``kind`` (None: all) and clock rows with a watermark on the
+    fetch time."""
+    clock = pages.sparkSession.readStream.schema("fetched_at timestamp").parquet(folder).withColumns(
+        {"kind": F.lit(kind or CLOCK), "page_key": F.lit(CLOCK)})
+    pages = pages if kind is None else pages.where(F.col("kind") == kind)
+    return pages.unionByName(clock, allowMissingColumns=True).withWatermark("fetched_at", delay)
+
+
+def _run_and_close(run: Callable[[], StreamingQuery], final: bool, spark: SparkSession, landing: str, fmt: str, folder: str,
+                   *waits: str) -> StreamingQuery:
+    """Run to the end of what has landed.  With ``final`` a clock row is then
+    landed, later than every page by twice the ``waits``, and a second short
+    run lets the timers fire: it has to come behind all pages, which one run
+    can't promise."""
+    with _rocksdb(spark):
+        q = run()
+        if final:
+            last = read_pages(spark, landing, fmt=fmt).agg(F.max("fetched_at").alias("t"))
+            after = F.coalesce(F.col("t"), F.timestamp_seconds(F.lit(0))) + F.expr("INTERVAL 1 SECOND")
+            for wait in waits:
+                after = after + F.expr(f"INTERVAL {wait}") * 2
+            last.select(after.alias("fetched_at")).write.mode("append").parquet(folder)
+            q = run()
+    return q
+
+
 # --------------------------------------------------------------------------- take_until as state
 
-CARD_FIELDS = ["user_id", "edit_at", "text", "reposts_count", "comments_count", "attitudes_count",
-               "status_id", "origin_url"]
-TAKE_OUT = T.StructType([
-    T.StructField("user_id", T.LongType()), T.StructField("edit_at", T.StringType()),
-    T.StructField("text", T.StringType()), T.StructField("reposts_count", T.LongType()),
-    T.StructField("comments_count", T.LongType()), T.StructField("attitudes_count", T.LongType()),
-    T.StructField("status_id", T.StringType()), T.StructField("origin_url", T.StringType()),
-])
-TAKE_STATE = T.StructType([
-    T.StructField("next_page", T.IntegerType()), T.StructField("stop_page", T.IntegerType()),
-    T.StructField("stop_pos", T.LongType()), T.StructField("held", T.StringType()),
-])
-MARK, END = -1, -2  # ``pos`` of a page's marker row and of an account's end-of-stream row
-
-
-def _take_until_fn(min_year: int):
-    out_cols = [f.name for f in TAKE_OUT.fields]
-    whole = [f.name for f in TAKE_OUT.fields if f.dataType == T.LongType()]
-
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        next_page, stop_page, stop_pos, held = state.get if state.exists else (0, None, None, "[]")
-        stop = None if stop_page is None else (int(stop_page), int(stop_pos))
-        rows = pd.DataFrame(json.loads(held))
-
-        def release(to_end: bool) -> list[pd.DataFrame]:
-            """Posts of the landings whose turn has come or is over (at the end: of all), page by page."""
-            nonlocal rows, next_page, stop
-            emitted, used = [], []
-            if len(rows):
-                landed = rows[rows.groupby("landing")["pos"].transform("size") == rows["n_cards"] + 1]
-                for number, page in landed.groupby("page_no"):
-                    if number > next_page and not to_end or stop and number > stop[0]:
-                        break
-                    used += page["landing"].unique().tolist()
-                    cards = page[(page["pos"] > MARK) & ~page["is_promo"].astype(bool)]
-                    old = cards.loc[cards["year"].notna() & (cards["year"] < min_year), "pos"]
-                    if len(old):
-                        stop = min(stop or (number, old.min()), (number, old.min()))
-                    good = cards[cards["reject_reason"].isna()]
-                    if stop and stop[0] == number:
-                        good = good[good["pos"] < stop[1]]
-                    if len(good):
-                        emitted.append(good.sort_values(["landing", "pos"])[out_cols].astype(dict.fromkeys(whole, "Int64")))
-                    next_page = max(next_page, number + 1)
-                rows = rows[~rows["landing"].isin(used)]
-                if stop:  # nothing after the account's first stop is wanted
-                    rows = rows[rows["page_no"] <= stop[0]]
-            return emitted
-
-        ended = False
-        for chunk in batches:  # Arrow chunks: only held pages plus one chunk are in memory
-            ended = ended or bool((chunk["pos"] == END).any())
-            chunk = chunk[chunk["pos"] != END]
-            rows = pd.concat([rows, chunk], ignore_index=True) if len(rows) else chunk
-            yield from release(False)
-        if ended:
-            yield from release(True)
-        state.update((int(next_page), *((None, None) if stop is None else map(int, stop)),
-                      json.dumps(rows.to_dict(orient="records"), default=_json_default)))
-
-    return fn
-
-
-def _json_default(v):
-    if pd.isna(v):
-        return None
-    if hasattr(v, "item"):
-        return v.item()
-    return str(v)
-
-
-def take_until_input(pages: DataFrame) -> DataFrame:
-    """One marker row per landing of a page (``pos = -1``, with its card
-    count) followed by its cards, all from one parse of the body: a page with
-    no cards still counts as landed, and a landing is complete once all its
-    cards are in.  A page without a number is before the numbered ones."""
-    p = pages.where(F.col("kind") == "status_list").withColumn("landing", F.expr("uuid()")) \
-        .withColumn("page_no", F.coalesce("page_no", F.lit(-1)))
-    raw = F.coalesce(F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"],
-                     F.array().cast("array<string>"))
-    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
-                                               F.from_json(c, ex.MAP).alias("_m")))
-    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
-                                          F.from_json(ex.get(x["_m"], "mblog"), ex.MAP).alias("_mb")))
-    mark = F.struct(F.lit(MARK).cast("long").alias("pos"), F.lit(None).cast("string").alias("card"),
-                    F.lit(None).cast(ex.MAP).alias("_m"), F.lit(None).cast(ex.MAP).alias("_mb"))
-    rows = p.select("seed_key", "page_no", "landing", F.size(raw).alias("n_cards"),
-                    F.inline(F.concat(F.array(mark), a)))
-    f = ex._status_fields(F.col("_m"), F.col("_mb"), F.col("card"))
-    return rows.select("seed_key", "page_no", "landing", "n_cards", "pos", f["is_promo"].alias("is_promo"),
-                       f["year"].alias("year"), f["reject_reason"].alias("reject_reason"),
-                       F.col("seed_key").try_cast("bigint").alias("user_id"),
-                       *[f[k].alias(k) for k in CARD_FIELDS if k != "user_id"])
-
-
-def take_until_stateful(pages: DataFrame, min_year: int, ends: DataFrame | None = None) -> DataFrame:
-    """``ends``: accounts (``seed_key``) whose stream has ended."""
-    rows = take_until_input(pages)
-    if ends is not None:
-        rows = rows.unionByName(ends.select("seed_key", F.lit(END).cast("long").alias("pos")), allowMissingColumns=True)
-    out = rows.groupBy("seed_key").applyInPandasWithState(
-        _take_until_fn(min_year), TAKE_OUT, TAKE_STATE, "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn("created_ts", created_ts("edit_at")).select(*ex.STATUS_OUT)
+POST_FIELDS = ["edit_at", "created_ts", "text", "reposts_count", "comments_count", "attitudes_count", "status_id", "origin_url"]
+HELD = ("array<struct<pos: bigint, edit_at: string, created_ts: timestamp, text: string, reposts_count: bigint, "
+        "comments_count: bigint, attitudes_count: bigint, status_id: string, origin_url: string>>")
+TAKE_OUT = T.StructType([T.StructField("seed_key", T.StringType()), T.StructField("posts", T.StringType()),
+                         T.StructField("stop_pos", T.LongType())])
+EXACT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+class TakeUntil(StatefulProcessor):
+    """Releases an account's pages in the order of their numbers.
+
+    State: the next page number, the first stop (page and position) and when
+    to give up the gap being waited for; and, by (page number, landing), the
+    posts of pages that are ahead.
+    """
+
+    def __init__(self, patience_ms: int):
+        self.patience_ms = patience_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.progress = handle.getValueState("progress", "next_page long, stop_page long, stop_pos long, give_up long")
+        self.held = handle.getMapState("held", "page long, landing long", "posts string, stop_pos long, deadline long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        self._load()
+        out: list[tuple] = []
+        watermark = timerValues.getCurrentWatermarkInMs()
+        for chunk in rows:
+            for page, landed in chunk.groupby("page_no"):
+                page = int(page)
+                landings = [(p, None if pd.isna(s) else int(s)) for p, s in zip(landed["posts"], landed["stop_pos"])]
+                if page > self.next_page:
+                    if self.stop is None:  # nothing after the first stop is wanted
+                        at = landed["fetched_ms"].dropna()
+                        self._hold(page, landings, (watermark if at.empty else int(at.max())) + self.patience_ms)
+                    continue
+                self._release(page, landings, out)
+                if page == self.next_page:
+                    self._go_on(page + 1, out)
+        yield from self._finish(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self._load()
+        out: list[tuple] = []
+        waiting = sorted((k[0], v[2]) for k, v in self.held.iterator())
+        for page, deadline in waiting:
+            if page < self.next_page:  # released with the run before it
+                continue
+            if deadline > timerValues.getCurrentWatermarkInMs() or self.stop is not None:
+                break
+            self._go_on(page, out)
+        self.give_up = min((d for p, d in waiting if p >= self.next_page), default=None) if self.stop is None else None
+        if self.give_up is not None:
+            self.handle.registerTimer(self.give_up)
+        yield from self._finish(key, out)
+
+    def close(self) -> None:
+        pass
+
+    def _load(self) -> None:
+        next_page, stop_page, stop_pos, give_up = self.progress.get() if self.progress.exists() else (0, None, None, None)
+        self.next_page, self.give_up = next_page, give_up
+        self.stop = None if stop_page is None else (stop_page, stop_pos)
+
+    def _hold(self, page: int, landings: list[tuple], deadline: int) -> None:
+        k = 0
+        while self.held.containsKey((page, k)):
+            k += 1
+        for posts, stop in landings:
+            self.held.updateValue((page, k), (posts, stop, deadline))
+            k += 1
+        if self.give_up is None:
+            self.give_up = deadline
+            self.handle.registerTimer(deadline)
+
+    def _release(self, page: int, landings: list[tuple], out: list[tuple]) -> None:
+        stops = [(page, s) for _, s in landings if s is not None]
+        if stops:
+            self.stop = min([*stops, *([self.stop] if self.stop else [])])
+        if self.stop is None or page <= self.stop[0]:
+            cut = self.stop[1] if self.stop and self.stop[0] == page else None
+            out += [(posts, cut) for posts, _ in landings]
+
+    def _go_on(self, page: int, out: list[tuple]) -> None:
+        """Release held pages from ``page`` on until one is missing."""
+        while self.stop is None and self.held.containsKey((page, 0)):
+            landings, k = [], 0
+            while self.held.containsKey((page, k)):
+                landings.append(self.held.getValue((page, k))[:2])
+                self.held.removeKey((page, k))
+                k += 1
+            self._release(page, landings, out)
+            page += 1
+        self.next_page = max(self.next_page, page)
+        if self.stop is not None:
+            self.held.clear()
+
+    def _finish(self, key, out: list[tuple]) -> Iterator[pd.DataFrame]:
+        self.progress.update((self.next_page, *(self.stop or (None, None)), self.give_up))
+        if out:
+            yield pd.DataFrame({"seed_key": [key[0]] * len(out), "posts": [p for p, _ in out],
+                                "stop_pos": pd.array([s for _, s in out], dtype="Int64")})
+
+
+def take_until_input(pages: DataFrame, min_year: int) -> DataFrame:
+    """One row per landing of a post-list page: its good posts up to its own
+    first stop, as JSON, and where that stop is.  A page without a number is
+    before the numbered ones."""
+    cut = ex.prefix_pages(pages, lambda f: f["year"] < F.lit(min_year))
+    good = F.transform(F.filter("posts", lambda x: x["reject_reason"].isNull()),
+                       lambda x: F.struct(x["pos"].alias("pos"), *[x[f].alias(f) for f in POST_FIELDS]))
+    return cut.select("seed_key", F.coalesce("page_no", F.lit(-1)).alias("page_no"),
+                      F.unix_millis("fetched_at").alias("fetched_ms"), "stop_pos", F.to_json(good, EXACT).alias("posts"))
+
+
+def take_until_stateful(pages: DataFrame, min_year: int, patience: str) -> DataFrame:
+    """``pages`` has a watermark.  Only the timers use it: the fetch time goes
+    on as a number, so no page is dropped as late."""
+    patience_ms = int(pd.Timedelta(patience) / pd.Timedelta(milliseconds=1))
+    out = take_until_input(pages, min_year).groupBy("seed_key").transformWithStateInPandas(
+        TakeUntil(patience_ms), TAKE_OUT, "Append", "EventTime")
+    posts = out.select("seed_key", "stop_pos", F.inline(F.from_json("posts", HELD, EXACT)))
+    posts = posts.where("stop_pos IS NULL OR pos < stop_pos").withColumn("user_id", F.col("seed_key").try_cast("bigint"))
+    return posts.select(*ex.STATUS_OUT)
 
 
 def stream_take_until(spark: SparkSession, landing: str, sink: str, checkpoint: str, min_year: int,
-                      max_files: int | None = None, fmt: str = "parquet", final: bool = True) -> StreamingQuery:
-    """The stream up to the pages that have landed.  With ``final`` missing
-    page numbers are then given up: the pages held behind them are released
-    by the batch rule.  Without it they wait in the state for the next run."""
-    folder = checkpoint.rstrip("/") + "-ends"
-    spark.createDataFrame([], "seed_key string").write.mode("append").parquet(folder)
+                      max_files: int | None = None, fmt: str = "parquet", final: bool = True,
+                      delay: str = "1 hour", patience: str = "1 day") -> StreamingQuery:
+    """The stream up to the pages that have landed.
+
+    A gap in an account's page numbers is given up when the watermark (the
+    latest fetch less ``delay``) is ``patience`` behind the pages that wait
+    for it: they are then released by the batch rule.  With ``final`` all gaps
+    are given up at the end: a clock row is landed that moves the watermark
+    past every page; without it pages wait in the state for the next run.
+    """
+    folder = _clocks(spark, checkpoint)
 
     def run() -> StreamingQuery:
-        ends = spark.readStream.schema("seed_key string").parquet(folder)
-        out = take_until_stateful(_source(spark, landing, max_files, fmt), min_year, ends)
+        pages = _with_clock(_source(spark, landing, max_files, fmt), folder, "status_list", delay)
+        out = take_until_stateful(pages, min_year, patience)
         return run_to_end(out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
 
-    q = run()
-    if final:
-        held = spark.read.format("statestore").load(checkpoint).where("value.groupState.held <> '[]'") \
-            .select("key.*").toDF("seed_key")
-        if not held.isEmpty():
-            held.write.mode("append").parquet(folder)
-            q = run()
-    return q
+    return _run_and_close(run, final, spark, landing, fmt, folder, delay, patience)
 
 
 # --------------------------------------------------------------------------- error streaks as state
 
 STREAK_OUT = T.StructType([
-    T.StructField("seed_key", T.StringType()), T.StructField("run", T.LongType()),
+    T.StructField("slice", T.StringType()), T.StructField("run", T.LongType()),
     T.StructField("first_us", T.LongType()), T.StructField("alert_us", T.LongType()),
 ])
-STREAK_STATE = T.StructType([
-    T.StructField("run", T.LongType()), T.StructField("length", T.LongType()),
-    T.StructField("first_us", T.LongType()),
-])
 
 
-def _streak_fn(n: int):
-    def fn(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(batches), ignore_index=True).sort_values(["t_us", "page_key"])
-        run, length, first = state.get if state.exists else (0, 0, None)
+class ErrorStreak(StatefulProcessor):
+    """Counts a slice's failures in a row.
+
+    State: successes so far, length and start of the present run; and the
+    fetches that the watermark has not passed, which a timer takes out in time
+    order.
+    """
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.run = handle.getValueState("run", "run long, length long, first_us long, timer long")
+        self.pending = handle.getListState("pending", "t_us long, page_key string, failed boolean")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        run, length, first, timer = self.run.get() if self.run.exists() else (0, 0, None, None)
+        earliest = None
+        for chunk in rows:
+            chunk = chunk[chunk["page_key"] != CLOCK]
+            if len(chunk):
+                times = chunk["t_us"].tolist()
+                self.pending.appendList(list(zip(times, chunk["page_key"], map(bool, chunk["failed"]))))
+                earliest = min(times) if earliest is None else min(earliest, min(times))
+        if earliest is not None:
+            at = max(earliest // 1000, 0)
+            if timer is None or at < timer:
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                timer = at
+                self.handle.registerTimer(at)
+            self.run.update((run, length, first, timer))
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        run, length, first, _ = self.run.get()
+        passed = timerValues.getCurrentWatermarkInMs()
+        due, later = [], []
+        for row in self.pending.get():
+            (due if row[0] // 1000 <= passed else later).append(tuple(row))
         alerts = []
-        for t, failed in zip(rows["t_us"].tolist(), rows["failed"].tolist()):
-            if failed:
-                if length == 0:
-                    first = int(t)
-                length += 1
-                if length == n:
-                    alerts.append((key[0], int(run), first, int(t)))
-            else:
+        for t, _page, failed in sorted(due):
+            if not failed:
                 run, length, first = run + 1, 0, None
-        state.update((int(run), int(length), first))
+                continue
+            first = t if length == 0 else first
+            length += 1
+            if length == self.n:
+                alerts.append((key[0], run, first, t))
+        timer = min((r[0] for r in later), default=None)
+        if later:
+            timer = max(timer // 1000, 0)
+            self.pending.put(later)
+            self.handle.registerTimer(timer)
+        else:
+            self.pending.clear()
+        self.run.update((run, length, first, timer))
         if alerts:
             yield pd.DataFrame(alerts, columns=[f.name for f in STREAK_OUT.fields])
 
-    return fn
+    def close(self) -> None:
+        pass
 
 
-def error_streak_stateful(fetches: DataFrame, n: int = STREAK_LIMIT) -> DataFrame:
-    rows = fetches.select("seed_key", "page_key", F.unix_micros("fetched_at").alias("t_us"),
-                          (F.col("http_status") != 200).alias("failed"))
-    out = rows.groupBy("seed_key").applyInPandasWithState(
-        _streak_fn(n), STREAK_OUT, STREAK_STATE, "append", GroupStateTimeout.NoTimeout)
-    return out.select("seed_key", "run", F.timestamp_micros("first_us").alias("first_at"),
+def error_streak_stateful(outcomes: DataFrame, n: int = STREAK_LIMIT) -> DataFrame:
+    """``outcomes``: ``slice`` (text), ``page_key``, ``fetched_at`` with a
+    watermark, ``failed``.  A fetch without a time counts as the first."""
+    rows = outcomes.select("slice", F.coalesce("page_key", F.lit("")).alias("page_key"),
+                           F.coalesce(F.unix_micros("fetched_at"), F.lit(-1)).alias("t_us"),
+                           F.coalesce("failed", F.lit(False)).alias("failed"))
+    out = rows.groupBy("slice").transformWithStateInPandas(ErrorStreak(n), STREAK_OUT, "Append", "EventTime")
+    return out.select("slice", "run", F.timestamp_micros("first_us").alias("first_at"),
                       F.timestamp_micros("alert_us").alias("alert_at"))
 
 
-def stream_error_streak(spark: SparkSession, landing: str, sink: str, checkpoint: str,
-                        n: int = STREAK_LIMIT, max_files: int | None = 1, fmt: str = "parquet") -> StreamingQuery:
-    out = error_streak_stateful(_source(spark, landing, max_files, fmt), n)
-    return run_to_end(out.writeStream.format("parquet").option("path", sink).outputMode("append"), checkpoint)
+def fetch_outcomes(pages: DataFrame) -> DataFrame:
+    """A fetch fails when its HTTP status is not 200."""
+    return pages.select("seed_key", "page_key", "fetched_at", (F.col("http_status") != 200).alias("failed"))
+
+
+def stream_error_streak(spark: SparkSession, landing: str, sink: str, checkpoint: str, n: int = STREAK_LIMIT,
+                        max_files: int | None = None, fmt: str = "parquet", final: bool = True, delay: str = "1 day",
+                        slices: DataFrame | None = None, kind: str | None = None,
+                        outcomes: Callable[[DataFrame], DataFrame] = fetch_outcomes) -> StreamingQuery:
+    """An alert per run of ``n`` failures in a row.
+
+    ``slices`` maps accounts (``seed_key``) to their ``slice`` of the work
+    list; without it an account is its own slice.  ``outcomes`` tells failed
+    pages of ``kind``.  Files may land in any order within ``delay``; a fetch
+    that lands later still counts, where it arrives.  ``final`` moves the clock past every page at the end, so
+    all fetches are counted; without it the last ``delay`` waits.
+    """
+    folder = _clocks(spark, checkpoint)
+
+    def run() -> StreamingQuery:
+        found = outcomes(_with_clock(_source(spark, landing, max_files, fmt), folder, kind, delay))
+        if slices is None:
+            found = found.withColumn("slice", F.col("seed_key"))
+        else:
+            known = slices.select(F.col("seed_key").alias("_account"), F.col("slice").cast("string").alias("slice"))
+            found = found.join(known, F.col("seed_key") == F.col("_account"), "left")
+        return run_to_end(error_streak_stateful(found, n).writeStream.format("parquet").option("path", sink)
+                          .outputMode("append"), checkpoint)
+
+    return _run_and_close(run, final, spark, landing, fmt, folder, delay)
+
+
+def stream_profile_error_streak(spark: SparkSession, landing: str, sink: str, checkpoint: str, slices: DataFrame,
+                                **options) -> StreamingQuery:
+    """``stream_error_streak`` per slice over profile pages alone: a page fails
+    when it gives no profile or no post-list container."""
+    return stream_error_streak(spark, landing, sink, checkpoint, slices=slices, kind="profile", outcomes=profile_outcomes, **options)
 
 
 # --------------------------------------------------------------------------- running max
 
 def stream_max_id(spark: SparkSession, landing: str, table: str, checkpoint: str,
-                  by: tuple[str, ...] = ("page_no",), month: int | None = None,
+                  by: tuple[str, ...] = ("slice",), slices: DataFrame | None = None, month: int | None = None,
                   max_files: int | None = None, fmt: str = "parquet") -> StreamingQuery:
-    """Highest account id per group so far; the table always holds the
-    latest totals."""
+    """Highest account id per group so far, upserted into the versioned table
+    at ``table`` (``sinks.versions.read_current``).  ``slices`` as in
+    ``stream_error_streak``; only groups that a batch touches are sent on."""
     cards = ex.status_cards(_source(spark, landing, max_files, fmt))
     posts = cards.where(~F.col("is_promo") & F.col("reject_reason").isNull())
     if month is not None:
         posts = posts.where(F.col("month") == month)
+    if slices is not None:
+        known = slices.select(F.col("seed_key").alias("_account"), "slice")
+        posts = posts.join(known, F.col("seed_key") == F.col("_account"), "left")
     agg = posts.groupBy(*by).agg(F.max("user_id").alias("max_id"))
-
-    def overwrite(batch: DataFrame, _epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(table)
-
-    return run_to_end(agg.writeStream.outputMode("complete").foreachBatch(overwrite), checkpoint)
+    return run_to_end(agg.writeStream.outputMode("update").foreachBatch(upsert_sink(table, by)), checkpoint)
