@@ -8,8 +8,8 @@ one's ``docs``.  All but the last return the columns of ``docs``.
 Null, empty and blank texts fail the quality rules.  Null ids, languages and
 sources are values of their own; rows with equal ids are documents of their
 own; of rows repeated in full one stays after the second stage.  Extra columns
-are kept, whatever their names (but for ``_row``, which must not exist).  An
-empty table gives an empty result.
+are kept, whatever their names: the stages name their helper columns so that
+they can't clash.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,35 +29,39 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 ORACLE_SQL = None
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``_row``: a 64-bit hash of what decides about a row."""
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text", "lang", "source"))
+def _free(docs: DataFrame, name: str) -> str:
+    """``name`` with as many underscores in front as make it new in ``docs``."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
 
 
-def _without(keyed: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Rows whose ``_row`` is not in ``rejected``, which has one column."""
-    return keyed.join(rejected.distinct(), "_row", "left_anti").drop("_row")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a 64-bit hash of what decides about a row, and its name."""
+    row = _free(docs, "_row")
+    return docs.withColumn(row, F.xxhash64("doc_id", "text", "lang", "source")), row
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    keyed = _keyed(docs)
-    verdict = quality.quality_rules(keyed, keep=("_row",))
-    return _without(keyed, verdict.where("NOT kept").select("_row"))
+    keyed, row = _keyed(docs)
+    verdict = quality.quality_rules(keyed.select("doc_id", "text", "lang", "source", row), keep=(row,))
+    return keyed.join(verdict.where("NOT kept").select(row).distinct(), row, "left_anti").select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The row with the smallest (doc_id, row hash) of each component stays."""
-    keyed = _keyed(docs)
+    keyed, row = _keyed(docs)
+    first, copies = _free(docs, "_first"), _free(docs, "_copies")
     # the id carries the row's hash, so one row of several with equal ids can be told
-    named = keyed.select(F.struct("doc_id", "_row").alias("doc_id"), "text")
+    named = keyed.select(F.struct(F.col("doc_id"), F.col(row).alias("_row")).alias("doc_id"), "text")
     found = jaccard.jaccard_components(named, words=NEAR_WORDS, link=NEAR_PERCENT)
-    found = found.select(F.col("doc_id._row").alias("_row"), F.col("doc_id") == F.col("component_id"))
-    found = found.toDF("_row", "first")
-    rows = found.groupBy("_row").agg(F.max("first").alias("first"), F.count(F.lit(1)).alias("copies"))
-    rows = rows.where("NOT first OR copies > 1")
-    marked = keyed.join(rows, "_row", "left")
-    single = marked.where("first IS NULL").select(*docs.columns)
-    repeated = marked.where("first").dropDuplicates(["_row"]).select(*docs.columns)
+    found = found.select(F.col("doc_id._row").alias(row), (F.col("doc_id") == F.col("component_id")).alias(first))
+    rows = found.groupBy(row).agg(F.max(first).alias(first), F.count(F.lit(1)).alias(copies))
+    rows = rows.where(~F.col(first) | (F.col(copies) > 1))
+    marked = keyed.join(rows, row, "left")
+    single = marked.where(F.col(first).isNull()).select(*docs.columns)
+    repeated = marked.where(first).dropDuplicates([row]).select(*docs.columns)
     return single.union(repeated)
 
 
