@@ -88,3 +88,20 @@ def test_edge_rows(spark):
     assert sorted(r.extra for r in one.collect()) == ["a", "d"]
     for _, f in cp.STAGES:
         assert f(spark, docs.limit(0), sf).count() == 0
+
+
+def test_clashing_columns(spark):
+    """Columns named like the stages' own helpers come through with their values."""
+    sf = "/root/testdata/sf0.001"
+    names = ["first", "copies", "_row", "_first", "_copies", "kept", "node", "label", "_group", "component_id"]
+    text = " ".join(f"word{i}" for i in range(80))
+    texts = [text, text, text.replace("word40", "other"), " ".join(f"x{i}" for i in range(70)), None]
+    rows = [(i, t, "en", "s", *[f"{n}{i}" for n in names]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"{n} string" for n in names))
+    want = {0: rows[0], 3: rows[3]}
+    for name, f in cp.STAGES[:3]:
+        docs = f(spark, docs, sf)
+        assert docs.columns == ["doc_id", "text", "lang", "source", *names]
+        if name != "quality_rules":
+            assert {r.doc_id: tuple(r) for r in docs.collect()} == want
+    assert sorted({r.doc_id for r in cp.packing_stage(spark, docs, sf).collect()}) == [0, 3]
