@@ -201,7 +201,7 @@ class TakeUntil(StatefulProcessor):
         pass
 
     def _load(self) -> None:
-        next_page, stop_page, stop_pos, give_up = self.progress.get() if self.progress.exists() else (0, None, None, None)
+        next_page, stop_page, stop_pos, give_up = self.progress.get() or (0, None, None, None)
         self.next_page, self.give_up = next_page, give_up
         self.stop = None if stop_page is None else (stop_page, stop_pos)
 
@@ -313,7 +313,7 @@ class ErrorStreak(StatefulProcessor):
         self.pending = handle.getListState("pending", "t_us long, page_key string, failed boolean")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        run, length, first, timer = self.run.get() if self.run.exists() else (0, 0, None, None)
+        run, length, first, timer = self.run.get() or (0, 0, None, None)
         earliest = None
         for chunk in rows:
             chunk = chunk[chunk["page_key"] != CLOCK]
