@@ -18,54 +18,81 @@ MAX_RETRIES = 12
 STREAK_LIMIT = 15
 
 
-def _rej(df: DataFrame, table: str, pos, reason, payload) -> DataFrame:
-    return df.select(F.lit(table).alias("source_table"), "page_key", pos.cast("long").alias("pos"),
-                     reason.alias("reason"), payload.alias("payload"))
+REJECT = "array<struct<source_table: string, pos: bigint, reason: string, payload: string>>"
 
 
-PAGE_BODY = "struct<data: struct<cards: array<string>, data: array<string>, max_id: string, max_id_type: string>>"
+def _reject(table: str, pos, reason, payload):
+    return F.struct(F.lit(table).alias("source_table"), pos.cast("bigint").alias("pos"), reason.alias("reason"),
+                    payload.cast("string").alias("payload"))
 
 
-def page_rejects(pages: DataFrame) -> DataFrame:
-    """Pages that give no records as a whole: ``null_body``, ``body_not_json``,
-    ``no_cards`` (a post list without its card list), ``no_comment_list``, and
-    ``no_cursor`` (a follow-up comment page that is dropped for lack of one).
+def _page_reason(no_data):
+    """Why a body can't be read at all; whether it is JSON is looked up only
+    where it gave no data."""
+    return F.when(F.col("body").isNull(), "null_body").when(
+        no_data & F.from_json("body", "map<string,string>").isNull(), "body_not_json")
 
-    One typed parse per body; whether a body without ``data`` is JSON at all,
-    and whether a NULL cursor field is at least present, is looked up only for
-    the pages in question.
-    """
-    d = F.from_json("body", PAGE_BODY)["data"]
-    p = pages.select("kind", "page_key", "page_no", "body", d.alias("_d"))
+
+def _none():
+    return F.array().cast(REJECT)
+
+
+def _page_level(reason):
+    return F.when(reason.isNotNull(), F.array(_reject("raw_pages", F.lit(None), reason, F.col("kind")))).otherwise(_none())
+
+
+def _status_rejects(pages: DataFrame) -> DataFrame:
+    p = pages.where(F.col("kind") == "status_list").select(
+        "kind", "page_key", "body", F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"].alias("_d"))
+    cards = F.col("_d")["cards"]
+
+    def classified(x):
+        f = ex._status_fields(x["_m"], x["_mb"], x["card"])
+        return F.struct(f["is_promo"].alias("is_promo"), _reject("statuses", x["pos"], f["reject_reason"], x["card"]).alias("r"))
+
+    bad = F.filter(F.transform(ex.card_array(cards), classified), lambda x: ~x["is_promo"] & x["r"]["reason"].isNotNull())
+    whole = F.coalesce(_page_reason(F.col("_d").isNull()), F.when(cards.isNull(), "no_cards"))
+    return p.select("page_key", F.inline(F.concat(_page_level(whole), F.coalesce(F.transform(bad, lambda x: x["r"]), _none()))))
+
+
+def _comment_rejects(pages: DataFrame) -> DataFrame:
+    p = ex.parsed_comment_pages(pages)
     d = F.col("_d")
-    keys = F.from_json("body", "struct<data: map<string,string>>")["data"]
-    has_cursor = (d["max_id"].isNotNull() & d["max_id_type"].isNotNull()) | F.coalesce(
-        F.map_contains_key(keys, F.lit("max_id")) & F.map_contains_key(keys, F.lit("max_id_type")), F.lit(False))
-    comments = F.col("kind") == "hot_comments"
-    reason = (F.when(F.col("body").isNull(), "null_body")
-              .when(d.isNull() & F.from_json("body", "map<string,string>").isNull(), "body_not_json")
-              .when((F.col("kind") == "status_list") & d["cards"].isNull(), "no_cards")
-              .when(comments & d["data"].isNull(), "no_comment_list")
-              .when(comments & (F.col("page_no") > 0) & ~has_cursor, "no_cursor"))
-    return p.select("kind", "page_key", reason.alias("reason")).where(F.col("reason").isNotNull())
+    bad = F.filter(F.transform(ex.comment_array(d["data"]), lambda x: _reject(
+        "comments", x["pos"], ex.comment_reason(x["_c"], x["_u"]), x["item"])), lambda x: x["reason"].isNotNull())
+    whole = F.coalesce(_page_reason(d.isNull()), F.when(d["data"].isNull(), "no_comment_list")
+                       .when((F.col("page_no") > 0) & ~F.col("_has_cursor"), "no_cursor"))
+    return p.select("page_key", F.inline(F.concat(_page_level(whole), F.coalesce(bad, _none()))))
+
+
+def _profile_rejects(pages: DataFrame) -> DataFrame:
+    p = pages.where(F.col("kind") == "profile")
+    found = ex.extract_profiles(p.withColumn("_page", _page_reason(F.get_json_object("body", "$.data.userInfo").isNull())),
+                                with_rejects=True, also=("_page",))
+    record = F.when(F.col("reject_reason").isNotNull(), F.array(_reject("profiles", F.lit(None), F.col("reject_reason"), F.lit(None))))
+    return found.select("page_key", F.inline(F.concat(_page_level(F.col("_page")), F.coalesce(record, _none()))))
+
+
+def _other_rejects(pages: DataFrame) -> DataFrame:
+    p = pages.where(~F.coalesce(F.col("kind").isin("status_list", "hot_comments", "profile"), F.lit(False)))
+    whole = _page_reason(F.from_json("body", "struct<data: struct<none: string>>")["data"].isNull())
+    return p.select("page_key", F.inline(_page_level(whole)))
 
 
 def quarantine(pages: DataFrame) -> DataFrame:
     """Rejected pages, cards, comments and profiles, each with a reason.
 
     ``source_table``/``page_key``/``pos`` locate the reject; ``payload`` is the
-    raw card or comment (the page body is not copied for page-level rejects).
+    raw card or comment, or the kind of a page rejected as a whole:
+    ``null_body``, ``body_not_json``, ``no_cards`` (a post list without its
+    card list), ``no_comment_list``, and ``no_cursor`` (a follow-up comment page
+    that is dropped for lack of one).
+
+    Every kind is scanned once and its bodies parsed once: page and record
+    reasons come from the same parse, as an array inside the page's row.
     """
-    parts = [
-        _rej(page_rejects(pages), "raw_pages", F.lit(None), F.col("reason"), F.col("kind")),
-        _rej(ex.status_cards(pages).where(~F.col("is_promo") & F.col("reject_reason").isNotNull()),
-             "statuses", F.col("pos"), F.col("reject_reason"), F.col("card")),
-        _rej(ex.comment_items(pages).where(F.col("reject_reason").isNotNull()),
-             "comments", F.col("pos"), F.col("reject_reason"), F.col("item")),
-        _rej(ex.extract_profiles(pages, with_rejects=True).where(F.col("reject_reason").isNotNull()),
-             "profiles", F.lit(None), F.col("reject_reason"), F.lit(None).cast("string")),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    parts = [_status_rejects(pages), _comment_rejects(pages), _profile_rejects(pages), _other_rejects(pages)]
+    return reduce(DataFrame.unionByName, parts).select("source_table", "page_key", "pos", "reason", "payload")
 
 
 def reject_counts(rejects: DataFrame) -> DataFrame:
@@ -140,6 +167,45 @@ def check_complete(records: DataFrame, required: Sequence[str] | None = None,
     return out.where(F.size("_missing") == 0).drop("_missing")
 
 
+def unset_fields(pages: DataFrame, kind: str) -> DataFrame:
+    """``page_key``, ``pos`` (NULL for profiles) and ``unset``, the fields that
+    the record's JSON does not name, for every record of ``kind`` (``profile``,
+    ``status_list`` without promo cards, or ``hot_comments``).
+
+    A field given as JSON null is set; an absent key is unset.  The names come
+    from the parsed maps, so presence survives the casts of the typed records.
+    Records that are no JSON objects have every field unset.
+    """
+    def lacks(m, fields, prefix=""):
+        names = F.array(*[F.lit(prefix + f) for f in fields])
+        keys = F.transform(F.coalesce(F.map_keys(m), F.array().cast("array<string>")), lambda k: F.concat(F.lit(prefix), k))
+        return F.array_except(names, keys)
+
+    if kind == "profile":
+        p = pages.where(F.col("kind") == "profile").select("page_key", ex.as_map(F.get_json_object("body", "$.data.userInfo")).alias("_u"))
+        verified = F.coalesce(ex.get(F.col("_u"), "verified") == "true", F.lit(False))
+        return p.select("page_key", F.lit(None).cast("bigint").alias("pos"), F.concat(
+            lacks(F.col("_u"), ex.PROFILE_FIELDS),
+            F.when(verified, lacks(F.col("_u"), ["verified_reason"])).otherwise(F.array().cast("array<string>"))).alias("unset"))
+    if kind == "status_list":
+        cards = ex.parsed_cards(pages)
+        f = ex._status_fields(F.col("_m"), F.col("_mb"), F.col("card"))
+        return cards.where(~f["is_promo"]).select("page_key", "pos", F.concat(
+            lacks(F.col("_mb"), ex.STATUS_FIELDS), lacks(F.col("_m"), ["scheme"])).alias("unset"))
+    if kind == "hot_comments":
+        p = ex.parsed_comment_pages(pages).select("page_key", F.inline(ex.comment_array(F.col("_d")["data"])))
+        given = F.coalesce(F.map_contains_key("_c", F.lit("user")) & ex.get(F.col("_c"), "user").isNull(), F.lit(False))
+        return p.select("page_key", "pos", F.concat(
+            lacks(F.col("_c"), [*ex.COMMENT_FIELDS, "user"]),
+            F.when(given, F.array().cast("array<string>")).otherwise(lacks(F.col("_u"), ex.COMMENT_USER_FIELDS, "user."))).alias("unset"))
+    raise ValueError(f"no records in pages of kind {kind!r}")
+
+
+def refused_records(pages: DataFrame, kind: str) -> DataFrame:
+    """Records that the table sink refuses: those with an unset field."""
+    return unset_fields(pages, kind).where(F.size("unset") > 0)
+
+
 def missing_cursor_report(pages: DataFrame) -> DataFrame:
     """Counts of pages that lack ``cardlistInfo``, its ``since_id``, or ``ok``."""
     cur = ex.status_page_cursor(pages).select(

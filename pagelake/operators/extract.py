@@ -100,6 +100,15 @@ def explode_card_groups(pages: DataFrame, kind: str | None = None) -> DataFrame:
 
 # --------------------------------------------------------------------------- statuses
 
+def card_array(raw: Column, nested: str = "mblog") -> Column:
+    """Raw cards as structs: ``pos``, ``card``, the card as a map ``_m`` and its
+    ``nested`` object as a map ``_mb``."""
+    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
+                                               F.from_json(c, MAP).alias("_m")))
+    return F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
+                                             F.from_json(get(x["_m"], nested), MAP).alias("_mb")))
+
+
 def parsed_cards(pages: DataFrame, kind: str = "status_list", nested: str = "mblog") -> DataFrame:
     """One row per card with its 0-based ``pos``, raw ``card`` text, the card
     as a map ``_m`` and its ``nested`` object as a map ``_mb``.
@@ -112,10 +121,7 @@ def parsed_cards(pages: DataFrame, kind: str = "status_list", nested: str = "mbl
     """
     p = pages.where(F.col("kind") == kind)
     raw = F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"]
-    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
-                                               F.from_json(c, MAP).alias("_m")))
-    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
-                                          F.from_json(get(x["_m"], nested), MAP).alias("_mb")))
+    a = card_array(raw, nested)
     return p.select(*_keep(p), F.inline(a))
 
 
@@ -168,10 +174,7 @@ def _cut_pages(pages: DataFrame, page_stop) -> DataFrame:
     ``page_stop(fields)`` holds, cut inside the page's own row: no shuffle."""
     p = pages.where(F.col("kind") == "status_list")
     raw = F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"]
-    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
-                                               F.from_json(c, MAP).alias("_m")))
-    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
-                                          F.from_json(get(x["_m"], "mblog"), MAP).alias("_mb")))
+    a = card_array(raw)
     a = F.transform(a, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "card", "_m", "_mb")],
                                           F.coalesce(page_stop(_status_fields(x["_m"], x["_mb"], x["card"])),
                                                      F.lit(False)).alias("_stop")))
@@ -219,10 +222,7 @@ def prefix_pages(pages: DataFrame, stop, page_stop=None) -> DataFrame:
     """
     p = pages.where(F.col("kind") == "status_list")
     raw = F.from_json("body", "struct<data: struct<cards: array<string>>>")["data"]["cards"]
-    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("card"),
-                                               F.from_json(c, MAP).alias("_m")))
-    a = F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["card"].alias("card"), x["_m"].alias("_m"),
-                                          F.from_json(get(x["_m"], "mblog"), MAP).alias("_mb")))
+    a = card_array(raw)
 
     def classified(x):
         f = _status_fields(x["_m"], x["_mb"], x["card"])
@@ -290,12 +290,14 @@ def status_page_cursor(pages: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- profiles
 
-def extract_profiles(pages: DataFrame, with_rejects: bool = False, container: bool = False) -> DataFrame:
+def extract_profiles(pages: DataFrame, with_rejects: bool = False, container: bool = False,
+                     also: Sequence[str] = ()) -> DataFrame:
     """``data.userInfo`` -> one ``profiles`` row per profile page.
 
     ``verified_reason`` is kept only when ``verified`` is true (else ``''``).
     A page missing a field gives no row (``with_rejects`` shows it instead).
-    ``container`` adds the post-list ``container_id`` from the same page.
+    ``container`` adds the post-list ``container_id`` from the same page;
+    ``also`` names further columns of ``pages`` to keep.
     """
     p = pages.where(F.col("kind") == "profile")
     info = as_map(F.get_json_object("body", "$.data.userInfo"))
@@ -317,7 +319,7 @@ def extract_profiles(pages: DataFrame, with_rejects: bool = False, container: bo
         verified.alias("verified"),
         verified_reason(verified, get(u, "verified_reason")).alias("verified_reason"),
         reason.alias("reject_reason"),
-        *([extract_container_id("body").alias("container_id")] if container else []),
+        *([extract_container_id("body").alias("container_id")] if container else []), *also,
     )
     if with_rejects:
         return out
@@ -356,37 +358,51 @@ def comment_pages(pages: DataFrame) -> DataFrame:
 COMMENT_PAGE = "struct<data: struct<max_id: string, max_id_type: string, data: array<string>>>"
 
 
-def comment_items(pages: DataFrame) -> DataFrame:
-    """Every element of ``data.data`` of comment pages, with ``reject_reason``.
-
-    The page's cursor fields travel inside the generator with each comment,
-    and each comment and its ``user`` are parsed once there (see
-    ``parsed_cards``), so cursor and field filters never re-parse a body.
-    """
+def parsed_comment_pages(pages: DataFrame) -> DataFrame:
+    """``hot_comments`` pages with ``_d`` (cursor fields and the comments as
+    raw JSON, one typed parse of the body) and ``_has_cursor``.  Key presence
+    is checked with a second, map parse only when a cursor field is NULL
+    (absent and JSON null differ there)."""
     p = pages.where(F.col("kind") == "hot_comments")
-    # One typed parse of the body: the cursor fields and the comments as raw
-    # JSON.  Key presence is checked with a second, map parse only when a
-    # cursor field is NULL (absent and JSON null differ there).
     p = p.select(*_keep(p), "body", F.from_json("body", COMMENT_PAGE)["data"].alias("_d"))
     d = F.col("_d")
     both = d["max_id"].isNotNull() & d["max_id_type"].isNotNull()
     keys = F.from_json("body", f"struct<data: {MAP}>")["data"]
     has_cursor = F.when(both, F.lit(True)).otherwise(F.coalesce(
         F.map_contains_key(keys, F.lit("max_id")) & F.map_contains_key(keys, F.lit("max_id_type")), F.lit(False)))
-    p = p.select(*_keep(p), "_d", has_cursor.alias("_has_cursor"))
-    a = F.transform(d["data"], lambda c, i: F.struct(
-        i.cast("long").alias("pos"), c.alias("item"), F.from_json(c, MAP).alias("_c"),
-        F.col("_has_cursor").alias("has_cursor"), d["max_id"].alias("max_id"),
-        d["max_id_type"].alias("max_id_type")))
-    a = F.transform(a, lambda x: F.struct(*[x[k].alias(k) for k in ("pos", "item", "_c", "has_cursor", "max_id",
-                                                                     "max_id_type")],
-                                          F.from_json(get(x["_c"], "user"), MAP).alias("_u")))
+    return p.select(*_keep(p), "body", "_d", has_cursor.alias("_has_cursor"))
+
+
+def comment_array(raw: Column) -> Column:
+    """Raw comments as structs: ``pos``, ``item``, the comment as a map ``_c``
+    and its ``user`` as a map ``_u``."""
+    a = F.transform(raw, lambda c, i: F.struct(i.cast("long").alias("pos"), c.alias("item"), F.from_json(c, MAP).alias("_c")))
+    return F.transform(a, lambda x: F.struct(x["pos"].alias("pos"), x["item"].alias("item"), x["_c"].alias("_c"),
+                                             F.from_json(get(x["_c"], "user"), MAP).alias("_u")))
+
+
+def comment_reason(c: Column, u: Column) -> Column:
+    """Why a comment gives no record (NULL for a good one)."""
+    return (F.when(c.isNull(), "comment_not_object")
+            .when(missing_any(c, COMMENT_FIELDS) | ~F.map_contains_key(c, F.lit("user")), "missing_field")
+            .when(u.isNull(), "user_not_object")
+            .when(missing_any(u, COMMENT_USER_FIELDS), "missing_user_field"))
+
+
+def comment_items(pages: DataFrame) -> DataFrame:
+    """Every element of ``data.data`` of comment pages, with ``reject_reason``.
+
+    The page's cursor fields travel inside the generator with each comment,
+    and each comment and its ``user`` are parsed once there (see
+    ``parsed_cards``), so cursor and field filters never re-parse a body.
+    """
+    p = parsed_comment_pages(pages)
+    a = F.transform(comment_array(F.col("_d")["data"]), lambda x: F.struct(
+        *[x[k].alias(k) for k in ("pos", "item", "_c", "_u")], F.col("_has_cursor").alias("has_cursor"),
+        F.col("_d")["max_id"].alias("max_id"), F.col("_d")["max_id_type"].alias("max_id_type")))
     items = p.select(*_keep(p), (F.coalesce(F.col("page_no"), F.lit(0)) == 0).alias("is_first"), F.inline(a))
     c, u = F.col("_c"), F.col("_u")
-    reason = (F.when(c.isNull(), "comment_not_object")
-              .when(missing_any(c, COMMENT_FIELDS) | ~F.map_contains_key(c, F.lit("user")), "missing_field")
-              .when(u.isNull(), "user_not_object")
-              .when(missing_any(u, COMMENT_USER_FIELDS), "missing_user_field"))
+    reason = comment_reason(c, u)
     return items.select(
         *_keep(items), "is_first", "has_cursor", "max_id", "max_id_type", "pos",
         F.col("parent_user_id").alias("father_user_id"),

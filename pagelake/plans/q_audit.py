@@ -33,10 +33,34 @@ r AS (
 SELECT source_table, reason, count(*) AS n FROM r GROUP BY 1, 2""")
 
 
-@query("quarantine", REJECTS_SQL)
+STATUS_KEY = "'status_list:' || user_id || ':' || page_no"
+
+
+@query("quarantine", S.with_(S.POSTS, S.COMMENTS, S.PROFILES, f"""
+r AS (
+  SELECT 'statuses' AS source_table, {STATUS_KEY} AS page_key, pos, 'bad_created_at' AS reason FROM posts WHERE bad_date
+  UNION ALL SELECT 'statuses', {STATUS_KEY}, pos, 'missing_field' FROM posts WHERE no_text
+  UNION ALL SELECT 'comments', {S.COMMENT_KEY}, pos, CASE WHEN l_tax = 0 THEN 'missing_field' ELSE 'user_not_object' END
+    FROM citems WHERE l_tax = 0 OR l_discount = 0
+  UNION ALL SELECT 'profiles', page_key, NULL, 'missing_field' FROM prof WHERE c_acctbal < 0
+  UNION ALL SELECT DISTINCT 'raw_pages', {S.COMMENT_KEY}, CAST(NULL AS BIGINT), 'no_cursor' FROM citems WHERE page_no > 0 AND no_cursor)
+SELECT source_table, page_key, pos, reason FROM r"""))
 def q_quarantine(spark, sf):
-    """G1: rejected pages, cards, comments and profiles, counted by reason."""
-    return au.reject_counts(au.quarantine(fx.landed(spark, sf)))
+    """G1: rejected pages, cards, comments and profiles with their place and reason."""
+    return au.quarantine(fx.landed(spark, sf)).drop("payload")
+
+
+@query("refused_records", S.with_(S.POSTS, S.COMMENTS, S.PROFILES, f"""
+r AS (
+  SELECT {STATUS_KEY} AS page_key, pos, 'text' AS unset FROM posts WHERE no_text
+  UNION ALL SELECT {S.COMMENT_KEY}, pos, 'like_count' FROM citems WHERE l_tax = 0
+  UNION ALL SELECT page_key, NULL, 'description' FROM prof WHERE c_acctbal < 0)
+SELECT page_key, pos, unset FROM r"""))
+def q_refused_records(spark, sf):
+    """G4 by key presence: records with an unset field (a field given as JSON null is set)."""
+    pages = fx.landed(spark, sf, ["profile", "status_list", "hot_comments"])
+    found = [au.refused_records(pages, kind) for kind in ("profile", "status_list", "hot_comments")]
+    return reduce(DataFrame.unionByName, found).select("page_key", "pos", F.array_join("unset", "|").alias("unset"))
 
 
 @query("write_rejects", REJECTS_SQL)

@@ -66,3 +66,40 @@ def test_error_streaks_methods_agree(spark, pages_df):
     a = sorted(tuple(r) for r in au.error_streaks(df, n=5).collect())
     b = sorted(tuple(r) for r in au.error_streaks(df, n=5, method="window").collect())
     assert a == b and len(a) > 0
+
+
+def test_unset_fields_differ_from_null(spark, pages_df):
+    def card(**mblog):
+        return {"card_type": 9, "itemid": "i", "show_type": 0, "scheme": "s", "mblog": mblog}
+
+    full = {"created_at": "x", "text": "t", "reposts_count": 1, "comments_count": 1, "attitudes_count": 1, "id": "5"}
+    comment = {"created_at": "x", "text": "t", "like_count": 1, "total_number": 1, "user": {"id": 1, "screen_name": "n"}}
+    rows = [page("status_list", {"data": {"cards": [card(**full), card(**{**full, "text": None}),
+                                                    card(**{k: v for k, v in full.items() if k not in ("text", "id")}),
+                                                    {"a": 1, "b": 2, "c": 3, "mblog": {}}, {k: v for k, v in card(**full).items() if k != "scheme"} | {"z": 1}]}},
+                 page_key="s"),
+            page("hot_comments", {"data": {"data": [comment, {**comment, "user": None}, {**comment, "like_count": None}, {"text": "t"},
+                                                    {**comment, "user": {"id": 1}}, 7], "max_id": 0, "max_id_type": 0}}, page_key="c"),
+            page("profile", {"data": {"userInfo": {"screen_name": None, "id": 1, "follow_count": 1, "followers_count": 1, "description": "",
+                                                   "statuses_count": 1, "verified": True}}}, page_key="p"),
+            page("profile", None, page_key="q"), page("hot_comments", None, page_key="d")]
+    df = pages_df(rows)
+    got = {(r.page_key, r.pos): r.unset for k in ("status_list", "hot_comments", "profile") for r in au.refused_records(df, k).collect()}
+    fields = ["created_at", "text", "like_count", "total_number", "user"]
+    assert got == {("s", 2): ["text", "id"], ("s", 4): ["scheme"], ("c", 3): ["created_at", "like_count", "total_number", "user", "user.id",
+                                                                               "user.screen_name"],
+                   ("c", 4): ["user.screen_name"], ("c", 5): [*fields, "user.id", "user.screen_name"], ("p", None): ["verified_reason"],
+                   ("q", None): ["screen_name", "id", "follow_count", "followers_count", "description", "statuses_count", "verified"]}
+    assert au.unset_fields(df, "status_list").count() == 4
+
+
+def test_quarantine_and_requests_scan_each_kind_once(spark, pages_df):
+    from pagelake.operators.requests import derived_requests
+    import tempfile
+
+    path = tempfile.mkdtemp(prefix="pl-pages-")
+    pages_df(fetch_rows([200])).write.mode("append").parquet(path)
+    pages = spark.read.schema(pages_df([]).schema).parquet(path)
+    for df in (au.quarantine(pages), derived_requests(pages)):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 4 and "Join" not in plan
