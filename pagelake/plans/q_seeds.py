@@ -3,16 +3,22 @@ back with the seed readers; global order and work shares."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pagelake.operators import extract as ex
 from pagelake.operators import filters as fl
 from pagelake.operators import links as ln
 from pagelake.operators import ordinal as od
 from pagelake.plans import fixtures as fx
+from pagelake.plans import sql as S
+from pagelake.plans.q_pages import comment_pages
 from pagelake.plans.registry import query
 from pagelake.session import fresh_dir
 from pagelake.sources import seeds as sd
+from pagelake.sources.seed_store import SeedStore
 
 # Parameters of the registered queries.
 RANK_LO, RANK_HI = 1200, 1400
@@ -163,3 +169,37 @@ def q_id_at_least(spark, sf):
     """Resume from a numeric id bound."""
     ids = fx.table(spark, sf, "customer").select(F.col("c_custkey").cast("string").alias("id"))
     return fl.id_at_least(ids, "id", RESUME_FROM)
+
+
+# --------------------------------------------------------------------------- the set across runs
+
+KEPT_COMMENTS = "good AND NOT (page_no > 0 AND no_cursor)"
+
+
+@query("seed_store_insert", S.with_(S.COMMENTS, f"""
+first AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id FROM citems WHERE {KEPT_COMMENTS} AND page_no = 0),
+every AS (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id FROM citems WHERE {KEPT_COMMENTS})
+SELECT CAST(1 AS INTEGER) AS run, id FROM first
+UNION ALL SELECT 2, id FROM every WHERE id NOT IN (SELECT id FROM first)"""))
+def q_seed_store_insert(spark, sf):
+    """New commenter ids of three inserts into one set: first pages, all pages, all pages again (none)."""
+    store = SeedStore(spark, fresh_dir(spark, "seed-set"))
+    comments = ex.extract_comments(comment_pages(spark, sf)).select("page_no", F.col("comment_people_id").alias("id"))
+    runs = [comments.where(F.col("page_no") == 0), comments, comments]
+    return reduce(DataFrame.unionByName, [store.insert(c).select(F.lit(k + 1).alias("run"), "id") for k, c in enumerate(runs)])
+
+
+@query("seed_store_totals", S.with_(S.COMMENTS, f"""
+g AS (SELECT CAST('2024-01-01' AS DATE) + page_no AS added_on, CAST(l_suppkey AS VARCHAR) AS id, page_no
+      FROM citems WHERE {KEPT_COMMENTS}),
+f AS (SELECT id, min(page_no) AS since FROM g GROUP BY 1),
+d AS (SELECT added_on, page_no, count(*) AS n_given FROM g GROUP BY 1, 2)
+SELECT added_on, n_given, (SELECT count(*) FROM f WHERE since = d.page_no) AS n_new,
+       (SELECT count(*) FROM f WHERE since <= d.page_no) AS n_ids FROM d"""))
+def q_seed_store_totals(spark, sf):
+    """Growth of the set when comment pages come a page number a day; old ids are not read again."""
+    store = SeedStore(spark, fresh_dir(spark, "seed-set"))
+    comments = ex.extract_comments(comment_pages(spark, sf)).select("page_no", F.col("comment_people_id").alias("id"))
+    for day in sorted(r.page_no for r in comments.select("page_no").distinct().collect()):
+        store.insert(comments.where(F.col("page_no") == day), added_on=f"2024-01-{day + 1:02d}")
+    return store.totals().withColumn("n_ids", F.col("n_ids").cast("long"))
