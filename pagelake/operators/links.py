@@ -45,9 +45,10 @@ def dedupe_latest(df: DataFrame, keys: Sequence[str], order: str = "fetched_at",
                   tie: str | None = "page_key") -> DataFrame:
     """One row per key: the one with the greatest ``order`` (then ``tie``).
 
-    A hash aggregate of ``max_by(struct(row), (order, tie))``: partial
-    aggregation keeps at most one row per key per task before the shuffle,
-    so a key with very many copies costs no more than one row downstream.
+    ``max_by(struct(row), (order, tie))`` as a sort-based aggregate (rows of
+    texts fit no hash buffer): each task sorts its rows by key, and partial
+    aggregation keeps at most one row per key and task before the shuffle, so a
+    key with very many copies costs no more than one row downstream.
     Rows that lack a key value are not copies of each other: all are kept.
     """
     keyed = F.lit(True)

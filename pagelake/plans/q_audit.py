@@ -71,11 +71,11 @@ def q_write_rejects(spark, sf):
     return au.reject_counts(spark.read.parquet(path))
 
 
-@query("retry_backlog", S.with_(S.FETCHES, """
+@query("retry_backlog", S.with_(S.FETCHES, f"""
 last AS (SELECT request_url, max(attempt) AS attempts, arg_max(http_status, attempt) AS last_status
          FROM fetches GROUP BY 1)
 SELECT request_url, attempts, last_status, CAST(13 - attempts AS INTEGER) AS retries_left FROM last
-WHERE last_status IN (500, 502, 503, 504, 522, 524, 408, 301, 302, 403, 418) AND attempts <= 12"""))
+WHERE last_status IN ({', '.join(map(str, au.RETRY_CODES))}) AND attempts <= {au.MAX_RETRIES}"""))
 def q_retry_backlog(spark, sf):
     """URLs whose latest try failed with a retryable status and that have tries left."""
     log = fx.landed_fetches(spark, sf)

@@ -136,6 +136,7 @@ def q_missing_pages(spark, sf):
     return rq.missing_pages(_landed(spark, sf))
 
 
+# The store keys of the seen sets (seen_weibo_chaohua_id, seen_weibo_movie_id_for_topic).
 @query("exclude_seen", S.with_(S.DOCS, f"""
 req AS (
   SELECT DISTINCT {S.FEED} || '100808' || source AS request_url, 'seen_weibo_chaohua_id' AS store_key,

@@ -12,6 +12,7 @@ def site_text(ts: str) -> str:
     return f"strftime({ts} + INTERVAL 8 HOUR, {SITE_FMT})"
 
 
+# The site's addresses, as in functions/urls.py (restated, since oracles share no code).
 PROFILE = "'https://m.weibo.cn/api/container/getIndex?type=uid&value='"
 COMMENT = "'https://m.weibo.cn/comments/hotflow?id='"
 FEED = "'https://m.weibo.cn/api/container/getIndex?jumpfrom=weibocom&containerid='"
