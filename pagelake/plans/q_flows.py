@@ -167,3 +167,26 @@ def q_silver_statuses_until(spark, sf):
     from pagelake.session import fresh_dir
     path = flows.land_status_silver(status_pages(spark, sf), fresh_dir(spark, "silver-cards"))
     return flows.statuses_until_silver(spark, path, CUTOFF_YEAR)
+
+
+def card_store(spark, sf):
+    """All feeds in a clustered store, landed in two loads (first pages, later pages)."""
+    from pagelake.session import fresh_dir
+    from pagelake.sources.card_store import CardStore
+
+    store, pages = CardStore(spark, fresh_dir(spark, "card-store")), status_pages(spark, sf)
+    store.load(pages.where(F.col("page_no") == 0), "first")
+    store.load(pages.where(F.col("page_no") > 0), "later")
+    return store
+
+
+@query("card_store_until", ORACLE["silver_statuses_until"])
+def q_card_store_until(spark, sf):
+    """The flagship from the clustered store: stops from its summary, folders without kept posts not read."""
+    return card_store(spark, sf).until_year(CUTOFF_YEAR).select(*ex.STATUS_OUT)
+
+
+@query("card_store_month", ORACLE["month_window"])
+def q_card_store_month(spark, sf):
+    """The month window from the clustered store."""
+    return card_store(spark, sf).month_window(WINDOW_YEAR, WINDOW_MONTH).select(*ex.STATUS_OUT)
