@@ -14,7 +14,9 @@ digests are computed by the same expressions.
 
 from __future__ import annotations
 
+from functools import reduce
 from importlib.resources import files
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -139,11 +141,11 @@ SPELLINGS = [
 YEAR = "(?:19|20)[0-9]{2}"
 COPYRIGHT = "(?:" + "|".join([
     f"copyright[\\t :,]*(?:\\(c\\)|©|{YEAR}|[<\\[{{]|by[\\t ])",
-    f"copyright[\\t ][^\\n]{{0,60}}[\\t ,(-]{YEAR}(?:[^0-9a-z\\n]|(?m:$))",
+    f"copyright[\\t ][^\\n]*[\\t ,(-]{YEAR}(?:[^0-9a-z\\n]|(?m:$))",
     "copyright[\\t ][^\\n]*(?:authors|inc|ltd|llc|gmbh|foundation|affiliates|corporation|corp)[^0-9a-z\\n]*(?m:$)",
     f"\\(c\\)[\\t ,]*(?:copyright|©|{YEAR}|[<\\[{{]|by[\\t ])",
-    f"\\(c\\)[^\\n]{{0,60}}[\\t ,(-]{YEAR}(?:[^0-9a-z\\n]|(?m:$))",
-    "\\(c\\)[\\t ]*(?:[^\\n\\t ]*[^\\n\\t .,;:]|[^\\n]{0,60}[\\t ](?:inc|ltd|llc|corp)[.]?)[\\t ]*(?m:$)",
+    f"\\(c\\)[^\\n]*[\\t ,(-]{YEAR}(?:[^0-9a-z\\n]|(?m:$))",
+    "\\(c\\)[\\t ]*(?:[^\\n\\t ]*[^\\n\\t .,;:]|[^\\n]*[\\t ](?:inc|ltd|llc|corp)[.]?)[\\t ]*(?m:$)",
     "©", "all rights reserved[^0-9a-z\\n]*(?m:$)"]) + ")"
 PUNCTUATION = "[^0-9a-z\\x{80}-\\x{10FFFF}]+"
 LEAD = "[\\t #*/;%-]*"
@@ -166,11 +168,26 @@ def digest(form: Column) -> Column:
 
 
 def known_digests(spark: SparkSession, known=None) -> DataFrame:
-    """(``digest``, ``licence``) of known (id, text) pairs; the smallest id for
-    texts of one form."""
+    """(``digest``, ``licence``, ``anchor``) of known (id, text) pairs; the
+    smallest id for texts of one form.  ``anchor`` is a word of the form, a
+    long one that many forms share if there is one; null without ASCII words."""
     rows = spark.createDataFrame(list(KNOWN if known is None else known), "licence string, text string")
-    return rows.select(digest(canonical(F.col("text"))).alias("digest"), "licence") \
-        .groupBy("digest").agg(F.min("licence").alias("licence"))
+    forms = rows.select(canonical(F.col("text")).alias("form"), "licence").groupBy("form").agg(F.min("licence").alias("licence"))
+    words = forms.select("form", F.explode(F.array_distinct(F.split("form", " "))).alias("word")).where(F.col("word").rlike("^[0-9a-z]+$"))
+    shared = words.groupBy("word").agg(F.struct(F.length("word") >= 7, F.count(F.lit(1)), F.col("word")).alias("rank"))
+    anchors = words.join(shared, "word").groupBy("form").agg(F.max("rank")["word"].alias("anchor"))
+    return forms.join(anchors, "form", "left").select(digest(F.col("form")).alias("digest"), "licence", "anchor")
+
+
+def may_match(text: Column, anchors: list[str]) -> Column:
+    """Whether ``text`` holds one of ``anchors`` in any spelling.  A text whose
+    form is known holds its anchor, so nothing that matches is left out."""
+    spelt = set(anchors)
+    for other, usual in SPELLINGS:
+        if spelt & set(usual.split()):
+            spelt |= set(other.split())
+    low = F.lower(text)
+    return reduce(or_, [F.contains(low, F.lit(word)) for word in sorted(spelt)], F.lit(False))
 
 
 def scan_licences(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -189,14 +206,19 @@ def scan_licences(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """
     if known is None:
         known = known_digests(docs.sparkSession)
-    known = known.where(F.col("digest") != F.sha2(F.lit(""), 256)).select("digest", "licence")
+    known = known.where(F.col("digest") != F.sha2(F.lit(""), 256))
+    # one word per known text at most; without anchors every line is looked up
+    anchors = [r.anchor for r in known.select("anchor").distinct().collect()] if "anchor" in known.columns else [None]
+    candidate = (lambda c: F.lit(True)) if None in anchors else (lambda c: may_match(c, anchors))
+    known = known.select("digest", "licence")
     base = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")) \
         .withColumn("_text", F.xxhash64("text"))
     whole = base.select("doc_id", "_text", digest(canonical(F.col("text"))).alias("digest")) \
         .join(known, "digest", "left")
-    lines = base.select("doc_id", "_text", F.posexplode(F.split("text", "\n")).alias("_n", "_line")) \
-        .where(F.col("_line") != "") \
-        .select("doc_id", "_text", "_n", digest(canonical(F.col("_line"))).alias("digest"))
+    lines = base.where(candidate(F.col("text"))) \
+        .select("doc_id", "_text", F.posexplode(F.split("text", "\n")).alias("_n", "_line")) \
+        .where((F.col("_line") != "") & candidate(F.col("_line"))) \
+        .select("doc_id", "_text", "_n", F.coalesce(digest(canonical(F.col("_line"))), F.lit("")).alias("digest"))
     hits = lines.join(known, "digest").groupBy("doc_id", "_text", "_n").agg(F.min("licence").alias("licence"))
     found = hits.groupBy("doc_id", "_text").agg(
         F.concat_ws("|", F.sort_array(F.collect_set("licence"))).alias("notices"),

@@ -130,3 +130,21 @@ def test_shards(spark):
     assert sharding.shard_documents(df.limit(0)).count() == 0
     few = sharding.shard_documents(df.limit(3), shards=8).collect()
     assert len({(r.shard, r.slot) for r in few}) == 3 and all(r.slot == 0 for r in few)
+
+
+def test_licence_lines_looked_up_by_anchor(spark):
+    """Leaving out lines without an anchor word changes nothing; holders of any length make a copyright line."""
+    mit = next(t for i, t in licences.KNOWN if i == "MIT" and len(t) > 500)
+    rows = [(k, t) for k, t in enumerate([
+        "LICENCED UNDER CC-BY-NC 4.0.\nplain line\nwithout a match\nlicense", " ".join(mit.split()), "no such word\nhere", "", None,
+        f"Copyright {'Very Long Holder Name ' * 20} 2011\n{mit}", f"(c) {'Very Long Holder Name ' * 20}, 2011.\n{mit}"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    known = licences.known_digests(spark)
+    assert known.where("anchor IS NULL").isEmpty()
+    got = sorted(map(tuple, licences.scan_licences(df, known).collect()))
+    assert got == sorted(map(tuple, licences.scan_licences(df, known.drop("anchor")).collect()))
+    assert [(r[0], r[2], r[3]) for r in got] == [(0, None, "CC-BY-NC-4.0"), (1, "MIT", "MIT"), (2, None, ""), (3, None, ""),
+                                                 (4, None, ""), (5, "MIT", ""), (6, "MIT", "")]
+    strange = licences.known_digests(spark, [("X", "üä ö"), ("Y", "Some Words")])
+    assert [r.notices for r in licences.scan_licences(spark.createDataFrame([(1, "üä, ö\nsome words")], df.schema),
+                                                      strange).collect()] == ["X|Y"]
