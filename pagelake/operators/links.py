@@ -17,11 +17,14 @@ from pyspark.sql import functions as F
 
 def attach_parent(pages: DataFrame, requests: DataFrame, url: str = "request_url",
                   context: Sequence[str] = ("seed_key", "seed_name", "parent_user_id", "parent_status_id")) -> DataFrame:
-    """Fill a page's request context from the request table (one row per URL)
-    where the page itself does not carry it.  A follow-up page (its URL is the
-    first page's plus a cursor) has the first page's context."""
-    req = requests.select(F.col(url).alias("_first_url"),
-                          *[F.col(c).alias(f"_req_{c}") for c in context if c in requests.columns])
+    """Fill a page's request context from the request table where the page
+    itself does not carry it.  A follow-up page (its URL is the first page's
+    plus a cursor) has the first page's context.  Of a URL requested more than
+    once one whole row counts, the greatest, so that pages are not multiplied."""
+    given = [c for c in context if c in requests.columns]
+    req = requests.where(F.col(url).isNotNull()).groupBy(F.col(url).alias("_first_url")) \
+        .agg(F.max(F.struct(F.lit(0).alias("_any"), *given)).alias("_req"))
+    req = req.select("_first_url", *[F.col("_req")[c].alias(f"_req_{c}") for c in given])
     first = F.substring_index(F.substring_index(F.col(url), "&max_id=", 1), "&since_id=", 1)
     joined = pages.join(req, first == F.col("_first_url"), "left").drop("_first_url")
     for c in context:

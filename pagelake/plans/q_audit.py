@@ -15,7 +15,7 @@ from pagelake.plans import fixtures as fx
 from pagelake.plans import sql as S
 from pagelake.plans.q_feed import status_pages
 from pagelake.plans.q_pages import comment_pages, feed_pages, profile_pages, topic_pages
-from pagelake.plans.registry import query
+from pagelake.plans.registry import ORACLE, query
 from pagelake.schemas import TABLE_TAGS
 from pagelake.session import fresh_dir
 from pagelake.sinks import tables as sk
@@ -63,12 +63,18 @@ def q_refused_records(spark, sf):
     return reduce(DataFrame.unionByName, found).select("page_key", "pos", F.array_join("unset", "|").alias("unset"))
 
 
-@query("write_rejects", REJECTS_SQL)
+@query("reject_counts", REJECTS_SQL)
+def q_reject_counts(spark, sf):
+    """Rejects counted by table and reason."""
+    return au.reject_counts(au.quarantine(fx.landed(spark, sf)))
+
+
+@query("write_rejects", ORACLE["quarantine"])
 def q_write_rejects(spark, sf):
-    """Rejects appended to their own table, read back and counted."""
+    """Rejects appended to their own table and read back."""
     path = fresh_dir(spark, "rejects")
     sk.write_rejects(au.quarantine(fx.landed(spark, sf)), path)
-    return au.reject_counts(spark.read.parquet(path))
+    return spark.read.parquet(path).select("source_table", "page_key", "pos", "reason")
 
 
 @query("retry_backlog", S.with_(S.FETCHES, f"""
@@ -173,20 +179,21 @@ def q_read_pages(spark, sf):
 
 @query("write_jsonl", S.with_(S.POSTS, S.PROFILES, f"""
 k AS (
-  SELECT 'profiles' AS kind, count(*) AS n FROM prof WHERE c_acctbal >= 0
-  UNION ALL SELECT 'statuses', count(*) FROM posts WHERE {S.GOOD_POST}
-  UNION ALL SELECT 'supertopic_posts', count(*) FROM documents)
-SELECT kind, n FROM k"""))
+  SELECT 'profiles' AS kind, CAST(c_custkey AS VARCHAR) AS id, c_mktsegment || ' buyer' AS text FROM prof WHERE c_acctbal >= 0
+  UNION ALL SELECT 'statuses', CAST(oid AS VARCHAR), o_orderpriority || ' / ' || o_orderstatus FROM posts WHERE {S.GOOD_POST}
+  UNION ALL SELECT 'supertopic_posts', CAST(doc_id AS VARCHAR), text FROM documents)
+SELECT kind, id, text FROM k"""))
 def q_write_jsonl(spark, sf):
-    """One JSON-lines folder per record kind, read back and counted."""
-    path = fresh_dir(spark, "jsonl")
-    written = sk.write_jsonl({
-        "profiles": ex.extract_profiles(profile_pages(spark, sf)),
-        "statuses": ex.extract_statuses(status_pages(spark, sf)),
-        "supertopic_posts": ex.extract_supertopic_posts(feed_pages(spark, sf)),
-    }, path)
-    counts = [spark.read.text(p).select(F.lit(k).alias("kind")) for k, p in written.items()]
-    return reduce(DataFrame.unionByName, counts).groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+    """One JSON-lines folder per record kind, read back: each record's id and whole text."""
+    records = {
+        "profiles": ex.extract_profiles(profile_pages(spark, sf)).withColumnsRenamed({"user_id": "id", "description": "text"}),
+        "statuses": ex.extract_statuses(status_pages(spark, sf)).withColumnRenamed("status_id", "id"),
+        "supertopic_posts": ex.extract_supertopic_posts(feed_pages(spark, sf)).withColumnRenamed("cid", "id"),
+    }
+    written = sk.write_jsonl(records, fresh_dir(spark, "jsonl"))
+    read = [spark.read.schema(records[k].schema).json(p).select(F.lit(k).alias("kind"), F.col("id").cast("string").alias("id"), "text")
+            for k, p in written.items()]
+    return reduce(DataFrame.unionByName, read)
 
 
 @query("append_table", S.with_(S.POSTS, f"""

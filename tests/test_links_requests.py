@@ -27,6 +27,15 @@ def test_attach_parent_fills_only_missing(spark):
     got = {r.page_key: r.parent_status_id for r in
            ln.attach_parent(pages, reqs, context=("parent_status_id",)).collect()}
     assert got == {"p1": "s1", "p2": "kept"}
+    # a URL requested twice: one whole row counts, pages stay single; no URL and no context column are no match
+    twice = spark.createDataFrame([("u1", "s1", "a"), ("u1", "s2", None), (None, "s3", "b")],
+                                  "request_url string, parent_status_id string, seed_key string")
+    wide = pages.selectExpr("*", "CAST(NULL AS STRING) AS seed_key").union(
+        spark.createDataFrame([("p3", None, None, None)], "page_key string, request_url string, parent_status_id string, seed_key string"))
+    got = sorted((r.page_key, r.parent_status_id, r.seed_key) for r in
+                 ln.attach_parent(wide, twice, context=("parent_status_id", "seed_key")).collect())
+    assert got == [("p1", "s2", None), ("p2", "kept", None), ("p3", None, None)]
+    assert ln.attach_parent(pages, twice.select("request_url"), context=("parent_status_id",)).count() == 2
 
 
 def test_route_records_else_branch(spark):
