@@ -144,19 +144,28 @@ def keyed_running_count(df: DataFrame, keys: Sequence[str], order: Sequence[Colu
     counts inside each piece; a small table of per-(partition, key) totals
     gives each piece the count carried in from the earlier pieces of its key.
     The sorted frame is checkpointed, so partition ids cannot change between
-    the two uses.
+    the two uses.  Without a ``flag`` no window is needed: a row's place in its
+    piece is its place in the sorted partition less that of the piece's first row.
     """
     work_dir(df.sparkSession)
     okeys = [F.col(k) for k in keys] + _cols(order)
-    x = F.lit(1) if flag is None else F.coalesce(flag, F.lit(False)).cast("long")
     ranged = df.repartitionByRange(*okeys).sortWithinPartitions(*okeys)
-    marked = ranged.select("*", F.spark_partition_id().alias("_pid"), x.cast("long").alias("_x")) \
+    pid = F.spark_partition_id()
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    if flag is None:
+        local = F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)
+        marked = ranged.select("*", pid.alias("_pid"), local.alias("_local")).checkpoint(eager=True)
+        pieces = marked.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_t"), F.min("_local").alias("_first"))
+        carry = pieces.select("_pid", *keys, (F.coalesce(F.sum("_t").over(earlier), F.lit(0)) - F.col("_first")).alias("_carry"))
+        value = F.col("_carry") + F.col("_local") + F.lit(1 if inclusive else 0)
+        return marked.join(carry, ["_pid", *keys], "inner").withColumn(name, value.cast("long")) \
+            .drop("_pid", "_local", "_carry")
+    marked = ranged.select("*", pid.alias("_pid"), F.coalesce(flag, F.lit(False)).cast("long").alias("_x")) \
         .checkpoint(eager=True)
     w = Window.partitionBy("_pid", *keys).orderBy(*_cols(order)).rowsBetween(Window.unboundedPreceding,
                                                                           Window.currentRow)
     local = marked.withColumn("_local", F.sum("_x").over(w))
     totals = marked.groupBy("_pid", *keys).agg(F.sum("_x").alias("_t"))
-    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select("_pid", *keys, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias("_carry"))
     out = local.join(carry, ["_pid", *keys], "inner")
     value = F.col("_carry") + F.col("_local") - (F.lit(0) if inclusive else F.col("_x"))

@@ -30,16 +30,18 @@ data itself:
   (``user_id``, ``props.k``); status by ``event_type``; attempts counted per
   URL in time order.
 
-Positions inside an account, order, source, brand or URL come from
-``keyed_running_count``, which stays balanced when one key holds a large
-share of the rows; per-page assembly groups at most one page of items.
+Positions inside an account, order, source or brand are a window over the key's
+rows, whose partitioning the page assembly and the joins on the key reuse: rows
+are shuffled once, as narrow columns, and rendered after it.  Keys with more
+than ``HOT_ROWS`` rows go through ``keyed_running_count`` instead, which spreads
+one key over many tasks.  Each kind is landed when a query first reads it.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pagelake.functions.time import site_time_text
@@ -59,6 +61,7 @@ LANDED_AT = "2024-02-01 00:00:00"
 FEED_EPOCH = "2023-06-01 00:00:00"
 STATUS_BY_EVENT = {"view": 200, "click": 200, "purchase": 404, "signup": 418, "error": 503}
 BAD_DATE_TEXT = "刚刚"
+HOT_ROWS = 1_000_000       # a key with more rows is ranked over many tasks
 LINE_ORDER = ("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_quantity",
               "l_discount", "l_tax")
 
@@ -118,43 +121,83 @@ def count_within(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     return df.join(df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name)), keys)
 
 
-def status_posts(orders: DataFrame) -> DataFrame:
-    """Post-level rows of the feed layout: ``user, oid, rn, page_no, pos, n_posts``."""
+def split_hot(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame | None]:
+    """The rows of ordinary keys, and those of keys with more than ``HOT_ROWS``
+    rows (None if there are none).  Rows without a key are in neither."""
+    df = df.where(F.col(key).isNotNull())
+    found = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_ROWS).select(key).collect()
+    if not found:
+        return df, None
+    hot = F.broadcast(df.sparkSession.createDataFrame(found, df.select(key).schema))  # at most 1 / HOT_ROWS of the rows
+    return df.join(hot, key, "left_anti"), df.join(hot, key, "left_semi")
+
+
+def placed(df: DataFrame, key: str, order: list, name: str, total: str) -> list[DataFrame]:
+    """``df`` with the 0-based position inside each ``key`` and its number of
+    rows: one frame partitioned by ``key``, and one more for hot keys."""
+    ordinary, hot = split_hot(df, key)
+    mine = Window.partitionBy(key)
+    out = [ordinary.withColumn(name, (F.row_number().over(mine.orderBy(*order)) - 1).cast("long"))
+           .withColumn(total, F.count(F.lit(1)).over(mine))]
+    if hot is not None:
+        out.append(count_within(rank_within(hot, [key], order, name), [key], total))
+    return out
+
+
+def union_all(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, frames)
+
+
+def status_posts(orders: DataFrame) -> list[DataFrame]:
+    """Post-level rows of the feed layout: ``user, oid, rn, page_no, pos, n_posts``
+    (ordinary accounts, and hot ones if there are any)."""
     o = orders.select(F.col("o_custkey").alias("user"), F.col("o_orderkey").alias("oid"),
                       "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")
-    o = count_within(rank_within(o, ["user"], [F.col("oid").desc()]), ["user"], "n_posts")
     page_no = F.floor(F.col("rn") / POSTS_PER_PAGE).cast("int")
-    return o.withColumn("page_no", page_no).withColumn("pos", F.col("rn") - F.col("page_no") * POSTS_PER_PAGE + 1)
+    return [p.withColumn("page_no", page_no).withColumn("pos", F.col("rn") - F.col("page_no") * POSTS_PER_PAGE + 1)
+            for p in placed(o, "user", [F.col("oid").desc()], "rn", "n_posts")]
 
 
-def status_pages(orders: DataFrame) -> DataFrame:
-    posts = status_posts(orders)
-    oid = F.col("oid").cast("string")
-    bad_date = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P")
-    no_text = (F.col("o_orderpriority") == "3-MEDIUM") & (F.col("o_orderstatus") == "F")
-    price = F.floor("o_totalprice").cast("bigint")
+def post_card(x: Column) -> Column:
+    """The card of a post (a struct of its columns)."""
+    oid = x["oid"].cast("string")
+    bad_date = (x["o_orderpriority"] == "1-URGENT") & (x["o_orderstatus"] == "P")
+    no_text = (x["o_orderpriority"] == "3-MEDIUM") & (x["o_orderstatus"] == "F")
+    price = F.floor(x["o_totalprice"]).cast("bigint")
     mblog = F.struct(
         oid.alias("id"),
-        F.when(bad_date, F.lit(BAD_DATE_TEXT)).otherwise(site_time_text("o_orderdate")).alias("created_at"),
-        F.when(~no_text, F.concat(F.col("o_orderpriority"), F.lit(" / "), F.col("o_orderstatus"))).alias("text"),
-        F.floor(F.col("o_totalprice") / 1000).cast("bigint").alias("reposts_count"),
+        F.when(bad_date, F.lit(BAD_DATE_TEXT)).otherwise(site_time_text(x["o_orderdate"])).alias("created_at"),
+        F.when(~no_text, F.concat(x["o_orderpriority"], F.lit(" / "), x["o_orderstatus"])).alias("text"),
+        F.floor(x["o_totalprice"] / 1000).cast("bigint").alias("reposts_count"),
         price.cast("string").alias("comments_count"),
-        (F.round(F.col("o_totalprice") * 100).cast("bigint") - price * 100).alias("attitudes_count"),
+        (F.round(x["o_totalprice"] * 100).cast("bigint") - price * 100).alias("attitudes_count"),
     )
-    card = F.struct(
+    return F.struct(
         F.lit(9).alias("card_type"), oid.alias("itemid"),
         F.concat(F.lit("https://m.weibo.cn/status/"), oid, F.lit("?mblogid="), oid, F.lit("&luicode=10000011")).alias("scheme"),
         F.lit(0).alias("show_type"), mblog.alias("mblog"),
     )
-    posts = posts.withColumn("json", _json(card))
+
+
+def status_pages(orders: DataFrame) -> DataFrame:
+    ordinary, *hot = status_posts(orders)
+    return union_all([_status_pages(ordinary), *[_status_pages(posts, hot=True) for posts in hot]])
+
+
+def _status_pages(posts: DataFrame, hot: bool = False) -> DataFrame:
     pages = posts.groupBy("user", "page_no").agg(
-        F.collect_list(F.struct("pos", "json")).alias("cards"),
+        F.collect_list(F.struct("pos", "oid", "o_orderdate", "o_totalprice", "o_orderpriority", "o_orderstatus")).alias("posts"),
         F.min("oid").alias("last_oid"),
         F.max("n_posts").alias("n_posts"),
     )
-    # The request of page p carries the cursor of page p - 1 (a page-level join).
-    prev = pages.select("user", (F.col("page_no") + 1).alias("page_no"), F.col("last_oid").alias("cursor_in"))
-    pages = pages.join(prev, ["user", "page_no"], "left")
+    # The request of page p carries the cursor of page p - 1 (for hot accounts by a page-level join).
+    if hot:
+        prev = pages.select("user", (F.col("page_no") + 1).alias("page_no"), F.col("last_oid").alias("cursor_in"))
+        pages = pages.join(prev, ["user", "page_no"], "left")
+    else:
+        pages = pages.withColumn("cursor_in", F.lag("last_oid").over(Window.partitionBy("user").orderBy("page_no")))
+    pages = pages.withColumn("cards", F.transform(
+        "posts", lambda x: F.struct(x["pos"].alias("pos"), _json(post_card(x)).alias("json"))))
     promo = ('{"card_type":9,"itemid":"promo","scheme":"https://m.weibo.cn/p/promo",'
              '"mblog":{"id":"0"}}')
     label = '{"card_type":11,"itemid":"label","scheme":"https://m.weibo.cn/p/label","show_type":1,"title":"more"}'
@@ -211,35 +254,44 @@ def profile_pages(customer: DataFrame) -> DataFrame:
 
 # --------------------------------------------------------------------------- hot_comments
 
-def comment_rows(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Comment-level rows: ``oid, user, ln_rank, page_no, pos, n_lines``."""
+def comment_rows(lineitem: DataFrame, orders: DataFrame) -> list[DataFrame]:
+    """Comment-level rows: ``oid, user, ln_rank, page_no, pos, n_lines``
+    (ordinary posts, and hot ones if there are any)."""
     # Line numbers repeat within an order; the other columns make the order total.
     li = lineitem.select("l_orderkey", *LINE_ORDER)
-    li = count_within(rank_within(li, ["l_orderkey"], list(LINE_ORDER), name="r"), ["l_orderkey"], "n_lines")
     o = orders.select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("user"),
                       "o_orderpriority", "o_orderstatus")
-    rows = li.join(o, "l_orderkey")
     page_no = F.floor(F.col("r") / COMMENTS_PER_PAGE).cast("int")
-    return rows.withColumn("page_no", page_no).withColumn("pos", F.col("r") - F.col("page_no") * COMMENTS_PER_PAGE)
+    return [rows.join(o, "l_orderkey").withColumn("page_no", page_no)
+            .withColumn("pos", F.col("r") - F.col("page_no") * COMMENTS_PER_PAGE)
+            for rows in placed(li, "l_orderkey", list(LINE_ORDER), "r", "n_lines")]
+
+
+def comment_item(x: Column, oid: Column) -> Column:
+    """The JSON of a comment (a struct of its columns) on a post."""
+    user = F.struct(x["l_suppkey"].alias("id"),
+                    F.concat(F.lit("Supplier#"), F.lpad(x["l_suppkey"].cast("string"), 9, "0")).alias("screen_name"))
+    text = F.concat(F.lit("line "), x["l_linenumber"].cast("string"), F.lit(" of "), oid.cast("string"))
+    common = [site_time_text(x["l_shipdate"]).alias("created_at"), text.alias("text")]
+    likes = x["l_quantity"].cast("bigint").alias("like_count")
+    total = x["l_linenumber"].alias("total_number")
+    who = F.when(x["l_discount"] != 0, user).alias("user")
+    return F.when(x["l_tax"] != 0, _json(F.struct(*common, likes, total, who), keep_nulls=True)) \
+        .otherwise(_json(F.struct(*common, total, who), keep_nulls=True))
 
 
 def comment_pages(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    rows = comment_rows(lineitem, orders)
-    user = F.struct(F.col("l_suppkey").alias("id"),
-                    F.concat(F.lit("Supplier#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0")).alias("screen_name"))
-    text = F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" of "), F.col("l_orderkey").cast("string"))
-    common = [site_time_text("l_shipdate").alias("created_at"), text.alias("text")]
-    likes = F.col("l_quantity").cast("bigint").alias("like_count")
-    total = F.col("l_linenumber").alias("total_number")
-    with_likes = F.struct(*common, likes, total,
-                          F.when(F.col("l_discount") != 0, user).alias("user"))
-    no_likes = F.struct(*common, total, F.when(F.col("l_discount") != 0, user).alias("user"))
-    item = F.when(F.col("l_tax") != 0, _json(with_likes, keep_nulls=True)).otherwise(_json(no_likes, keep_nulls=True))
-    rows = rows.withColumn("json", item)
+    return union_all([_comment_pages(rows) for rows in comment_rows(lineitem, orders)])
+
+
+def _comment_pages(rows: DataFrame) -> DataFrame:
     pages = rows.groupBy("l_orderkey", "page_no").agg(
-        F.collect_list(F.struct("pos", "json")).alias("items"),
+        F.collect_list(F.struct("pos", "l_linenumber", "l_suppkey", "l_shipdate", "l_quantity", "l_discount", "l_tax"))
+        .alias("lines"),
         F.first("user").alias("user"), F.first("n_lines").alias("n_lines"),
         F.first("o_orderpriority").alias("prio"), F.first("o_orderstatus").alias("status"))
+    pages = pages.withColumn("items", F.transform(
+        "lines", lambda x: F.struct(x["pos"].alias("pos"), comment_item(x, F.col("l_orderkey")).alias("json"))))
     last_page = F.col("page_no") == F.floor((F.col("n_lines") - 1) / COMMENTS_PER_PAGE)
     max_id = F.when(last_page, F.lit(0)).otherwise(F.col("l_orderkey") * 10 + F.col("page_no") + 1)
     no_cursor = (F.col("prio") == "2-HIGH") & (F.col("status") == "F")
@@ -307,17 +359,20 @@ def film_of(brand: Column) -> Column:
     return F.concat(F.lit("100120"), F.regexp_extract(brand, r"(\d+)", 1))
 
 
-def topic_pages(part: DataFrame) -> DataFrame:
+def topic_name_pages(part: DataFrame) -> DataFrame:
     film, title = film_of(F.col("p_brand")), F.col("p_brand")
     brand_no = F.regexp_extract(F.col("p_brand"), r"(\d+)", 1).cast("int")
     films = part.select("p_brand").distinct()
     name_body = F.concat(F.when(brand_no >= 23, F.lit("{")).otherwise(F.lit('{"ok":1,')),
                          F.lit('"data":{"pageInfo":'), F.to_json(F.struct(title.alias("nick"))), F.lit("}}"))
-    names = films.select(
+    return _topic_landing(films.select(
         F.concat(F.lit("topic_name:"), film).alias("page_key"), F.lit("topic_name").alias("kind"),
         film.alias("seed_key"), F.lit(0).alias("page_no"), topic_name_request(film).alias("request_url"),
-        name_body.alias("body"))
+        name_body.alias("body")))
 
+
+def topic_search_pages(part: DataFrame) -> DataFrame:
+    film, title = film_of(F.col("p_brand")), F.col("p_brand")
     p = rank_within(part.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"), ["p_brand"], ["p_partkey"], "r")
     p = p.withColumn("page_no", (F.floor(F.col("r") / TOPICS_PER_PAGE) + 1).cast("int"))
     p = p.withColumn("pos", F.col("r") - (F.col("page_no") - 1) * TOPICS_PER_PAGE)
@@ -335,12 +390,14 @@ def topic_pages(part: DataFrame) -> DataFrame:
     last = pages.groupBy("p_brand").agg((F.max("page_no") + 1).alias("page_no")) \
         .withColumn("body", F.lit('{"ok":0,"msg":"no more"}'))
     allp = pages.select("p_brand", "page_no", body.alias("body")).unionByName(last)
-    search = allp.select(
+    return _topic_landing(allp.select(
         F.concat(F.lit("topic_search:"), film, F.lit(":"), F.col("page_no").cast("string")).alias("page_key"),
         F.lit("topic_search").alias("kind"), film.alias("seed_key"), title.alias("seed_name"), "page_no",
-        topic_search_request(title, F.col("page_no")).alias("request_url"), "body")
-    both = names.unionByName(search, allowMissingColumns=True)
-    return _pages(both.withColumn("http_status", F.lit(200)).withColumn("attempt", F.lit(1))
+        topic_search_request(title, F.col("page_no")).alias("request_url"), "body"))
+
+
+def _topic_landing(pages: DataFrame) -> DataFrame:
+    return _pages(pages.withColumn("http_status", F.lit(200)).withColumn("attempt", F.lit(1))
                   .withColumn("fetched_at", _landed(F.col("page_no"))))
 
 
@@ -371,21 +428,19 @@ BUILDERS = {
     "profile": lambda t: profile_pages(t("customer")),
     "hot_comments": lambda t: comment_pages(t("lineitem"), t("orders")),
     "supertopic": lambda t: supertopic_pages(t("documents")),
-    "topics": lambda t: topic_pages(t("part")),
+    "topic_name": lambda t: topic_name_pages(t("part")),
+    "topic_search": lambda t: topic_search_pages(t("part")),
 }
 
 
-def landed_pages(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None) -> DataFrame:
-    """All landed pages (or those of ``kinds``) as one ``raw_pages`` frame."""
-    def t(name: str) -> DataFrame:
-        return table(spark, sf_dir, name)
-    names = kinds or list(BUILDERS)
-    return reduce(DataFrame.unionByName, [BUILDERS[n](t) for n in names])
+def rendered(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The pages of ``kind`` as a ``raw_pages`` frame, not yet landed."""
+    return BUILDERS[kind](lambda name: table(spark, sf_dir, name))
 
 
 # --------------------------------------------------------------------------- landing once per session
 
-_LANDINGS: dict[tuple, str] = {}
+_LANDINGS: dict[tuple, tuple[str, set[str]]] = {}
 
 
 def _signature(sf_dir: str) -> tuple:
@@ -405,22 +460,19 @@ def _signature(sf_dir: str) -> tuple:
     return tuple(sig)
 
 
-def landing(spark: SparkSession, sf_dir: str) -> str:
-    """Land every page kind once per session as a Parquet table partitioned
-    by ``kind`` in the shared work folder; later calls reuse it.  Readers
-    prune to the kinds they need by partition."""
+def landing(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None) -> str:
+    """Land the pages of ``kinds`` (all kinds if not given), each kind once per
+    session, in a Parquet table partitioned by ``kind`` in the shared work
+    folder; later calls reuse them.  A kind is written straight into its folder
+    by the tasks that rendered it: no page is shuffled or sorted for it."""
     from pagelake.session import fresh_dir
 
     key = (spark.sparkContext.applicationId, sf_dir, _signature(sf_dir))
-    path = _LANDINGS.get(key)
-    if path is None:
-        path = fresh_dir(spark, "landing")
-        # Spread each kind over many files (a fetcher's output is many files,
-        # and a file with one row group is one input split).
-        files = max(8, 2 * spark.sparkContext.defaultParallelism)
-        landed_pages(spark, sf_dir).repartition(files, "kind", "page_key") \
-            .write.partitionBy("kind").parquet(path)
-        _LANDINGS[key] = path
+    path, done = _LANDINGS.setdefault(key, (fresh_dir(spark, "landing"), set()))
+    for kind in kinds or BUILDERS:
+        if kind not in done:
+            rendered(spark, sf_dir, kind).drop("kind").write.mode("overwrite").parquet(f"{path}/kind={kind}")
+            done.add(kind)
     return path
 
 
@@ -428,10 +480,7 @@ def landed(spark: SparkSession, sf_dir: str, kinds: list[str] | None = None) ->
     """The landed pages (of ``kinds``), read with ``read_pages``."""
     from pagelake.sources.pages import read_pages
 
-    pages = read_pages(spark, landing(spark, sf_dir))
-    if kinds:
-        pages = pages.where(F.col("kind").isin(*kinds))
-    return pages
+    return read_pages(spark, landing(spark, sf_dir, kinds)).where(F.col("kind").isin(*(kinds or BUILDERS)))
 
 
 _FETCH_LOGS: dict[tuple, str] = {}

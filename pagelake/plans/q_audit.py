@@ -172,7 +172,7 @@ SELECT kind, n AS n_pages FROM k""")
 def q_read_pages(spark, sf):
     """Landed pages written as JSON lines, read back with the fixed schema, counted by kind."""
     path = fresh_dir(spark, "landing")
-    fx.landed(spark, sf).write.json(path)
+    fx.landed(spark, sf).write.option("compression", "gzip").json(path)
     pages = read_pages(spark, path, fmt="json")
     return pages.groupBy("kind").agg(F.count(F.lit(1)).alias("n_pages"))
 
