@@ -81,8 +81,19 @@ class SeedStore:
         name = name or uuid.uuid4().hex
         given = ids.select(F.col(column).cast("string").alias("id")).where(F.col("id").isNotNull())
         answer = f"{self.path}/answers/{name}"
+        tallied = None
+
+        def tally() -> DataFrame:
+            """The given ids, each once with how often it was given: written, so that what gives them runs once."""
+            nonlocal tallied
+            if tallied is None:
+                path = fresh_dir(self.spark, "seed-given")
+                given.groupBy("id").agg(F.count(F.lit(1)).alias("n")).write.parquet(path)
+                tallied = self.spark.read.schema("id string, n long").parquet(path)
+            return tallied
+
         if not self._exists(f"{answer}/_SUCCESS"):
-            batch = given.distinct()
+            batch = tally().select("id")
             fresh = batch.join(self.known(batch), "id", "left_anti")
             fresh.write.mode("overwrite").parquet(answer)
         fresh = self.spark.read.schema("id string").parquet(answer)
@@ -95,7 +106,7 @@ class SeedStore:
                 .bucketBy(self.buckets, "id").saveAsTable(self.table)
             day = F.lit(added_on).cast("date") if added_on else F.current_date()
             new = fresh.agg(F.count(F.lit(1)).alias("n_new"))
-            row = given.agg(F.count(F.lit(1)).alias("n_given"), F.hll_sketch_agg("id", SKETCH_K).alias("sketch")).join(new)
+            row = tally().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_given"), F.hll_sketch_agg("id", SKETCH_K).alias("sketch")).join(new)
             row.select(F.lit(name).alias("name"), day.alias("added_on"), "n_given", "n_new", "sketch") \
                 .coalesce(1).write.mode("append").parquet(f"{self.path}/counts")
         return fresh

@@ -76,3 +76,18 @@ def test_totals_and_sketches(spark, store):
     other.insert(spark.range(20_000).select(F.col("id").cast("string")))
     store.insert(spark.range(10_000, 30_000).select(F.col("id").cast("string")))
     assert abs(estimated_union(store, other) - 30_004) < 0.03 * 30_004
+
+
+def test_what_gives_the_ids_runs_once_per_insert(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    store = SeedStore(spark, str(tmp_path / "set"))
+    ids = spark.createDataFrame([("a",), ("b",), ("a",), (None,)], "id string")
+    assert sorted(r.id for r in store.insert(ids.mapInArrow(count, "id string"), name="x", added_on="2024-01-01").collect()) == ["a", "b"]
+    assert seen.value == 4
+    assert [tuple(r)[1:] for r in store.totals().collect()] == [(3, 2, 2)]
