@@ -7,7 +7,7 @@
   state with a watermark (``dropDuplicatesWithinWatermark``), which emits an
   id again when it returns after the watermark has passed.
 * ``stream_take_until``: the ordered prefix across an account's pages as a
-  per-account state machine (``transformWithStateInPandas``).  Pages may land
+  per-account state machine (``transformWithState``).  Pages may land
   out of order, more than once, late or never: pages that arrive ahead of
   their turn wait in a map state, one entry per landing, so a batch costs its
   own pages and those it releases, whatever is held; an event-time timer gives
@@ -30,9 +30,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from itertools import groupby, islice
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
@@ -88,6 +89,7 @@ def stream_new_commenters(spark: SparkSession, landing: str, sink: str, checkpoi
 # --------------------------------------------------------------------------- time and state
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+CHUNK = 10_000    # rows of a key taken together
 CLOCK = "(clock)"  # ``page_key`` of rows that only move the watermark
 
 
@@ -164,25 +166,25 @@ class TakeUntil(StatefulProcessor):
         self.progress = handle.getValueState("progress", "next_page long, stop_page long, stop_pos long, give_up long")
         self.held = handle.getMapState("held", "page long, landing long", "posts string, stop_pos long, deadline long")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         self._load()
         out: list[tuple] = []
         watermark = timerValues.getCurrentWatermarkInMs()
-        for chunk in rows:
-            for page, landed in chunk.groupby("page_no"):
-                page = int(page)
-                landings = [(p, None if pd.isna(s) else int(s)) for p, s in zip(landed["posts"], landed["stop_pos"])]
+        while chunk := sorted(islice(rows, CHUNK), key=lambda r: r.page_no):
+            for page, landed in groupby(chunk, key=lambda r: r.page_no):
+                landed = list(landed)
+                landings = [(r.posts, r.stop_pos) for r in landed]
                 if page > self.next_page:
                     if self.stop is None:  # nothing after the first stop is wanted
-                        at = landed["fetched_ms"].dropna()
-                        self._hold(page, landings, (watermark if at.empty else int(at.max())) + self.patience_ms)
+                        at = [r.fetched_ms for r in landed if r.fetched_ms is not None]
+                        self._hold(page, landings, (max(at) if at else watermark) + self.patience_ms)
                     continue
                 self._release(page, landings, out)
                 if page == self.next_page:
                     self._go_on(page + 1, out)
         yield from self._finish(key, out)
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         self._load()
         out: list[tuple] = []
         waiting = sorted((k[0], v[2]) for k, v in self.held.iterator())
@@ -225,8 +227,9 @@ class TakeUntil(StatefulProcessor):
             out += [(posts, cut) for posts, _ in landings]
 
     def _go_on(self, page: int, out: list[tuple]) -> None:
-        """Release held pages from ``page`` on until one is missing."""
-        while self.stop is None and self.held.containsKey((page, 0)):
+        """Release held pages from ``page`` on until one is missing.  Without a
+        time to give up, no page is held."""
+        while self.stop is None and self.give_up is not None and self.held.containsKey((page, 0)):
             landings, k = [], 0
             while self.held.containsKey((page, k)):
                 landings.append(self.held.getValue((page, k))[:2])
@@ -235,14 +238,14 @@ class TakeUntil(StatefulProcessor):
             self._release(page, landings, out)
             page += 1
         self.next_page = max(self.next_page, page)
-        if self.stop is not None:
+        if self.stop is not None and self.give_up is not None:
             self.held.clear()
+            self.give_up = None
 
-    def _finish(self, key, out: list[tuple]) -> Iterator[pd.DataFrame]:
+    def _finish(self, key, out: list[tuple]) -> Iterator[Row]:
         self.progress.update((self.next_page, *(self.stop or (None, None)), self.give_up))
-        if out:
-            yield pd.DataFrame({"seed_key": [key[0]] * len(out), "posts": [p for p, _ in out],
-                                "stop_pos": pd.array([s for _, s in out], dtype="Int64")})
+        for posts, stop in out:
+            yield Row(seed_key=key[0], posts=posts, stop_pos=stop)
 
 
 def take_until_input(pages: DataFrame, min_year: int) -> DataFrame:
@@ -260,7 +263,7 @@ def take_until_stateful(pages: DataFrame, min_year: int, patience: str) -> DataF
     """``pages`` has a watermark.  Only the timers use it: the fetch time goes
     on as a number, so no page is dropped as late."""
     patience_ms = int(pd.Timedelta(patience) / pd.Timedelta(milliseconds=1))
-    out = take_until_input(pages, min_year).groupBy("seed_key").transformWithStateInPandas(
+    out = take_until_input(pages, min_year).groupBy("seed_key").transformWithState(
         TakeUntil(patience_ms), TAKE_OUT, "Append", "EventTime")
     posts = out.select("seed_key", "stop_pos", F.inline(F.from_json("posts", HELD, EXACT)))
     posts = posts.where("stop_pos IS NULL OR pos < stop_pos").withColumn("user_id", F.col("seed_key").try_cast("bigint"))
@@ -312,15 +315,14 @@ class ErrorStreak(StatefulProcessor):
         self.run = handle.getValueState("run", "run long, length long, first_us long, timer long")
         self.pending = handle.getListState("pending", "t_us long, page_key string, failed boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         run, length, first, timer = self.run.get() or (0, 0, None, None)
         earliest = None
-        for chunk in rows:
-            chunk = chunk[chunk["page_key"] != CLOCK]
-            if len(chunk):
-                times = chunk["t_us"].tolist()
-                self.pending.appendList(list(zip(times, chunk["page_key"], map(bool, chunk["failed"]))))
-                earliest = min(times) if earliest is None else min(earliest, min(times))
+        fetches = ((r.t_us, r.page_key, r.failed) for r in rows if r.page_key != CLOCK)
+        while chunk := list(islice(fetches, CHUNK)):
+            self.pending.appendList(chunk)
+            first_us = min(t for t, _, _ in chunk)
+            earliest = first_us if earliest is None else min(earliest, first_us)
         if earliest is not None:
             at = max(earliest // 1000, 0)
             if timer is None or at < timer:
@@ -331,7 +333,7 @@ class ErrorStreak(StatefulProcessor):
             self.run.update((run, length, first, timer))
         yield from ()
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         run, length, first, _ = self.run.get()
         passed = timerValues.getCurrentWatermarkInMs()
         due, later = [], []
@@ -354,8 +356,8 @@ class ErrorStreak(StatefulProcessor):
         else:
             self.pending.clear()
         self.run.update((run, length, first, timer))
-        if alerts:
-            yield pd.DataFrame(alerts, columns=[f.name for f in STREAK_OUT.fields])
+        for alert in alerts:
+            yield Row(**dict(zip(STREAK_OUT.fieldNames(), alert)))
 
     def close(self) -> None:
         pass
@@ -367,7 +369,7 @@ def error_streak_stateful(outcomes: DataFrame, n: int = STREAK_LIMIT) -> DataFra
     rows = outcomes.select("slice", F.coalesce("page_key", F.lit("")).alias("page_key"),
                            F.coalesce(F.unix_micros("fetched_at"), F.lit(-1)).alias("t_us"),
                            F.coalesce("failed", F.lit(False)).alias("failed"))
-    out = rows.groupBy("slice").transformWithStateInPandas(ErrorStreak(n), STREAK_OUT, "Append", "EventTime")
+    out = rows.groupBy("slice").transformWithState(ErrorStreak(n), STREAK_OUT, "Append", "EventTime")
     return out.select("slice", "run", F.timestamp_micros("first_us").alias("first_at"),
                       F.timestamp_micros("alert_us").alias("alert_at"))
 
