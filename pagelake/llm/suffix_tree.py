@@ -5,11 +5,11 @@ text; a text begins after a begin mark, which is a context but never a symbol.
 
 * Root: absolute discounting over all training words; the freed mass is the
   probability of one unknown symbol.
-* Candidate contexts are words and word pairs with a relative frequency of
-  ``P_MIN`` at least (so ``1 / P_MIN`` at most of each).  A context's
-  next-symbol distribution keeps the symbols that follow it with a relative
-  frequency of ``GAMMA_MIN`` (twice at least), discounted; what is left is
-  shared in proportion to its suffix's distribution.
+* Candidate contexts are all words and word pairs that occur twice at least.  A
+  context's next-symbol distribution keeps the symbols that follow it twice at
+  least, discounted; what is left is shared in proportion to its suffix's
+  distribution.  ``P_MIN`` and ``GAMMA_MIN`` are relative frequencies below
+  which contexts and kept symbols are left out; they are 0, so none is.
 * Divergence test: a context is retained if its count times the
   Kullback-Leibler divergence from its suffix's distribution (over the kept
   symbols and the rest) reaches ``DIVERGENCE``; the suffix of a retained pair
@@ -17,32 +17,48 @@ text; a text begins after a begin mark, which is a context but never a symbol.
 * A symbol is scored in the state of the longest retained suffix of the text
   before it.
 
-Every count covers all training texts.  Counting is map-side combined (a task
-sorts the hashes of a few million symbols and emits distinct ones).  What is
-broadcast has a proven size: frequencies bound the words (``1 / GAMMA_MIN``),
-contexts and kept symbols.  The rest of the vocabulary, which grows with the
-corpus, stays a table; rare words of the scored texts are joined to it by
-hash.
+Every count covers all training texts, and contexts and kept symbols are
+tables, joined by hash.  Counting is map-side combined (a task sorts the hashes
+of a few million symbols and emits distinct ones); an n-gram is counted only
+if its first and its last n - 1 words may occur twice, which a bit table of
+fixed size tells, with errors to the safe side only.
+
+The log10 probability of a symbol is a sum of values of the n-grams that end
+with it: its own at the root; for a word or pair that is a retained context,
+the log10 of the factor on its suffix's distribution; and for a kept symbol
+after a retained context, what corrects that.  So a text's score is a sum over
+its n-grams.  The values of the ``HEAD`` most frequent n-grams are broadcast;
+other n-grams that may have a value (a second bit table) are joined to the
+table of values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagelake.llm.common import cut
-from pagelake.llm.shingles import column_words, mix
+from pagelake.llm.shingles import column_words
 
-P_MIN = 1e-5
-GAMMA_MIN = 1e-6
+P_MIN = 0.0
+GAMMA_MIN = 0.0
 DIVERGENCE = 12.0
 DISCOUNT = 0.75
+DEPTH = 2                  # words of the longest contexts
 CHUNK = 3_000_000          # symbols counted together in a task
+HEAD = 2_000_000           # n-grams whose values are broadcast
+BITS = 27                  # log2 of the slots of a bit table
 END = np.uint64(0x9D39247E33776D41)
+BEGIN = np.uint64(0x5A1F0C7E9B24D683)
+_P1, _P2, _P3, _P4, _P5 = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
+                                                 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
 
 
 class Index:
@@ -73,71 +89,84 @@ class Index:
         return out
 
 
-@dataclass
-class Level:
-    """Contexts of one length: ``contexts`` (index by code) with ``n``
-    occurrences, and their kept symbols ``edges`` (index by code) with
-    ``log10 p``; ``beta`` is log10 of the factor on the suffix's probability."""
-
-    contexts: Index
-    n: np.ndarray
-    edges: Index | None = None
-    p: np.ndarray | None = None
-    beta: np.ndarray | None = None
-    kept: np.ndarray | None = None
-
-
 @dataclass
 class Model:
-    words: Index                 # frequent words and the end, by hash
-    count: np.ndarray
     total: int                   # N
     vocabulary: int              # V
     discount: float
-    levels: list[Level]
+    unknown: float = 0.0         # log10 probability of an unknown symbol at the root
+    head: Index | None = None    # frequent n-grams of all lengths, by code
+    score: np.ndarray | None = None
+    base: np.ndarray | None = None
+    known: np.ndarray | None = None
+    bits: np.ndarray | None = None
+
+
+def _turned(x: np.ndarray, k: int) -> np.ndarray:
+    return (x << np.uint64(k)) | (x >> np.uint64(64 - k))
 
-    def root(self, count: np.ndarray) -> np.ndarray:
-        """Natural probability by training count; 0 is the unknown symbol."""
-        if not self.total:
-            return np.ones(len(count))
-        return np.where(count > 0, count - self.discount, self.discount * self.vocabulary) / self.total
 
+def join(ctx: np.ndarray, suf: np.ndarray) -> np.ndarray:
+    """64-bit codes of n-grams from those of their first and of their last
+    n - 1 words: Spark's ``xxhash64`` of the two, as in ``_code``."""
+    h = (np.uint64(42 + 8) + _P5) ^ (_turned((_turned(ctx, 1) ^ suf) * _P2, 31) * _P1)
+    h = _turned(h, 27) * _P1 + _P4
+    h = (h ^ (h >> np.uint64(33))) * _P2
+    h = (h ^ (h >> np.uint64(29))) * _P3
+    return h ^ (h >> np.uint64(32))
 
-def pair_code(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """64-bit code of two positions (positions are below 2**31; -1 and the
-    begin mark, -2, become their own values)."""
-    return mix(((a + 4).astype(np.uint64) << np.uint64(32)) | (b + 4).astype(np.uint64))
+
+def _code(ctx: str = "ctx", suf: str = "suf") -> Column:
+    turned = F.shiftleft(ctx, 1).bitwiseOR(F.shiftrightunsigned(ctx, 63))
+    return F.xxhash64(turned.bitwiseXOR(F.col(suf)))
+
+
+def _signed(code: np.uint64) -> int:
+    return int(np.array([code]).view(np.int64)[0])
 
 
 def sequence(column) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all symbols of an Arrow text column, laid end to end, and the
     number of symbols of each row (its end included)."""
     h, sizes = column_words(column)
-    h = np.where(h == END, END + np.uint64(1), h)
+    h = np.where((h == END) | (h == BEGIN), h + np.uint64(1), h)
     return np.insert(h, np.cumsum(sizes), END), sizes + 1
 
 
-def states(at: np.ndarray, sizes: np.ndarray, levels: list[Level]) -> list[np.ndarray]:
-    """For each symbol and each level the position of the context of that
-    length before it, or -1.  ``at``: word positions (-1: not frequent)."""
-    first = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
-    before = np.concatenate([[-2], at[:-1]])
-    before[first] = -2
-    out = []
-    if levels:
-        out.append(levels[0].contexts.find(mix((before + 4).astype(np.uint64))))
-    if len(levels) > 1:
-        two = np.concatenate([[-1], before[:-1]])
-        two[first] = -1
-        ok = (two != -1) & (before != -1)
-        found = np.full(len(at), -1, np.int64)
-        found[ok] = levels[1].contexts.find(pair_code(two[ok], before[ok]))
-        out.append(found)
-    return out
-
-
-def _count(texts: DataFrame, codes, schema: str = "code long, n long") -> DataFrame:
-    """Sum over all texts of the codes that ``codes(column)`` gives per slice."""
+def ngrams(column, longest: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Codes of the n-grams that end at each place of the texts, which are laid
+    end to end with their begin marks, for n = 1 to ``longest``; the sizes of
+    the texts (both marks included); and the place of each symbol in its text.
+    An n-gram is one where its place is n - 1 at least."""
+    h, sizes = sequence(column)
+    codes = [np.insert(h, np.cumsum(sizes) - sizes, BEGIN)]
+    sizes = sizes + 1
+    place = np.arange(len(codes[0])) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    for _ in range(longest - 1):
+        codes.append(join(np.concatenate([[np.uint64(0)], codes[-1][:-1]]), codes[-1]))
+    return codes, sizes, place
+
+
+def _bits(codes: DataFrame) -> np.ndarray:
+    """Bit table of the slots (first ``BITS`` bits) of the ``code`` column.
+    Its size does not depend on the rows."""
+    slot = F.shiftrightunsigned("code", 64 - BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int"))
+    found = codes.select(F.shiftright(slot, 6).alias("block"), bit.alias("bit")).groupBy("block") \
+        .agg(F.bit_or("bit").alias("bit")).toArrow()
+    table = np.zeros(1 << (BITS - 6), np.uint64)
+    table[found["block"].to_numpy()] = found["bit"].to_numpy().view(np.uint64)
+    return table
+
+
+def _may_be(table: np.ndarray, code: np.ndarray) -> np.ndarray:
+    slot = code >> np.uint64(64 - BITS)
+    return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _count(texts: DataFrame, codes, names: tuple[str, ...] = ("code",)) -> DataFrame:
+    """How often each combination of the codes that ``codes(column)`` gives per
+    slice (arrays of one length, by ``names``) occurs in all texts."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
@@ -146,125 +175,146 @@ def _count(texts: DataFrame, codes, schema: str = "code long, n long") -> DataFr
         held, size = [], 0
 
         def combined():
-            code, n = np.unique(np.concatenate(held), return_counts=True)
-            for lo in range(0, len(code), 200_000):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(code[lo:lo + 200_000].view(np.int64)), pa.array(n[lo:lo + 200_000].astype(np.int64))],
-                    names=["code", "n"])
+            columns = [np.concatenate(c) for c in zip(*held)]
+            key = columns[0] if len(columns) == 1 else join(*columns)
+            order = np.argsort(key)
+            key = key[order]
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            n = np.diff(np.append(start, len(key)))
+            columns = [c[order[start]].view(np.int64) for c in columns] + [n.astype(np.int64)]
+            for lo in range(0, len(n), 200_000):
+                yield pa.RecordBatch.from_arrays([pa.array(c[lo:lo + 200_000]) for c in columns], names=[*names, "n"])
 
         for b in slices(batches, column=0):
-            c = codes(b.column(0))
-            held.append(c)
-            size += len(c)
+            held.append(codes(b.column(0)))
+            size += len(held[-1][0])
             if size >= CHUNK:
                 yield from combined()
                 held, size = [], 0
         if size:
             yield from combined()
 
-    return texts.select("text").mapInArrow(run, schema).groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted codes and their counts.  Callers bound the rows by frequency."""
-    rows = counts.toPandas()
-    code, n = rows["code"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64)
-    order = np.argsort(code)
-    return code[order], n[order]
-
-
-def _edges(texts: DataFrame, model: Model, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Kept (context position, word position, count) of a level."""
-    shared = texts.sparkSession.sparkContext.broadcast((model.words, [lv.contexts for lv in model.levels]))
-    width = np.uint64(len(model.words.keys) + 1)
-
-    def codes(some):
-        words, contexts = shared.value
-        h, sizes = sequence(some)
-        at = words.find(h)
-        state = states(at, sizes, [Level(c, np.zeros(0)) for c in contexts])[depth]
-        ok = (at >= 0) & (state >= 0)
-        return state[ok].astype(np.uint64) * width + at[ok].astype(np.uint64)
-
-    least = max(2.0, GAMMA_MIN * model.total)
-    code, n = _collected(_count(texts, codes).where(F.col("n") >= least))
-    return (code // width).astype(np.int64), (code % width).astype(np.int64), n
-
-
-def _fit(level: Level, context: np.ndarray, word: np.ndarray, n: np.ndarray, parent: np.ndarray) -> None:
-    """Distribution of every context of the level and its divergence from its
-    suffix; ``parent``: the suffix's probability of each kept symbol."""
-    size = len(level.n)
-    total = level.n[context]
-    own = (n - DISCOUNT) / total
-    rest = 1.0 - np.bincount(context, own, size)
-    other = np.maximum(1.0 - np.bincount(context, parent, size), 1e-12)
-    gain = np.bincount(context, own * np.log(own / parent), size) + rest * np.log(rest / other)
-    level.kept = level.n * gain >= DIVERGENCE
-    level.beta = np.log10(rest / other)
-    code = pair_code(context, word)
+    schema = ", ".join(f"{c} long" for c in (*names, "n"))
+    return texts.select("text").mapInArrow(run, schema).groupBy(*names).agg(F.sum("n").alias("n"))
+
+
+def _longer(texts: DataFrame, n: int, bits: np.ndarray) -> DataFrame:
+    """Counts (``ctx``, ``suf``, ``n``) of the ``n``-grams whose ``ctx`` and
+    ``suf`` may be in the bit table; all that occur twice are there."""
+    shared = texts.sparkSession.sparkContext.broadcast(bits)
+
+    def codes(column):
+        found, _, place = ngrams(column, n - 1)
+        may = _may_be(shared.value, found[-1])
+        ok = np.flatnonzero((place[1:] >= n - 1) & may[:-1] & may[1:])
+        return found[-1][ok], found[-1][ok + 1]
+
+    return _count(texts, codes, ("ctx", "suf"))
+
+
+@contextmanager
+def _cleaned(spark):
+    """Shuffle files of the actions inside are removed when each ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    old = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, old) if old else spark.conf.unset(name)
+
+
+def _contexts(edges: DataFrame) -> DataFrame:
+    """``code``, ``beta`` (log10 of the factor on the suffix's probability) and
+    ``kept`` (the divergence test) of the contexts that have kept symbols; one
+    without any differs in nothing from its suffix."""
+    own = _own()
+    sums = edges.groupBy("ctx").agg(F.max("total").alias("n"), F.sum(own).alias("own"), F.sum("parent").alias("parent"),
+                                    F.sum(own * F.ln(own / F.col("parent"))).alias("gain"))
+    rest = 1.0 - F.col("own")
+    ratio = rest / F.greatest(1.0 - F.col("parent"), F.lit(1e-12))
+    gain = F.col("gain") + rest * F.ln(ratio)
+    return sums.select(F.col("ctx").alias("code"), F.log10(ratio).alias("beta"),
+                       (F.col("n") * gain >= DIVERGENCE).alias("kept"))
+
+
+def _own() -> Column:
+    return (F.col("n") - DISCOUNT) / F.col("total")
+
+
+def _values(words: DataFrame, ends: DataFrame, levels: list[tuple[DataFrame, DataFrame]], unknown: float) -> DataFrame:
+    """Table of ``code``, ``n``, ``score``, ``base``, ``known``: what an
+    occurrence of the n-gram adds to the three sums of a text."""
+    nothing = F.lit(None).cast("long").alias("n")
+    parts = [words.select("code", "n", (F.log10("p") - unknown).alias("score"), F.log10(F.col("n") + 1).alias("base"),
+                          F.lit(1).alias("known"))]
+
+    def add(rows: DataFrame) -> None:
+        parts.append(rows.withColumns({"base": F.lit(0.0), "known": F.lit(0)}))
+
+    add(ends.select("code", "n", F.lit(0.0).alias("score")))
+    longer = None
+    for edges, contexts in reversed(levels):
+        if longer is not None:  # the suffixes of retained contexts
+            need = longer.join(edges.select(_code().alias("code"), "suf"), "code").select(F.col("suf").alias("code")).distinct()
+            contexts = contexts.join(need.withColumn("needed", F.lit(True)), "code", "left") \
+                .where(F.col("kept") | F.col("needed").isNotNull())
+        else:
+            contexts = contexts.where("kept")
+        longer = cut(contexts.select("code", "beta"), "retained")
+        add(longer.select("code", nothing, F.col("beta").alias("score")))
+        add(edges.join(longer.withColumnRenamed("code", "ctx"), "ctx").select(
+            _code().alias("code"), "n", (F.log10(_own() / F.col("parent")) - F.col("beta")).alias("score")))
+    return reduce(DataFrame.unionByName, parts).groupBy("code").agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("n"), F.sum("score").alias("score"), F.sum("base").alias("base"),
+        F.sum("known").alias("known"))
+
+
+def _head(values: DataFrame) -> DataFrame:
+    """The rows of the most frequent n-grams, ``HEAD`` at most."""
+    # one row per different count, of which there are fewer than the root of twice the symbols
+    sizes = values.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).toArrow()
+    n, rows = sizes["n"].to_numpy(), sizes["rows"].to_numpy()
+    order = np.argsort(-n)
+    fits = np.cumsum(rows[order]) <= HEAD
+    least = int(n[order][fits][-1]) if fits.any() else int(n.max(initial=0)) + 1
+    return values.where(F.col("n") >= least)
+
+
+def train(texts: DataFrame) -> tuple[Model, DataFrame | None]:
+    """The model of all ``texts`` (column ``text``) and the table of the values
+    of its n-grams (None without symbols)."""
+    spark = texts.sparkSession
+    with _cleaned(spark):
+        counts = cut(_count(texts, lambda some: (sequence(some)[0],)), "words")
+        row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("types"),
+                         F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice"),
+                         F.max(F.when(F.col("code") == _signed(END), F.col("n"))).alias("ends")).first()
+        discount = row["once"] / (row["once"] + 2 * row["twice"]) if row["once"] else 0.5
+        model = Model(int(row["total"]), int(row["types"]), min(max(discount, 0.1), 0.9))
+        if not model.total:
+            return model, None
+        model.unknown = math.log10(model.discount * model.vocabulary / model.total)
+        least, kept = max(2.0, P_MIN * model.total), max(2.0, GAMMA_MIN * model.total)
+        words = counts.withColumn("p", (F.col("n") - model.discount) / model.total)
+        ends = spark.createDataFrame([(_signed(BEGIN), row["ends"])], "code long, n long")
+        shorter, levels = words.unionByName(ends, allowMissingColumns=True), []
+        for k in range(1, DEPTH + 1):
+            bits = _bits(shorter.where(F.col("n") >= kept))
+            found = _longer(texts, k + 1, bits).where(F.col("n") >= kept)
+            edges = cut(found.join(shorter.where(F.col("n") >= least).select(F.col("code").alias("ctx"), F.col("n").alias("total")), "ctx")
+                        .join(shorter.select(F.col("code").alias("suf"), F.col("p").alias("parent")), "suf")
+                        .select("ctx", "suf", "n", "total", "parent"), "edges")
+            levels.append((edges, cut(_contexts(edges), "contexts")))
+            shorter = edges.select(_code().alias("code"), "n", _own().alias("p"))
+        values = cut(_values(words, ends, levels, model.unknown), "values")
+        head = _head(values).toArrow()
+        model.bits = _bits(values)
+    code = head["code"].to_numpy().view(np.uint64)
     order = np.argsort(code)
-    level.edges, level.p = Index(code[order]), np.log10(own[order])
-
-
-def train(texts: DataFrame) -> tuple[Model, DataFrame]:
-    """The model of all ``texts`` (column ``text``) and the table of counts
-    (``code`` word hash, ``n``)."""
-    counts = cut(_count(texts, lambda some: sequence(some)[0]), "words")
-    row = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), F.count(F.lit(1)).alias("types"),
-                     F.count_if(F.col("n") == 1).alias("once"), F.count_if(F.col("n") == 2).alias("twice")).first()
-    discount = row["once"] / (row["once"] + 2 * row["twice"]) if row["once"] else 0.5
-    total = int(row["total"])
-    # at most 1 / GAMMA_MIN words have that relative frequency
-    code, n = _collected(counts.where(F.col("n") >= GAMMA_MIN * total))
-    model = Model(Index(code), n, total, int(row["types"]), min(max(discount, 0.1), 0.9), [])
-    if not total:
-        return model, counts
-
-    least = max(2.0, P_MIN * total)
-    ends = int(n[np.searchsorted(code, END)])
-    often = np.flatnonzero((n >= least) & (code != END))
-    ids, sizes = np.append(often, -2), np.append(n[often], ends)   # words, and the begin mark
-    ids, sizes = ids[sizes >= least], sizes[sizes >= least]
-    key = mix((ids + 4).astype(np.uint64))
-    order = np.argsort(key)
-    ids = ids[order]
-    one = Level(Index(key[order]), sizes[order])
-    model.levels.append(one)
-    context, word, c = _edges(texts, model, 0)
-    _fit(one, context, word, c, model.root(n[word]))
-
-    pair = np.flatnonzero((c >= least) & (code[word] != END))      # counts of pairs are counts of kept symbols
-    key = pair_code(ids[context[pair]], word[pair])
-    order = np.argsort(key)
-    pair = pair[order]
-    two = Level(Index(key[order]), c[pair])
-    model.levels.append(two)
-    suffix = one.contexts.find(mix((word[pair] + 4).astype(np.uint64)))
-    context, word, c = _edges(texts, model, 1)
-    # a symbol kept after a pair is kept after the pair's last word: its count there is not smaller
-    at = one.edges.find(pair_code(suffix[context], word))
-    _fit(two, context, word, c, 10.0 ** one.p[at])
-    one.kept[suffix[two.kept]] = True
-    return model, counts
-
-
-def log10_scores(model: Model, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each symbol: log10 of its probability in the longest retained
-    state, and whether that is complete; where it isn't, the symbol is not a
-    frequent word and log10 of its root probability has to be added."""
-    known = at >= 0
-    score = np.zeros(len(at))
-    score[known] = np.log10(model.root(model.count[at[known]]))
-    for level, state in zip(model.levels, states(at, sizes, model.levels)):
-        # log10 P(w | context) from P(w | suffix), for all contexts: longer ones build on shorter ones
-        has = np.flatnonzero(state >= 0)
-        edge = np.full(len(has), -1, np.int64)
-        word = known[has]
-        edge[word] = level.edges.find(pair_code(state[has[word]], at[has[word]]))
-        value = np.where(edge >= 0, level.p[edge] if len(level.p) else 0.0, score[has] + level.beta[state[has]])
-        score[has] = np.where(level.kept[state[has]], value, score[has])
-    return score, known
+    model.head = Index(code[order])
+    model.score, model.base, model.known = (head[c].to_numpy()[order] for c in ("score", "base", "known"))
+    return model, values
 
 
 def held_out_fold(id_col: str, folds: int = 7, fold: int = 2) -> Column:
@@ -283,7 +333,7 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
     table gives no rows.  Words are told apart by 64-bit hashes.
     """
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"), held_out.alias("held_out"))
-    model, counts = train(rows.where(~F.col("held_out")))
+    model, values = train(rows.where(~F.col("held_out")))
     shared = docs.sparkSession.sparkContext.broadcast(model)
     id_type = docs.schema["doc_id"].dataType.simpleString()
     schema = (f"doc_id {id_type}, held_out boolean, n_tokens long, n_known long, base double, score double, "
@@ -297,38 +347,46 @@ def score_documents(docs: DataFrame, held_out: Column) -> DataFrame:
 
         m = shared.value
         for b in slices(batches):
-            h, sizes = sequence(b.column(1))
-            at = m.words.find(h)
-            score, known = log10_scores(m, at, sizes)
-            base = np.zeros(len(h))
-            base[known] = np.log10((m.count[at[known]] + 1) / size)
-            first = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            owner = np.repeat(np.arange(len(sizes)), sizes)[~known]
-            rare = h[~known]
-            order = np.lexsort((rare, owner))
-            owner, rare = owner[order], rare[order]
-            new = np.concatenate([[True], (rare[1:] != rare[:-1]) | (owner[1:] != owner[:-1])]) if len(rare) else \
-                np.zeros(0, bool)
+            codes, sizes, place = ngrams(b.column(1), DEPTH + 1)
+            first = np.cumsum(sizes) - sizes
+            owner = np.repeat(np.arange(len(sizes)), sizes)
+            base = np.where(place > 0, -math.log10(size), 0.0)
+            score = np.where(place > 0, m.unknown, 0.0)
+            known = np.zeros(len(place), np.int64)
+            rare = []
+            for n, code in enumerate(codes if m.head else []):
+                at = np.flatnonzero(place >= n)
+                found = m.head.find(code[at])
+                hit = found >= 0
+                score[at[hit]] += m.score[found[hit]]
+                base[at[hit]] += m.base[found[hit]]
+                known[at[hit]] += m.known[found[hit]]
+                at = at[~hit]
+                at = at[_may_be(m.bits, code[at])]
+                rare.append((owner[at], code[at]))
+            mine, code = (np.concatenate(x) for x in zip(*rare)) if rare else (owner[:0], np.zeros(0, np.uint64))
+            order = np.lexsort((code, mine))
+            mine, code = mine[order], code[order]
+            new = np.concatenate([[True], (code[1:] != code[:-1]) | (mine[1:] != mine[:-1])]) if len(code) else np.zeros(0, bool)
             starts = np.flatnonzero(new)
-            n = np.diff(np.append(starts, len(rare)))
-            offsets = np.searchsorted(owner[starts], np.arange(len(sizes) + 1)).astype(np.int32)
+            n = np.diff(np.append(starts, len(code)))
+            offsets = np.searchsorted(mine[starts], np.arange(len(sizes) + 1)).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays(
-                [pa.array(rare[starts].view(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"]))
+                [pa.array(code[starts].view(np.int64)), pa.array(n.astype(np.int64))], names=["code", "n"]))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(2), pa.array(sizes), pa.array(np.add.reduceat(known.astype(np.int64), first)),
+                [b.column(0), b.column(2), pa.array(sizes - 1), pa.array(np.add.reduceat(known, first)),
                  pa.array(np.add.reduceat(base, first)), pa.array(np.add.reduceat(score, first)), lists],
                 names=["doc_id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
 
     scored = cut(rows.mapInArrow(run, schema).withColumn("row", F.monotonically_increasing_id()), "scores")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    root = F.when(c > 0, c - model.discount).otherwise(model.discount * model.vocabulary) / model.total \
-        if model.total else F.lit(1.0)
-    rare = scored.select("row", F.inline("rare")).join(counts.select("code", F.col("n").alias("c")), "code", "left") \
-        .groupBy("row").agg(F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("k"),
-                            F.sum(F.col("n") * F.log10((c + 1) / F.lit(float(size)))).alias("b"),
-                            F.sum(F.col("n") * F.log10(root)).alias("s"))
-    return scored.drop("rare").join(rare, "row", "left").select(
-        "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("k", F.lit(0))).cast("long").alias("n_known"),
-        F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("b", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("s", F.lit(0.0))).alias("score"))
+    out = ["doc_id", "held_out", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
+           F.col("base").alias("base_score"), "score"]
+    if values is None:
+        return scored.select(*out)
+    n = F.col("times")
+    rare = scored.select("row", F.inline("rare").alias("code", "times")).join(
+        values.select("code", F.col("score").alias("s"), F.col("base").alias("b"), F.col("known").alias("k")), "code") \
+        .groupBy("row").agg(F.sum(n * F.col("k")).alias("k"), F.sum(n * F.col("b")).alias("b"), F.sum(n * F.col("s")).alias("s"))
+    sums = {"n_known": (F.col("n_known") + F.coalesce("k", F.lit(0))).cast("long"),
+            "base": F.col("base") + F.coalesce("b", F.lit(0.0)), "score": F.col("score") + F.coalesce("s", F.lit(0.0))}
+    return scored.drop("rare").join(rare, "row", "left").withColumns(sums).select(*out)

@@ -132,3 +132,28 @@ def test_index():
     assert (index.find(keys) == np.arange(len(keys))).all()
     assert (index.find(keys + np.uint64(1)) == -1).all()
     assert len(st.Index(keys[:0]).find(keys)) == len(keys)
+
+
+@pytest.mark.parametrize("head", [0, 12, 10_000])
+def test_rare_contexts_of_a_large_corpus(spark, monkeypatch, head):
+    """What occurs twice counts, however large the corpus is, broadcast or joined."""
+    twice = "some words occur twice in a large corpus and nowhere else in it"
+    texts = [twice, twice, "some words occur once", "other words " * 3, None, *["x " * 25] * 12_000]
+    with monkeypatch.context() as m:
+        m.setattr(st, "P_MIN", 0.0)
+        m.setattr(st, "GAMMA_MIN", 0.0)
+        model = Brute(texts)
+    monkeypatch.setattr(st, "HEAD", head, raising=False)
+    assert (b"corpus",) in model.retained
+    asked = "words occur twice here"
+    df = spark.createDataFrame([*((i, t, False) for i, t in enumerate(texts)), (-1, asked, True)],
+                               "doc_id long, text string, held boolean")
+    got = {r.doc_id: r.score for r in st.score_documents(df, F.col("held")).where("doc_id < 6").collect()}
+    for i, text in [*enumerate(texts[:6]), (-1, asked)]:
+        np.testing.assert_allclose(got[i], model.score(text), rtol=1e-9)
+
+
+def test_ngram_codes_are_those_of_spark(spark):
+    a, b = (np.random.default_rng(k).integers(0, 1 << 64, 200, dtype=np.uint64) for k in (1, 2))
+    df = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a.view(np.int64), b.view(np.int64))], "ctx long, suf long")
+    assert [r.c for r in df.select(st._code().alias("c")).collect()] == st.join(a, b).view(np.int64).tolist()
