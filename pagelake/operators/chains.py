@@ -9,8 +9,8 @@ A node is a (key, cursor) pair that has landed; the first page's cursor is the
 empty text.  Every node points at the page that named its cursor, and pointer
 doubling turns the pointers into distances from the start of the chain: a
 chain of ``k`` pages takes about log2(k) joins on (key, cursor), which spread
-an account with a third of all pages over all tasks.  Each step is written to
-the shared work folder, so a lost executor repeats one step.
+an account with a third of all pages over all tasks.  Each step writes the nodes
+it moved to the shared work folder, so a lost executor repeats one step.
 
 Pages whose cursor no landed page named start a broken piece; pages whose
 cursors go round in a circle belong to no chain.  Both are numbered after the
@@ -19,13 +19,16 @@ whole chain and listed by ``broken_chains``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagelake.operators import extract as ex
 from pagelake.operators.ordinal import keyed_running_count
 from pagelake.session import fresh_dir
 
+HOT_PAGES = 100_000        # a key with more pages is numbered over many tasks
 WHOLE, BROKEN, CIRCLE = "whole", "broken", "circle"
 # The request parameter that carries the cursor, and whether later pages have smaller cursors.
 CURSORS = {"status_list": ("since_id", True), "hot_comments": ("max_id", False)}
@@ -67,25 +70,31 @@ def chain_positions(links: DataFrame) -> DataFrame:
     cursor, the smallest of their own cursors counts.
     """
     named = links.where("next_cursor IS NOT NULL AND next_cursor <> cursor AND cursor IS NOT NULL") \
-        .groupBy("chain_key", F.col("next_cursor").alias("cursor")).agg(F.min("cursor").alias("ptr"))
-    nodes = links.select("chain_key", "cursor").distinct().join(named, ["chain_key", "cursor"], "left")
+        .select("chain_key", F.col("next_cursor").alias("cursor"), F.col("cursor").alias("ptr"), F.lit(False).alias("landed"))
+    own = links.select("chain_key", "cursor", F.lit(None).cast("string").alias("ptr"), F.lit(True).alias("landed"))
+    nodes = own.union(named).groupBy("chain_key", "cursor") \
+        .agg(F.min("ptr").alias("ptr"), F.max("landed").alias("landed")).where("landed")
     first = F.col("cursor") == ""
-    table = _written(nodes.select(
+    live = _written(nodes.select(
         "chain_key", "cursor", F.when(~first, F.col("ptr")).alias("ptr"),
         F.when(first | F.col("ptr").isNull(), F.lit(0)).otherwise(F.lit(1)).cast("long").alias("chain_pos"),
         F.when(first | F.col("ptr").isNull(), F.col("cursor")).alias("chain_head")), "chain")
-    open_ = table.where("ptr IS NOT NULL").count()
+    ended = []  # nodes whose pointers have reached the start of their piece, by step: each is written once
+    open_ = live.where("ptr IS NOT NULL").count()
     while open_:
-        at = table.select(F.col("chain_key").alias("k2"), F.col("cursor").alias("c2"), F.col("ptr").alias("ptr2"),
-                          F.col("chain_pos").alias("pos2"), F.col("chain_head").alias("head2"))
-        moved = table.where("ptr IS NOT NULL").join(at, (F.col("chain_key") == F.col("k2")) & (F.col("ptr") == F.col("c2"))) \
+        at = reduce(DataFrame.union, [*ended, live]).select(
+            F.col("chain_key").alias("k2"), F.col("cursor").alias("c2"), F.col("ptr").alias("ptr2"),
+            F.col("chain_pos").alias("pos2"), F.col("chain_head").alias("head2"))
+        moved = live.where("ptr IS NOT NULL").join(at, (F.col("chain_key") == F.col("k2")) & (F.col("ptr") == F.col("c2"))) \
             .select("chain_key", "cursor", F.col("ptr2").alias("ptr"), (F.col("chain_pos") + F.col("pos2")).alias("chain_pos"),
                     F.col("head2").alias("chain_head"))
-        table = _written(table.where("ptr IS NULL").union(moved), "chain")
-        left = table.where("ptr IS NOT NULL").count()
+        ended.append(live.where("ptr IS NULL"))
+        live = _written(moved, "chain")
+        left = live.where("ptr IS NOT NULL").count()
         if left == open_:  # every step ends some pointer of a chain: what is left goes round
             break
         open_ = left
+    table = reduce(DataFrame.union, [*ended, live])
     circle = F.col("ptr").isNotNull()
     return table.select("chain_key", "cursor", F.when(~circle, F.col("chain_pos")).alias("chain_pos"),
                         F.when(~circle, F.col("chain_head")).alias("chain_head"),
@@ -97,6 +106,20 @@ def _cursor_order(cursor: str, falling: bool) -> list[Column]:
     return [number.desc_nulls_last() if falling else number.asc_nulls_last(), F.col(cursor).asc_nulls_last()]
 
 
+def _numbered(nodes: DataFrame, order: list[Column]) -> DataFrame:
+    """``page_no`` from 0 inside each ``chain_key``: by a window, and for keys
+    with more than ``HOT_PAGES`` nodes by ``keyed_running_count``, which spreads
+    a key over many tasks."""
+    found = nodes.groupBy("chain_key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HOT_PAGES).select("chain_key").collect()
+    mine = Window.partitionBy("chain_key").orderBy(*order)
+    number = (F.row_number().over(mine) - 1).cast("long")
+    if not found:
+        return nodes.withColumn("page_no", number)
+    hot = F.broadcast(nodes.sparkSession.createDataFrame(found, "chain_key string"))  # at most 1 / HOT_PAGES of the nodes
+    return nodes.join(hot, "chain_key", "left_anti").withColumn("page_no", number).unionByName(
+        keyed_running_count(nodes.join(hot, "chain_key", "left_semi"), ["chain_key"], order, name="page_no", inclusive=False))
+
+
 def chain_order(pages: DataFrame, kind: str = "status_list") -> DataFrame:
     """``page_key``, ``page_no``, ``chain_pos``, ``chain_head``,
     ``chain_status`` for every page of ``kind`` that has landed.
@@ -113,7 +136,7 @@ def chain_order(pages: DataFrame, kind: str = "status_list") -> DataFrame:
     rank = F.when(F.col("chain_status") == WHOLE, 0).when(F.col("chain_status") == BROKEN, 1).otherwise(2)
     ranked = placed.withColumn("_rank", rank)
     order = [F.col("_rank"), *_cursor_order("chain_head", falling), F.col("chain_pos"), *_cursor_order("cursor", falling)]
-    numbered = keyed_running_count(ranked, ["chain_key"], order, name="page_no", inclusive=False)
+    numbered = _numbered(ranked, order)
     return links.join(numbered.drop("_rank"), ["chain_key", "cursor"]).select(
         "page_key", "chain_key", "cursor", F.col("page_no").cast("int").alias("page_no"), "chain_pos", "chain_head", "chain_status")
 

@@ -101,3 +101,24 @@ def test_prefix_by_cursor_equals_prefix_by_number(spark, data, rnd):
     assert ids(fl.year_cutoff_pages(chains.renumber(blind), 2017)) == want
     wrong = df.withColumn("page_no", F.lit(7))
     assert ids(fl.year_cutoff(ex.status_cards(chains.renumber(wrong)), 2017)) == want
+
+
+def test_numbers_of_hot_keys_and_written_steps(spark, pages_df, monkeypatch):
+    """Keys above the bound are numbered as the others are, and a step writes only the nodes it moved."""
+    rows = [feed_page(u, None if i == 0 else 900 - i, 900 - i - 1) for u, n in (("1", 40), ("2", 9), ("3", 1)) for i in range(n)
+            if (u, i) != ("1", 33)] + [feed_page(None, None, 3), feed_page(None, 3, None)]
+    random.Random(5).shuffle(rows)
+    sizes, write = [], chains._written
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(chains, "_written", counted)
+    plain = order(pages_df(rows))
+    steps = [n for name, n in sizes if name == "chain"]
+    assert steps[0] == len(rows) and steps[1:] == sorted(steps[1:], reverse=True) and steps[-1] < 20
+    monkeypatch.setattr(chains, "HOT_PAGES", 5, raising=False)
+    assert order(pages_df(rows)) == plain
+    assert plain["1:861"] == (38, 5, "866", "broken") and plain["None:3"] == (1, 1, "", "whole")
