@@ -1,4 +1,6 @@
 import math
+import os
+import pickle
 import random
 import zlib
 from collections import Counter
@@ -157,3 +159,24 @@ def test_ngram_codes_are_those_of_spark(spark):
     a, b = (np.random.default_rng(k).integers(0, 1 << 64, 200, dtype=np.uint64) for k in (1, 2))
     df = spark.createDataFrame([(int(x), int(y)) for x, y in zip(a.view(np.int64), b.view(np.int64))], "ctx long, suf long")
     assert [r.c for r in df.select(st._code().alias("c")).collect()] == st.join(a, b).view(np.int64).tolist()
+
+
+def test_only_the_scores_stay_on_disk(spark, monkeypatch):
+    monkeypatch.setattr(st, "HEAD", 12)
+    work = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = set(os.listdir(work))
+    df = spark.createDataFrame(corpus(), "doc_id long, text string")
+    out = st.score_documents(df, st.held_out_fold("doc_id"))
+    new = {x for x in set(os.listdir(work)) - before if not x.startswith(".")}
+    assert [x.rpartition("-")[0] for x in new] == ["scores"]
+    assert out.count() == len(corpus())
+
+
+def test_broadcasts_hold_no_more_than_the_table(spark):
+    keys = np.unique(np.random.default_rng(2).integers(0, 1 << 63, 100_000).astype(np.uint64))
+    index = st.Index(keys)
+    sent = pickle.dumps(index)
+    assert len(sent) < 9 * len(keys)
+    assert (pickle.loads(sent).find(keys) == np.arange(len(keys))).all()
+    bits = st._bits(spark.createDataFrame([(int(k),) for k in keys[:1000].view(np.int64)], "code long"))
+    assert bits.table.nbytes <= 8 * 1000 and bits.may_have(keys[:1000]).all()
